@@ -374,11 +374,24 @@ def ctes(p: Params = DEFAULT) -> dict[str, str]:
                   / NULLIF(CAST(count(units_sold) OVER ({w12}) * count(units_sold) OVER ({w12}) AS DOUBLE), 0)) AS roll_std_12w
       FROM demand_panel
       WINDOW w AS (PARTITION BY category ORDER BY week_start_date)"""
-    c["forecast_standin"] = """
-      SELECT p.category, CAST(count(*) AS DOUBLE) / CAST(8 AS DOUBLE) AS predicted_units
-      FROM fct_order_items f JOIN dim_products p ON f.product_id = p.product_id
-      WHERE f.order_date > (SELECT max(order_date) FROM fct_order_items) - 56
-      GROUP BY p.category"""
+    c["forecast_standin"] = f"""
+      SELECT category,
+             CAST(date_trunc('week', (SELECT max(order_date) FROM fct_order_items)) AS DATE) + CAST(7 * week_ahead AS INTEGER)
+               AS forecast_week,
+             CAST(week_ahead AS BIGINT) AS week_ahead, predicted_units,
+             CAST(NULL AS TIMESTAMP) AS generated_at, 'recent_mean_v1' AS model
+      FROM (SELECT p.category, CAST(count(*) AS DOUBLE) / CAST(8 AS DOUBLE) AS predicted_units
+            FROM fct_order_items f JOIN dim_products p ON f.product_id = p.product_id
+            WHERE f.order_date > (SELECT max(order_date) FROM fct_order_items) - 56
+            GROUP BY p.category)
+      CROSS JOIN (SELECT unnest(generate_series(1, {p.horizon})) AS week_ahead)"""
+    c["forecast_by_category"] = """
+      SELECT category, CAST(sum(predicted_units) AS DOUBLE) / CAST(count(predicted_units) AS DOUBLE)
+               AS predicted_units
+      FROM forecast_standin GROUP BY category"""
+    c["snap_products"] = """
+      SELECT *, md5(CAST(product_id AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS scd_id
+      FROM r_versions"""
     wexpr = "coalesce(fc.predicted_units * sh.share, 0.0)"
     c["mart_inventory_recommendations"] = f"""
       SELECT product_id, distribution_center_id, category, product_name, units_on_hand,
@@ -401,7 +414,7 @@ def ctes(p: Params = DEFAULT) -> dict[str, str]:
                    {wexpr} AS w
             FROM inventory_latest i
             JOIN dim_products p ON i.product_id = p.product_id
-            LEFT JOIN forecast_standin fc ON p.category = fc.category
+            LEFT JOIN forecast_by_category fc ON p.category = fc.category
             LEFT JOIN (SELECT r.product_id, {ratio('r.units_12w', 't.cat_units')} AS share
                        FROM (SELECT p.category, f.product_id, count(*) AS units_12w
                              FROM fct_order_items f JOIN dim_products p ON f.product_id = p.product_id

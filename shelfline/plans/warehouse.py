@@ -94,6 +94,10 @@ class Warehouse:
     def snapshot_as_of(self):
         return min(self.p.as_of, self.p.calendar_end)
 
+    def tables(self) -> "LazyTables":
+        """Model name -> DataFrame, built on first access (for the checks)."""
+        return LazyTables(self)
+
     # marts
     def mart_product_performance(self):
         return marts.mart_product_performance(self.fct_order_items, self.dim_dates, self.dim_products)
@@ -119,3 +123,28 @@ class Warehouse:
             self.inventory_latest, self.forecast, self.fct_order_items, self.dim_products,
             p.lead_weeks, p.safety_weeks, p.target_weeks, p.overstock_weeks_of_cover,
             as_of=self.snapshot_as_of)
+
+
+class LazyTables(dict):
+    NAMES = ("stg_orders", "stg_order_items", "stg_products", "stg_users", "stg_inventory_items",
+             "stg_distribution_centers", "stg_events", "snap_products", "dim_dates",
+             "dim_products", "dim_customers", "dim_distribution_centers", "fct_order_items",
+             "fct_orders", "fct_inventory_snapshot", "mart_product_performance",
+             "mart_fulfillment_sla", "mart_customer_rfm", "mart_inventory_health",
+             "mart_demand_features", "mart_inventory_recommendations")
+
+    def __init__(self, w: Warehouse):
+        super().__init__()
+        self.w = w
+
+    def __missing__(self, name):
+        w = self.w
+        if name == "snap_products":
+            v = w.s.product_versions
+        elif name == "fct_inventory_snapshot":
+            v = w.fct_inventory_snapshot()
+        else:
+            v = getattr(w, name)
+            v = v() if callable(v) else v
+        self[name] = v
+        return v

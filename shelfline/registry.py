@@ -170,3 +170,196 @@ def _q(spark, d): return _wh(spark, d, True).mart_demand_features()
 @register("mart_inventory_recommendations", "SELECT * FROM mart_inventory_recommendations",
           ("inventory_cost_on_hand",))
 def _q(spark, d): return _wh(spark, d, True).mart_inventory_recommendations()
+
+
+# ---- forecast input, SCD2, incremental, contracts ---------------------------
+
+@register("forecast_standin", "SELECT * FROM forecast_standin")
+def _q(spark, d): return _wh(spark, d, True).forecast
+
+
+@register("scd2_snapshot_apply", "SELECT * FROM snap_products", ("cost", "retail_price"))
+def _q(spark, d):
+    """Replay the last snapshot run: history as of 2000-01-01 + current products."""
+    import datetime as dt
+    from .operators import scd2
+    from .plans import staging
+    w = _wh(spark, d)
+    run = dt.datetime(2000, 1, 1)
+    before = scd2.history_as_of(w.s.product_versions, run)
+    return scd2.apply_snapshot(staging.snapshot_projection(w.s.products), before, run)
+
+
+@register("incremental_fct_order_items", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
+def _q(spark, d):
+    """Two runs into a date-partitioned table: an older state, then an
+    incremental run with the 3-day lookback; the table equals a full build."""
+    import datetime as dt
+    import uuid
+    from .operators import contracts, incremental
+    from .plans import core
+    w = _wh(spark, d)
+    path = f"{incremental.warehouse_root(spark)}/shelfline_{uuid.uuid4().hex}/fct_order_items"
+    first_state = DEFAULT.as_of - dt.timedelta(days=30)
+
+    def build(since):
+        df = core.fct_order_items(w.order_items_enriched, since)
+        return df if since is not None else df.filter(F.col("order_date") <= F.lit(first_state))
+    incremental.build_incremental(spark, build, path, "order_date", DEFAULT.lookback_days,
+                                  ("product_id", "distribution_center_id"))
+    incremental.build_incremental(spark, lambda since: core.fct_order_items(w.order_items_enriched, since),
+                                  path, "order_date", DEFAULT.lookback_days,
+                                  ("product_id", "distribution_center_id"))
+    cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
+    return spark.read.parquet(path).select(*cols)
+
+
+@register("contract_dim_products", "SELECT * FROM dim_products", ("cost", "retail_price", "base_margin_amount"))
+def _q(spark, d):
+    from .operators import contracts
+    return contracts.enforce(publish(_wh(spark, d).dim_products), contracts.DIM_PRODUCTS)
+
+
+# ---- data quality -------------------------------------------------------------
+
+def _dq_summary(checks):
+    from .operators import quality
+    sql = quality.checks_sql(checks)
+
+    def fn(spark, d):
+        return quality.run_checks(checks, _wh(spark, d, True).tables())
+    return fn, sql
+
+
+def _register_dq():
+    from .plans import checks as C
+    for name, lst in (("dq_staging", C.STAGING + C.SNAPSHOT), ("dq_core", C.CORE),
+                      ("dq_marts", C.MARTS)):
+        fn, sql = _dq_summary(lst)
+        register(name, sql)(fn)
+    singular = {
+        "dq_historical_cost_differs": lambda w: C.historical_cost_differs(w.fct_order_items, w.dim_products),
+        "dq_margin_within_range": lambda w: C.margin_within_range(w.fct_order_items),
+        "dq_no_orphan_order_items": lambda w: C.no_orphan_order_items(w.fct_order_items, w.fct_orders),
+        "dq_revenue_reconciles": lambda w: C.revenue_reconciles(w.mart_product_performance(), w.fct_order_items),
+        "dq_sales_have_cost": lambda w: C.sales_have_cost(w.fct_order_items),
+    }
+    money_cols = {"dq_margin_within_range": ("sale_price", "cost", "gross_margin_amount"),
+                  "dq_revenue_reconciles": ("mart_revenue", "fact_revenue"),
+                  "dq_sales_have_cost": ("sale_price", "cost")}
+    for name, f in singular.items():
+        register(name, C.SINGULAR_SQL[name], money_cols.get(name, ()))(
+            lambda spark, d, f=f: f(_wh(spark, d, True)))
+
+
+_register_dq()
+
+
+@register("source_freshness_orders",
+          "SELECT 'orders' AS table_name, max(created_at) AS max_loaded_at, "
+          "CAST(date_sub('second', max(created_at), TIMESTAMP '2001-08-02 07:00:00') AS BIGINT) AS age_seconds, "
+          "CASE WHEN max(created_at) IS NULL THEN 'error' "
+          "WHEN date_sub('second', max(created_at), TIMESTAMP '2001-08-02 07:00:00') > 72 * 3600 THEN 'error' "
+          "WHEN date_sub('second', max(created_at), TIMESTAMP '2001-08-02 07:00:00') > 24 * 3600 THEN 'warn' "
+          "ELSE 'pass' END AS status FROM stg_orders")
+def _q(spark, d):
+    """SRC13: the daily 07:00 run the day after the last order."""
+    import datetime as dt
+    from .operators import quality
+    return quality.freshness(_wh(spark, d).stg_orders, "orders", "created_at",
+                             dt.datetime(2001, 8, 2, 7, 0), DEFAULT.freshness_warn_hours,
+                             DEFAULT.freshness_error_hours)
+
+
+# ---- metrics ------------------------------------------------------------------
+
+_ALL_METRICS = ("revenue", "gross_margin", "units_sold", "orders", "aov")
+
+
+@register("metric_all_by_month_status", f"""
+    SELECT CAST(date_trunc('month', order_date) AS DATE) AS metric_time, status,
+           sum(sale_price) AS revenue, sum(gross_margin_amount) AS gross_margin,
+           count(order_item_id) AS units_sold, count(DISTINCT order_id) AS orders,
+           {oracle.ratio('sum(sale_price)', 'count(DISTINCT order_id)')} AS aov
+    FROM fct_order_items GROUP BY 1, 2""", ("revenue", "gross_margin"))
+def _q(spark, d):
+    from .plans import metrics
+    return metrics.query(_wh(spark, d, True).fct_order_items, _ALL_METRICS, by=["status"], grain="month")
+
+
+@register("metric_all_by_day", f"""
+    SELECT order_date AS metric_time, sum(sale_price) AS revenue,
+           sum(gross_margin_amount) AS gross_margin, count(order_item_id) AS units_sold,
+           count(DISTINCT order_id) AS orders,
+           {oracle.ratio('sum(sale_price)', 'count(DISTINCT order_id)')} AS aov
+    FROM fct_order_items GROUP BY 1""", ("revenue", "gross_margin"))
+def _q(spark, d):
+    from .plans import metrics
+    return metrics.query(_wh(spark, d, True).fct_order_items, _ALL_METRICS, grain="day")
+
+
+@register("metric_revenue_by_category_year", f"""
+    SELECT CAST(date_trunc('year', f.order_date) AS DATE) AS metric_time, p.category AS product__category,
+           sum(f.sale_price) AS revenue, count(DISTINCT f.order_id) AS orders,
+           {oracle.ratio('sum(f.sale_price)', 'count(DISTINCT f.order_id)')} AS aov
+    FROM fct_order_items f LEFT JOIN dim_products p ON f.product_id = p.product_id
+    GROUP BY 1, 2""", ("revenue",))
+def _q(spark, d):
+    from .plans import metrics
+    w = _wh(spark, d, True)
+    return metrics.query(w.fct_order_items, ("revenue", "orders", "aov"), by=["product__category"],
+                         grain="year", dims={"dim_products": w.dim_products})
+
+
+# ---- BI reports -----------------------------------------------------------------
+
+def _bi(name, sql, money_cols, fn):
+    register(name, sql, money_cols)(lambda spark, d: fn(_wh(spark, d, True)))
+
+
+def _register_bi():
+    from .plans import reports as R
+    _bi("bi_kpis", f"""
+        SELECT sum(gross_revenue) AS revenue, sum(gross_margin_amount) AS gross_margin,
+               CAST(sum(n_line_items) AS BIGINT) AS units, count(*) AS orders,
+               {oracle.ratio('sum(gross_revenue)', 'count(*)')} AS aov
+        FROM fct_orders""", ("revenue", "gross_margin"), lambda w: R.kpis(w.fct_orders))
+    _bi("bi_category_performance", f"""
+        SELECT category, revenue, margin, units, {oracle.ratio('margin', 'revenue')} AS margin_pct
+        FROM (SELECT category, sum(gross_revenue) AS revenue, sum(gross_margin_amount) AS margin,
+                     CAST(sum(units_sold) AS BIGINT) AS units
+              FROM mart_product_performance GROUP BY category)
+        ORDER BY revenue DESC NULLS LAST, category ASC NULLS FIRST LIMIT 15""",
+        ("revenue", "margin"), lambda w: R.category_performance(w.mart_product_performance()))
+    _bi("bi_monthly_trend", """
+        SELECT month_start_date, sum(gross_revenue) AS revenue, CAST(sum(units_sold) AS BIGINT) AS units
+        FROM mart_product_performance GROUP BY month_start_date ORDER BY month_start_date""",
+        ("revenue",), lambda w: R.monthly_trend(w.mart_product_performance()))
+    _bi("bi_abc_summary", """
+        SELECT abc_class, count(*) AS skus, sum(inventory_cost_on_hand) AS capital,
+               count(*) FILTER (WHERE is_dead_stock) AS dead_stock
+        FROM mart_inventory_health GROUP BY abc_class ORDER BY abc_class""",
+        ("capital",), lambda w: R.abc_summary(w.mart_inventory_health()))
+    _bi("bi_rfm_segments", """
+        SELECT segment, count(*) AS customers, sum(monetary) AS value
+        FROM mart_customer_rfm GROUP BY segment ORDER BY customers DESC, segment""",
+        ("value",), lambda w: R.rfm_segments(w.mart_customer_rfm()))
+    _bi("bi_sla_by_centre", """
+        SELECT distribution_center_name,
+               round(CAST(sum(avg_hours_to_ship) AS DOUBLE) / CAST(count(avg_hours_to_ship) AS DOUBLE) * 1000000.0) / 1000000.0 AS hrs_ship,
+               round(CAST(sum(avg_hours_to_deliver) AS DOUBLE) / CAST(count(avg_hours_to_deliver) AS DOUBLE) * 1000000.0) / 1000000.0 AS hrs_deliver
+        FROM mart_fulfillment_sla WHERE distribution_center_name IS NOT NULL
+        GROUP BY distribution_center_name ORDER BY hrs_ship""",
+        (), lambda w: R.sla_by_centre(w.mart_fulfillment_sla()))
+    _bi("bi_recommendation_status", """
+        SELECT inventory_status, count(*) AS skus, sum(inventory_cost_on_hand) AS capital
+        FROM mart_inventory_recommendations GROUP BY inventory_status
+        ORDER BY skus DESC, inventory_status""",
+        ("capital",), lambda w: R.recommendation_status(w.mart_inventory_recommendations()))
+    _bi("bi_forecast_by_category", """
+        SELECT category, sum(predicted_units) AS forecast_8w FROM forecast_standin
+        GROUP BY category ORDER BY forecast_8w DESC, category LIMIT 15""",
+        (), lambda w: R.forecast_by_category(w.forecast))
+
+
+_register_bi()
