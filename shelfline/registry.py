@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from . import oracle
 from .params import DEFAULT
 from .plans.warehouse import Warehouse
+from .session import materialize
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -363,3 +364,73 @@ def _register_bi():
 
 
 _register_bi()
+
+
+# ---- forecast (rows-only: a trained model has no SQL form) -------------------
+
+FORECAST_TREES = 20  # the original uses 400; the registered runs keep it short
+
+
+@register("forecast_backtest", None)
+def _q(spark, d):
+    from .plans import forecast
+    panel = materialize(_wh(spark, d, True).mart_demand_features())
+    return forecast.backtest(panel, DEFAULT.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
+
+
+@register("forecast_recursive", None)
+def _q(spark, d):
+    from .plans import forecast
+    panel = materialize(_wh(spark, d, True).mart_demand_features())
+    return forecast.forecast_next(panel, DEFAULT.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
+
+
+# ---- streaming ------------------------------------------------------------------
+
+def _stream_source(spark, sf_dir, table):
+    from .sources import driver
+    schema = driver.read(spark, sf_dir, table).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+def _scratch(spark, what):
+    import uuid
+    from .operators import incremental
+    base = f"{incremental.warehouse_root(spark)}/shelfline_{uuid.uuid4().hex}"
+    return f"{base}/{what}", f"{base}/_checkpoints/{what}"
+
+
+@register("stream_weekly_events", "SELECT * FROM weekly_events")
+def _q(spark, d):
+    """STR1: the events table replayed as a stream (availableNow)."""
+    from . import streaming
+    from .plans import staging
+    from .sources import driver
+    ev = staging.stg_events(driver.events(_stream_source(spark, d, "events")))
+    path, ck = _scratch(spark, "weekly_events")
+    streaming.write_complete_snapshot(streaming.weekly_event_counts(ev), path, ck).awaitTermination()
+    return spark.read.parquet(path)
+
+
+@register("stream_fct_order_items_upkeep", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
+def _q(spark, d):
+    """STR2: lineitem files as a change feed; each micro-batch rebuilds the
+    order dates it touches from the full sources."""
+    from . import streaming
+    from .operators import contracts
+    from .plans import core
+    w = _wh(spark, d)
+    orders = w.stg_orders.select(F.col("order_id").alias("_o"),
+                                 F.to_date("created_at").alias("order_date"))
+
+    def touched(batch):
+        return batch.join(orders, batch.l_orderkey == orders._o, "inner").select("order_date")
+
+    def rebuild(dates):
+        return core.fct_order_items(w.order_items_enriched).join(dates, "order_date", "left_semi")
+    path, ck = _scratch(spark, "fct_order_items")
+    streaming.upkeep_partitions(_stream_source(spark, d, "lineitem"), touched, rebuild, path,
+                                "order_date", ck, ("product_id", "distribution_center_id")).awaitTermination()
+    cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
+    return spark.read.parquet(path).select(*cols)
