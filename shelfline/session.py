@@ -22,6 +22,9 @@ def build_session(master: str = "local[8]", app: str = "shelfline",
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # Spark 4.1: partitioning-aware unions can zip children that AQE
+         # coalesced differently ("Can't zip RDDs with unequal numbers of partitions")
+         .config("spark.sql.unionOutputPartitioning", "false")
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
