@@ -27,8 +27,21 @@ def publish(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def _wh(spark: SparkSession, sf_dir: str, materialize_facts: bool = False) -> Warehouse:
-    return Warehouse.from_driver_tables(spark, sf_dir, DEFAULT, materialize_facts=materialize_facts)
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
+def _wh(spark: SparkSession, sf_dir: str, materialize_facts: bool = True) -> Warehouse:
+    """One warehouse per session and directory: sources are landed once and
+    each fact is built once, then every model reads them (a full build)."""
+    from . import sources
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _WAREHOUSES:
+        import uuid
+        from .session import table_root
+        root = f"{table_root(spark)}/shelfline_models_{uuid.uuid4().hex[:12]}"
+        _WAREHOUSES[key] = Warehouse(sources.landed(spark, sf_dir), DEFAULT, materialize_facts=True,
+                                     table_root=root)
+    return _WAREHOUSES[key]
 
 
 _SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -64,6 +64,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def table_root(spark: SparkSession) -> str:
+    """Where landed and model tables are written: under the cluster's shared
+    checkpoint directory if set, else the session's warehouse directory."""
+    ck = spark.sparkContext.getCheckpointDir()
+    if ck:
+        return ck.rstrip("/") + "/tables"
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table and return the table scan (pushdown and
+    column pruning keep working, unlike a checkpoint).  ``sort_by`` range-
+    partitions and sorts the files, so min/max statistics let date filters
+    skip files and row groups; ``partition_by`` adds directory partitions."""
+    cols = df.columns
+    keys = ([partition_by] if partition_by else []) + list(sort_by)
+    if keys:
+        df = df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*cols)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast hint behind a checked row count; a shuffle join beyond it."""
     n = df.limit(max_rows + 1).count()

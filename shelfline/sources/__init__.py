@@ -41,6 +41,42 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
 
+class LandedSources:
+    """The role tables, each derived once and landed (checkpointed to the
+    shared checkpoint directory, or persisted) on first use.  Models read
+    the landed tables like the original project reads its raw tables."""
+
+    FIELDS = ("orders", "order_items", "products", "users", "inventory_items",
+              "distribution_centers", "events", "product_versions")
+
+    def __init__(self, lazy: Sources, root: str):
+        self._lazy = lazy
+        self._root = root
+        self._landed: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name):
+        if name.startswith("_") or name not in LandedSources.FIELDS:
+            raise AttributeError(name)
+        if name not in self._landed:
+            from ..session import land
+            self._landed[name] = land(getattr(self._lazy, name), f"{self._root}/{name}")
+        return self._landed[name]
+
+
+_LANDED: dict[tuple, LandedSources] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str) -> LandedSources:
+    """One landed copy per session and directory."""
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDED:
+        import uuid
+        from ..session import table_root
+        root = f"{table_root(spark)}/shelfline_raw_{uuid.uuid4().hex[:12]}"
+        _LANDED[key] = LandedSources(from_driver_tables(spark, sf_dir), root)
+    return _LANDED[key]
+
+
 def from_parquet(spark: SparkSession, root: str) -> Sources:
     """Retail-shaped parquet tables under ``root/<name>`` with declared schemas."""
     def rd(name):
