@@ -85,10 +85,18 @@ def recent_events(panel: DataFrame, before: dt.date | Column) -> DataFrame:
     return per_week.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in EVENT_COLS])
 
 
+HISTORY_WEEKS = 12  # lags go back 8 weeks and the widest rolling frame is 12
+
+
 def history_state(panel: DataFrame, start_week: dt.date | Column) -> DataFrame:
-    """SRT7: per category, the units before ``start_week`` in week order."""
+    """SRT7: per category, the last 12 weekly units before ``start_week`` in
+    week order.  Only those feed the features, so the per-category state is
+    bounded (12 values) however long the history is; the panel is dense, so
+    the last 12 rows are the weeks after ``start - 12 weeks``."""
     s = F.lit(start_week) if isinstance(start_week, dt.date) else start_week
-    h = panel.filter(F.col("week_start_date") < s).groupBy("category").agg(
+    recent = panel.filter((F.col("week_start_date") < s)
+                          & (F.col("week_start_date") >= F.date_sub(s, 7 * HISTORY_WEEKS)))
+    h = recent.groupBy("category").agg(
         F.array_sort(F.collect_list(F.struct("week_start_date", F.col(TARGET).cast("double")
                                              .alias("u")))).alias("_h"))
     return h.select("category", F.transform("_h", lambda x: x["u"]).alias("hist"))
@@ -110,14 +118,15 @@ def step_features(state: DataFrame, week: Column, events: DataFrame) -> DataFram
     last12 = F.when(n >= 1, F.slice(h, F.greatest(n - 11, F.lit(1)), 12)).otherwise(F.array(F.lit(0.0)))
     m12 = _mean(last12)
     var12 = F.aggregate(last12, F.lit(0.0), lambda a, x: a + (x - m12) * (x - m12)) / F.size(last12)
-    return state.crossJoin(F.broadcast(events)).select(
+    ev = {c: events.select(c).scalar() for c in EVENT_COLS}  # one-row frame -> scalar subqueries
+    return state.select(
         "category", "hist", week.alias("forecast_week"),
         F.weekofyear(week).cast("double").alias("week_of_year"),
         F.month(week).cast("double").alias("month_of_year"),
         lag(1).alias("lag_1w"), lag(2).alias("lag_2w"), lag(4).alias("lag_4w"), lag(8).alias("lag_8w"),
         F.when(n >= 1, _mean(last4)).otherwise(nan).alias("roll_mean_4w"),
         m12.alias("roll_mean_12w"), F.sqrt(var12).alias("roll_std_12w"),
-        *[F.col(c) for c in EVENT_COLS])
+        *[ev[c].alias(c) for c in EVENT_COLS])
 
 
 def recursive_forecast(model: PipelineModel, panel: DataFrame, start_week: dt.date, horizon: int,
@@ -134,7 +143,9 @@ def recursive_forecast(model: PipelineModel, panel: DataFrame, start_week: dt.da
             pred = materialize(pred)
         steps.append(pred.select("category", "forecast_week", F.lit(h + 1).cast("long").alias("week_ahead"),
                                  F.round("_p", 2).alias("predicted_units")))
-        state = pred.select("category", F.concat("hist", F.array("_p")).alias("hist"))
+        appended = F.concat("hist", F.array("_p"))
+        state = pred.select("category", F.slice(appended, F.greatest(F.size(appended) - (HISTORY_WEEKS - 1),
+                                                                     F.lit(1)), HISTORY_WEEKS).alias("hist"))
     out = steps[0]
     for s in steps[1:]:
         out = out.unionByName(s)

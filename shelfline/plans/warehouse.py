@@ -89,15 +89,25 @@ class Warehouse:
     @cached_property
     def fct_order_items(self):
         return self._fact(core.fct_order_items(self.order_items_enriched), "fct_order_items",
-                          ("order_date", "product_id", "distribution_center_id"))
+                          ("order_date",))
     @cached_property
     def fct_orders(self):
         return self._fact(core.fct_orders(self.stg_orders, self.order_items_enriched), "fct_orders",
-                          ("order_date", "status"))
+                          ("order_date",))
     def fct_inventory_snapshot(self, window_start=None):
+        """Default window: the landed table; another start: built lazily."""
+        if window_start is None:
+            return self._snapshot_table
         p = self.p
-        return core.fct_inventory_snapshot(self.stg_inventory_items, window_start or p.window_start,
-                                           p.as_of, p.calendar_start, p.calendar_end)
+        return core.fct_inventory_snapshot(self.stg_inventory_items, window_start, p.as_of,
+                                           p.calendar_start, p.calendar_end)
+
+    @cached_property
+    def _snapshot_table(self):
+        p = self.p
+        df = core.fct_inventory_snapshot(self.stg_inventory_items, p.window_start, p.as_of,
+                                         p.calendar_start, p.calendar_end)
+        return self._fact(df, "fct_inventory_snapshot", ("snapshot_date",))
     @cached_property
     def inventory_latest(self):
         p = self.p

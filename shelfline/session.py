@@ -89,12 +89,6 @@ def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None)
     return df.sparkSession.read.parquet(path).select(*cols)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint behind a checked row count; a shuffle join beyond it."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

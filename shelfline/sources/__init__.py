@@ -26,15 +26,17 @@ class Sources:
     product_versions: DataFrame  # SCD2 history (snap_products)
 
 
-def from_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
+def from_driver_tables(spark: SparkSession, sf_dir: str,
+                       base_lines: DataFrame | None = None) -> Sources:
+    """``base_lines``: an already landed ``driver.lines`` table to share."""
     t = {n: driver.read(spark, sf_dir, n) for n in driver.DRIVER_TABLES}
+    lines = base_lines if base_lines is not None else driver.lines(t["lineitem"], t["orders"])
     return Sources(
         orders=driver.orders(t["orders"]),
-        order_items=driver.order_items(t["lineitem"], t["orders"]),
+        order_items=driver.order_items(lines),
         products=driver.products(t["part"]),
         users=driver.users(t["customer"], t["nation"]),
-        inventory_items=driver.inventory_items(t["lineitem"], t["orders"], t["part"],
-                                               t["supplier"], t["nation"]),
+        inventory_items=driver.inventory_items(lines, t["part"], t["supplier"], t["nation"]),
         distribution_centers=driver.distribution_centers(t["region"]),
         events=driver.events(t["events"]),
         product_versions=driver.product_versions(t["part"]),
@@ -49,17 +51,30 @@ class LandedSources:
     FIELDS = ("orders", "order_items", "products", "users", "inventory_items",
               "distribution_centers", "events", "product_versions")
 
-    def __init__(self, lazy: Sources, root: str):
-        self._lazy = lazy
-        self._root = root
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        self._spark, self._sf_dir, self._root = spark, sf_dir, root
+        self._lazy: Sources | None = None
         self._landed: dict[str, DataFrame] = {}
 
+    def _sources(self) -> Sources:
+        if self._lazy is None:
+            from ..session import land
+            # the two line-level roles share one windowed pass over lineitem
+            t = {n: driver.read(self._spark, self._sf_dir, n) for n in ("lineitem", "orders")}
+            base = land(driver.lines(t["lineitem"], t["orders"]), f"{self._root}/_lines")
+            self._lazy = from_driver_tables(self._spark, self._sf_dir, base_lines=base)
+        return self._lazy
+
     def __getattr__(self, name):
         if name.startswith("_") or name not in LandedSources.FIELDS:
             raise AttributeError(name)
         if name not in self._landed:
             from ..session import land
-            self._landed[name] = land(getattr(self._lazy, name), f"{self._root}/{name}")
+            if name in ("order_items", "inventory_items"):
+                src = getattr(self._sources(), name)
+            else:  # other roles never touch the (lazy, unexecuted) line plan
+                src = getattr(from_driver_tables(self._spark, self._sf_dir), name)
+            self._landed[name] = land(src, f"{self._root}/{name}")
         return self._landed[name]
 
 
@@ -73,7 +88,7 @@ def landed(spark: SparkSession, sf_dir: str) -> LandedSources:
         import uuid
         from ..session import table_root
         root = f"{table_root(spark)}/shelfline_raw_{uuid.uuid4().hex[:12]}"
-        _LANDED[key] = LandedSources(from_driver_tables(spark, sf_dir), root)
+        _LANDED[key] = LandedSources(spark, sf_dir, root)
     return _LANDED[key]
 
 

@@ -145,7 +145,7 @@ def orders(orders_t: DataFrame) -> DataFrame:
     )
 
 
-def _lines(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
+def lines(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
     """Lines with their order attributes and a unique line id.
 
     The row number is partitioned by the order key, which is also the join key
@@ -163,8 +163,9 @@ def _lines(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
              .withColumn("status", _order_status()))
 
 
-def order_items(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
-    j = _lines(lineitem, orders_t)
+def order_items(base_lines: DataFrame) -> DataFrame:
+    """Order lines from the shared line base (``lines``)."""
+    j = base_lines
     shipped = F.when(
         F.col("status").isin("Complete", "Shipped"),
         _minutes(F.col("created_at"),
@@ -190,9 +191,10 @@ def order_items(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
     )
 
 
-def inventory_items(lineitem: DataFrame, orders_t: DataFrame, part: DataFrame,
-                    supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    j = _lines(lineitem, orders_t).filter(F.col("id") % MISSING_UNIT_MODULUS != 0)
+def inventory_items(base_lines: DataFrame, part: DataFrame, supplier: DataFrame,
+                    nation: DataFrame) -> DataFrame:
+    """One inventory unit per line (from the shared line base)."""
+    j = base_lines.filter(F.col("id") % MISSING_UNIT_MODULUS != 0)
     prod = products(part).select(
         F.col("id").alias("p_id"), F.col("cost").alias("p_cost"), "category", "name",
         "brand", "department", "sku", "retail_price")
