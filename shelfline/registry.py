@@ -447,3 +447,57 @@ def _q(spark, d):
                                 "order_date", ck, ("product_id", "distribution_center_id")).awaitTermination()
     cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
     return spark.read.parquet(path).select(*cols)
+
+
+@register("incremental_fct_inventory_snapshot", "SELECT * FROM fct_inventory_snapshot",
+          ("inventory_cost_on_hand",))
+def _q(spark, d):
+    """MOD9 incremental: a run as of 10 days earlier, then a run that rebuilds
+    from max(snapshot_date) - 3 days with that day as the window start; the
+    opening balance keeps the running totals exact (F6)."""
+    import datetime as dt
+    from .operators import incremental
+    from .plans import core
+    w, p = _wh(spark, d), DEFAULT
+    path, _ = _scratch(spark, "fct_inventory_snapshot")
+    earlier = p.as_of - dt.timedelta(days=10)
+
+    def build(as_of):
+        def run(since):
+            return core.fct_inventory_snapshot(w.stg_inventory_items, since or p.window_start, as_of,
+                                               p.calendar_start, p.calendar_end)
+        return run
+    incremental.build_incremental(spark, build(earlier), path, "snapshot_date", p.lookback_days,
+                                  ("product_id", "distribution_center_id"))
+    incremental.build_incremental(spark, build(p.as_of), path, "snapshot_date", p.lookback_days,
+                                  ("product_id", "distribution_center_id"))
+    return spark.read.parquet(path).select("product_id", "distribution_center_id", "snapshot_date",
+                                           "units_on_hand", "inventory_cost_on_hand")
+
+
+@register("metric_revenue_by_day_spine", f"""
+    SELECT d.date_day AS metric_time, m.revenue, m.orders
+    FROM dim_dates d LEFT JOIN (SELECT order_date, sum(sale_price) AS revenue,
+                                       count(DISTINCT order_id) AS orders
+                                FROM fct_order_items GROUP BY order_date) m
+      ON d.date_day = m.order_date""", ("revenue",))
+def _q(spark, d):
+    """MET8: day grain densified over the time spine (days without sales: null)."""
+    from .plans import metrics
+    from .sources import calendar
+    w = _wh(spark, d)
+    res = metrics.query(w.fct_order_items, ("revenue", "orders"), grain="day")
+    return metrics.time_spine_fill(res, F.broadcast(calendar.time_spine(w.dim_dates)),
+                                   ("revenue", "orders"))
+
+
+@register("mart_inventory_recommendations_ml", None)
+def _q(spark, d):
+    """ML9: recommendations fed by the Spark ML forecast instead of the stand-in."""
+    from .plans import forecast, marts
+    w, p = _wh(spark, d), DEFAULT
+    panel = materialize(w.mart_demand_features())
+    fc = forecast.forecast_next(panel, p.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
+    return marts.mart_inventory_recommendations(
+        w.inventory_latest, fc, w.fct_order_items, w.dim_products, p.lead_weeks, p.safety_weeks,
+        p.target_weeks, p.overstock_weeks_of_cover, as_of=w.snapshot_as_of)
