@@ -25,6 +25,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 512
 SAMPLE_PER_BUCKET = 32
@@ -76,16 +78,27 @@ def global_prefix(df: DataFrame, key_names: list[str], out: str, measure: str |
     """Inclusive prefix over the total order of ``key_names``.
 
     ``measure=None`` gives the 1-based global row number; otherwise the running
-    sum of ``measure`` (ROWS frame).  Returns (frame with ``out``, n, total).
-    ``df`` is read several times: pass a materialized frame.
+    sum of ``measure`` (ROWS frame).  Returns (frame with ``out``, n, total):
+    ``total`` is n for row numbers, else the measure total -- a Python value
+    when it was collected with the per-bucket totals, a scalar-subquery Column
+    in the single-bucket case.  With more than one bucket ``df`` is read
+    several times, so it is materialized first.
     """
     if n is None:
         n = df.count()
     b = _n_buckets(n, rows_per_bucket, max_buckets)
     keys = [F.col(k) for k in key_names]
+    inner_w = Window.partitionBy("_bucket").orderBy(*keys)
+    inner = (F.row_number().over(inner_w) if measure is None else
+             F.sum(measure).over(inner_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if b == 1:
+        # one bounded bucket (n <= rows_per_bucket): no sampling, no offsets
+        total = n if measure is None else df.select(F.sum(measure)).scalar()
+        res = df.withColumn("_bucket", F.lit(0)).withColumn(out, inner).drop("_bucket")
+        return res, n, total
+    df = materialize(df)
     cuts = choose_cuts(df, key_names, n, b)
-    bcol = bucket_expr(keys, cuts) if cuts else F.lit(0)
-    with_b = df.withColumn("_bucket", bcol)
+    with_b = df.withColumn("_bucket", bucket_expr(keys, cuts))
     agg = F.count(F.lit(1)) if measure is None else F.sum(measure)
     per_bucket = dict(tuple(r) for r in with_b.groupBy("_bucket").agg(agg.alias("t")).collect())
     offsets, run = [], 0
@@ -93,16 +106,9 @@ def global_prefix(df: DataFrame, key_names: list[str], out: str, measure: str |
         offsets.append(run)
         t = per_bucket.get(i)
         run = run + (t if t is not None else 0)
-    total = run
-    w = Window.partitionBy("_bucket").orderBy(*keys)
-    inner = (F.row_number().over(w) if measure is None else
-             F.sum(measure).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if len(offsets) == 1:
-        off = F.lit(offsets[0])
-    else:
-        off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_bucket") + 1)
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_bucket") + 1)
     res = with_b.withColumn(out, off + inner).drop("_bucket")
-    return res, n, total
+    return res, n, run
 
 
 def ntile_from_rank(rn: Column, n: int, k: int) -> Column:

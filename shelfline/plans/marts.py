@@ -111,8 +111,10 @@ def scored_quintiles(base: DataFrame, key: str = "customer_id", k: int = 5,
                      **kw) -> DataFrame:
     """WIN3 + WIN4: r (recency desc), f (frequency asc), m (monetary asc, nulls
     first) as range-partitioned ntiles; the customer id breaks ties."""
-    base = materialize(base)
     n = base.count()
+    rpb = kw.get("rows_per_bucket", ranking.ROWS_PER_BUCKET)
+    if ranking._n_buckets(n, rpb, kw.get("max_buckets", ranking.MAX_BUCKETS)) > 1:
+        base = materialize(base)  # read by three range-partitioned rankings
     specs = {
         "r_score": [("recency_days", False, False), (key, True, True)],
         "f_score": [("frequency", True, True), (key, True, True)],
@@ -154,12 +156,10 @@ def abc_classes(product_revenue: DataFrame, value: str = "revenue_12m", key: str
     prefix sum, and the class is joined back on the value.
     """
     pv = product_revenue.filter(F.col(value).isNotNull())
-    dv = materialize(pv.groupBy(value).agg(F.sum(value).alias("_s")).withColumn("_neg", -F.col(value)))
+    dv = pv.groupBy(value).agg(F.sum(value).alias("_s")).withColumn("_neg", -F.col(value))
     cum, _, total = ranking.global_prefix(dv, ["_neg"], "_cum", measure="_s", **kw)
-    if total is None:
-        total = 0
-    pct = F.try_divide(F.col("_cum").cast("double"),
-                       F.when(F.lit(total) != 0, F.lit(total)).cast("double"))
+    tot = total if isinstance(total, Column) else F.lit(total if total is not None else 0)
+    pct = F.try_divide(F.col("_cum").cast("double"), F.when(tot != 0, tot).cast("double"))
     cls = cum.select(F.col(value).alias("_v"),
                      F.when(pct <= a, "A").when(pct <= b, "B").otherwise("C").alias("abc_class"))
     j = product_revenue.join(cls, product_revenue[value] == cls["_v"], "left")

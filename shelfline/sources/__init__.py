@@ -70,8 +70,12 @@ class LandedSources:
             raise AttributeError(name)
         if name not in self._landed:
             from ..session import land
-            if name in ("order_items", "inventory_items"):
-                src = getattr(self._sources(), name)
+            if name == "order_items":
+                # a projection of the landed line base: nothing to land again
+                self._landed[name] = self._sources().order_items
+                return self._landed[name]
+            if name == "inventory_items":
+                src = self._sources().inventory_items
             else:  # other roles never touch the (lazy, unexecuted) line plan
                 src = getattr(from_driver_tables(self._spark, self._sf_dir), name)
             self._landed[name] = land(src, f"{self._root}/{name}")
