@@ -44,9 +44,10 @@ def from_driver_tables(spark: SparkSession, sf_dir: str,
 
 
 class LandedSources:
-    """The role tables, each derived once and landed (checkpointed to the
-    shared checkpoint directory, or persisted) on first use.  Models read
-    the landed tables like the original project reads its raw tables."""
+    """The role tables as the models see them.  Roles that need a shuffle or
+    a join to derive (the windowed line base, the inventory units) are written
+    once as parquet tables under the shared table root on first use; the
+    single-scan projections stay lazy views over the driver tables."""
 
     FIELDS = ("orders", "order_items", "products", "users", "inventory_items",
               "distribution_centers", "events", "product_versions")
@@ -73,12 +74,13 @@ class LandedSources:
             if name == "order_items":
                 # a projection of the landed line base: nothing to land again
                 self._landed[name] = self._sources().order_items
-                return self._landed[name]
-            if name == "inventory_items":
-                src = self._sources().inventory_items
-            else:  # other roles never touch the (lazy, unexecuted) line plan
-                src = getattr(from_driver_tables(self._spark, self._sf_dir), name)
-            self._landed[name] = land(src, f"{self._root}/{name}")
+            elif name == "inventory_items":
+                # joins with part / supplier / nation: land once
+                self._landed[name] = land(self._sources().inventory_items, f"{self._root}/{name}")
+            else:
+                # single-scan projections (plus a tiny broadcast dimension):
+                # cheaper to read again than to land; the line plan is never run
+                self._landed[name] = getattr(from_driver_tables(self._spark, self._sf_dir), name)
         return self._landed[name]
 
 
