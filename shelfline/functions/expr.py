@@ -57,9 +57,35 @@ def iso_day_of_week(d) -> Column:
     return F.weekday(col(d)) + F.lit(1)
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime/date.
+
+    ``F.lit(datetime)`` would go through the session time zone; parsing the
+    ISO text as TIMESTAMP_NTZ does not."""
+    text = value.isoformat(sep=" ") if hasattr(value, "hour") else f"{value.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _interval_part(iv: Column, unit: str) -> Column:
+    return F.extract(F.lit(unit), iv)
+
+
 def whole_hours_between(later, earlier) -> Column:
-    """FN11: whole hours from ``earlier`` to ``later``, truncated toward zero."""
-    return F.timestamp_diff("HOUR", col(earlier), col(later))
+    """FN11: whole hours from ``earlier`` to ``later``, truncated toward zero.
+
+    Computed from the exact day-time interval ``later - earlier`` (NTZ
+    subtraction is zone-free); ``timestamp_diff`` on NTZ values in a DST gap
+    follows the session time zone."""
+    iv = col(later) - col(earlier)
+    return (_interval_part(iv, "DAY") * 24 + _interval_part(iv, "HOUR")).cast("long")
+
+
+def whole_seconds_between(later, earlier) -> Column:
+    """Whole seconds from ``earlier`` to ``later``, truncated toward zero."""
+    iv = col(later) - col(earlier)
+    return (_interval_part(iv, "DAY") * 86400 + _interval_part(iv, "HOUR") * 3600
+            + _interval_part(iv, "MINUTE") * 60
+            + _interval_part(iv, "SECOND").cast("long")).cast("long")
 
 
 def days_between(later, earlier) -> Column:

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
+
 ROW_KINDS = ("not_null", "accepted_values", "between", "expression")
 
 
@@ -151,7 +153,7 @@ def freshness(df: DataFrame, table: str, ts_col: str, now: dt.datetime,
     """Age of the newest ``ts_col`` relative to an explicit ``now``; stale when
     strictly older than the threshold."""
     newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    secs = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.lit(now).cast("timestamp_ntz"))
+    secs = X.whole_seconds_between(X.ntz(now), F.col("max_loaded_at"))
     return newest.select(
         F.lit(table).alias("table_name"), "max_loaded_at",
         secs.cast("long").alias("age_seconds"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
+
 META = ("valid_from", "valid_to", "scd_id")
 
 
@@ -30,7 +32,7 @@ def apply_snapshot(current: DataFrame, history: DataFrame | None, run_ts, key: s
     The join is a full outer join of the open versions with the current rows on
     the key: one shuffle on the key, no broadcast, rows never leave their key.
     """
-    ts = F.lit(run_ts).cast("timestamp_ntz") if not isinstance(run_ts, Column) else run_ts
+    ts = X.ntz(run_ts) if not isinstance(run_ts, Column) else run_ts
     data_cols = [c for c in current.columns]
     if history is None:
         return current.select(*data_cols, ts.alias("valid_from"),
@@ -64,7 +66,7 @@ def apply_snapshot(current: DataFrame, history: DataFrame | None, run_ts, key: s
 def history_as_of(history: DataFrame, ts) -> DataFrame:
     """The history as it stood just before a run at ``ts`` (later versions removed,
     versions closed at or after ``ts`` reopened)."""
-    t = F.lit(ts).cast("timestamp_ntz")
+    t = X.ntz(ts)
     return (history.filter(F.col("valid_from") < t)
             .withColumn("valid_to", F.when(F.col("valid_to") < t, F.col("valid_to"))))
 

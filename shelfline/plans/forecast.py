@@ -27,6 +27,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..session import materialize
 
 NUMERIC_FEATURES = ("week_of_year", "month_of_year", "lag_1w", "lag_2w", "lag_4w", "lag_8w",
@@ -183,7 +184,8 @@ def forecast_next(panel: DataFrame, horizon: int = 8, p: GbtParams = GbtParams()
     max_week = panel.agg(F.max("week_start_date")).first()[0]
     start = max_week + dt.timedelta(weeks=1)
     fc = recursive_forecast(model, panel, start, horizon, recent_events(panel, start))
-    return fc.withColumn("generated_at", F.lit(generated_at).cast("timestamp_ntz")) \
+    gen = X.ntz(generated_at) if generated_at is not None else F.lit(None).cast("timestamp_ntz")
+    return fc.withColumn("generated_at", gen) \
              .withColumn("model", F.lit(model_name))
 
 

@@ -29,6 +29,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
@@ -76,7 +78,7 @@ def product_versions(part: DataFrame) -> DataFrame:
     """Versioned product history (the SCD2 table as of the last run)."""
     cur = products(part)
     n = (F.col("id") % 3 + 1).cast("int")
-    starts = F.array(*[F.lit(s).cast("timestamp_ntz") for s in VERSION_STARTS])
+    starts = F.array(*[X.ntz(s) for s in VERSION_STARTS])
     v = cur.withColumn("n_versions", n).withColumn("k", F.explode(F.sequence(F.lit(1), n)))
     return v.select(
         F.col("id").alias("product_id"),
@@ -111,7 +113,7 @@ def users(customer: DataFrame, nation: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("longitude"),
         F.col("c_mktsegment").alias("traffic_source"),
         F.timestamp_add("DAY", (F.col("c_custkey") % 365).cast("int"),
-                        F.lit(USER_SIGNUP_BASE).cast("timestamp_ntz")).alias("created_at"),
+                        X.ntz(USER_SIGNUP_BASE)).alias("created_at"),
         null_s.alias("user_geom"),
     )
 

@@ -107,3 +107,20 @@ def test_kpi_report_counts_orders_without_lines(spark):
                               "gross_revenue decimal(22,2), gross_margin_amount decimal(22,2), n_line_items long")
     r = reports.kpis(o).first()
     assert r.orders == 2 and r.aov == 5.0 and r.units == 1
+
+
+def test_hours_and_literals_do_not_depend_on_session_zone(spark):
+    """Inside a DST gap ``timestamp_diff`` on NTZ follows the session zone;
+    interval arithmetic does not.  NTZ literals must not shift either."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2000-04-02 00:00:00", "2000-04-02 02:30:00"),
+                                    ("2000-04-02 02:30:00", "2000-04-03 02:10:00")], "a string, b string") \
+            .select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+        got = [r.h for r in df.select(X.whole_hours_between("b", "a").alias("h")).collect()]
+        assert got == [2, 23]
+        lit = spark.range(1).select(X.ntz(TS(1996, 1, 1)).alias("t")).first().t
+        assert lit == TS(1996, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
