@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -73,12 +74,27 @@ def table_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
-def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None) -> DataFrame:
+def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None,
+         bucket_by: tuple[str, int] | None = None) -> DataFrame:
     """Write ``df`` as a parquet table and return the table scan (pushdown and
-    column pruning keep working, unlike a checkpoint).  ``sort_by`` range-
-    partitions and sorts the files, so min/max statistics let date filters
-    skip files and row groups; ``partition_by`` adds directory partitions."""
+    column pruning keep working, unlike a checkpoint).
+
+    * ``sort_by``: range-partition and sort the files, so min/max statistics
+      let range filters skip files and row groups;
+    * ``partition_by``: directory partitions;
+    * ``bucket_by=(col, n)``: a bucketed, sorted table (session catalog,
+      data at ``path``); joins of two tables bucketed the same way on the
+      join key need no exchange.
+    """
     cols = df.columns
+    spark = df.sparkSession
+    if bucket_by:
+        col, n = bucket_by
+        name = "shelfline_" + re.sub(r"[^A-Za-z0-9]", "_", path.rstrip("/").split("/")[-2]
+                                      + "_" + path.rstrip("/").split("/")[-1])
+        (df.write.mode("overwrite").bucketBy(n, col).sortBy(col).option("path", path)
+           .format("parquet").saveAsTable(name))
+        return spark.table(name).select(*cols)
     keys = ([partition_by] if partition_by else []) + list(sort_by)
     if keys:
         df = df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
@@ -86,7 +102,12 @@ def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*cols)
+    return spark.read.parquet(path).select(*cols)
+
+
+def join_buckets(spark: SparkSession) -> int:
+    """Bucket count for co-located landed tables: the session's shuffle width."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def env_int(name: str, default: int) -> int:

@@ -59,10 +59,13 @@ class LandedSources:
 
     def _sources(self) -> Sources:
         if self._lazy is None:
-            from ..session import land
+            from ..session import join_buckets, land
             # the two line-level roles share one windowed pass over lineitem
             t = {n: driver.read(self._spark, self._sf_dir, n) for n in ("lineitem", "orders")}
-            base = land(driver.lines(t["lineitem"], t["orders"]), f"{self._root}/_lines")
+            # bucketed by line id, like the inventory units below: the
+            # line x unit join of the enrichment then needs no exchange
+            base = land(driver.lines(t["lineitem"], t["orders"]), f"{self._root}/_lines",
+                        bucket_by=("id", join_buckets(self._spark)))
             self._lazy = from_driver_tables(self._spark, self._sf_dir, base_lines=base)
         return self._lazy
 
@@ -70,13 +73,14 @@ class LandedSources:
         if name.startswith("_") or name not in LandedSources.FIELDS:
             raise AttributeError(name)
         if name not in self._landed:
-            from ..session import land
+            from ..session import join_buckets, land
             if name == "order_items":
                 # a projection of the landed line base: nothing to land again
                 self._landed[name] = self._sources().order_items
             elif name == "inventory_items":
                 # joins with part / supplier / nation: land once
-                self._landed[name] = land(self._sources().inventory_items, f"{self._root}/{name}")
+                self._landed[name] = land(self._sources().inventory_items, f"{self._root}/{name}",
+                                          bucket_by=("id", join_buckets(self._spark)))
             else:
                 # single-scan projections (plus a tiny broadcast dimension):
                 # cheaper to read again than to land; the line plan is never run
