@@ -88,12 +88,13 @@ class Warehouse:
                                          self.s.product_versions)
     @cached_property
     def fct_order_items(self):
+        # the row key after the date lets a hot day span several range partitions
         return self._fact(core.fct_order_items(self.order_items_enriched), "fct_order_items",
-                          ("order_date",))
+                          ("order_date", "order_item_id"))
     @cached_property
     def fct_orders(self):
         return self._fact(core.fct_orders(self.stg_orders, self.order_items_enriched), "fct_orders",
-                          ("order_date",))
+                          ("order_date", "order_id"))
     def fct_inventory_snapshot(self, window_start=None):
         """Default window: the landed table; another start: built lazily."""
         if window_start is None:
@@ -107,7 +108,8 @@ class Warehouse:
         p = self.p
         df = core.fct_inventory_snapshot(self.stg_inventory_items, p.window_start, p.as_of,
                                          p.calendar_start, p.calendar_end)
-        return self._fact(df, "fct_inventory_snapshot", ("snapshot_date",))
+        return self._fact(df, "fct_inventory_snapshot",
+                          ("snapshot_date", "product_id", "distribution_center_id"))
     @cached_property
     def inventory_latest(self):
         p = self.p
