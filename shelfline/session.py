@@ -92,8 +92,10 @@ def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None,
         col, n = bucket_by
         name = "shelfline_" + re.sub(r"[^A-Za-z0-9]", "_", path.rstrip("/").split("/")[-2]
                                       + "_" + path.rstrip("/").split("/")[-1])
-        (df.write.mode("overwrite").bucketBy(n, col).sortBy(col).option("path", path)
-           .format("parquet").saveAsTable(name))
+        # hash-partitioning by the bucket column with the same count puts each
+        # bucket in exactly one task: one file per bucket instead of tasks x buckets
+        (df.repartition(n, F.col(col)).write.mode("overwrite").bucketBy(n, col).sortBy(col)
+           .option("path", path).format("parquet").saveAsTable(name))
         return spark.table(name).select(*cols)
     keys = ([partition_by] if partition_by else []) + list(sort_by)
     if keys:

@@ -112,3 +112,8 @@ def from_parquet(spark: SparkSession, root: str) -> Sources:
         distribution_centers=rd("distribution_centers"), events=rd("events"),
         product_versions=rd("snap_products"),
     )
+
+
+def read_forecast(spark: SparkSession, path: str) -> DataFrame:
+    """SRC8: the published forecast table re-enters as a source (SNK11 output)."""
+    return spark.read.schema(schemas.SCHEMAS["ml_forecast_demand"]).parquet(path)

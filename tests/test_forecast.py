@@ -56,3 +56,15 @@ def test_backtest_beats_zero_forecast(spark):
     res = {r.horizon: r for r in forecast.backtest(_panel(spark), 4, forecast.GbtParams(max_iter=10)).collect()}
     assert set(res) == {"1", "2", "3", "4", "overall"}
     assert res["overall"].wape < 1.0 and res["overall"].n_points == 12
+
+
+def test_forecast_round_trip_feeds_recommendations(spark, tmp_path):
+    """SNK11 -> SRC8: the written forecast reads back with the declared schema."""
+    from shelfline import sources
+    panel = _panel(spark)
+    fc = forecast.forecast_next(panel, horizon=2, p=forecast.GbtParams(max_iter=3),
+                                generated_at=dt.datetime(2001, 8, 2, 7))
+    path = str(tmp_path / "ml_forecast_demand")
+    forecast.write_forecast(fc, path)
+    back = sources.read_forecast(spark, path)
+    assert back.count() == 6 and back.filter("generated_at = '2001-08-02 07:00:00'").count() == 6

@@ -67,3 +67,18 @@ def test_schema_evolution_modes(spark):
     except ValueError:
         pass
     assert incremental.align_schema(b, a.schema, "sync_all_columns").columns == b.columns
+
+
+def test_change_to_old_order_is_missed_until_full_refresh(spark, tmp_table):
+    """the lookback only reprocesses recent partitions."""
+    rows = [(i, D(2001, 1, 1) + dt.timedelta(days=i), "Processing") for i in range(10)]
+    incremental.build_incremental(spark, lambda since: _src(spark, rows), tmp_table, "order_date")
+    changed = [(i, d, "Complete" if i == 2 else s) for i, d, s in rows]   # old order changes
+
+    def build(since):
+        df = _src(spark, changed)
+        return df.filter(F.col("order_date") >= F.lit(since)) if since else df
+    incremental.build_incremental(spark, build, tmp_table, "order_date")
+    assert spark.read.parquet(tmp_table).filter("id = 2").first().status == "Processing"
+    incremental.build_incremental(spark, build, tmp_table, "order_date", full_refresh=True)
+    assert spark.read.parquet(tmp_table).filter("id = 2").first().status == "Complete"

@@ -66,3 +66,27 @@ def test_contract_rejects_drift(spark):
     bad = spark.createDataFrame([(None, "x")], "product_id long, name string")
     with pytest.raises(Exception):
         contracts.enforce(bad, c).collect()
+
+
+def test_singular_tests_fire_on_planted_violations(spark):
+    from decimal import Decimal as Dm
+    from shelfline.plans import checks as C
+    fct = spark.createDataFrame([
+        (1, 10, 5, Dm("10.00"), Dm("40.00"), Dm("-30.00"), Dm("3.00")),   # cost > 3 x price
+        (2, 11, 5, Dm("10.00"), None, None, Dm("4.00")),                  # no unit cost
+        (3, 99, 6, Dm("10.00"), Dm("1.00"), Dm("9.00"), None),            # order 99 missing
+    ], "order_item_id long, order_id long, product_id long, sale_price decimal(12,2), "
+       "cost decimal(12,2), gross_margin_amount decimal(12,2), product_cost_at_sale decimal(12,2)")
+    orders = spark.createDataFrame([(10,), (11,)], "order_id long")
+    prods_same = spark.createDataFrame([(5, Dm("3.00")), (6, Dm("1.00"))], "product_id long, cost decimal(12,2)")
+    prods_diff = spark.createDataFrame([(5, Dm("9.99")), (6, Dm("1.00"))], "product_id long, cost decimal(12,2)")
+    assert C.margin_within_range(fct).count() == 1
+    assert C.sales_have_cost(fct).count() == 1
+    assert [r.order_id for r in C.no_orphan_order_items(fct, orders).collect()] == [99]
+    # DQ7 warns (one row) only when no sale was priced at a different cost
+    assert C.historical_cost_differs(fct.filter("order_item_id = 3"), prods_same).count() == 1
+    assert C.historical_cost_differs(fct, prods_diff).count() == 0
+    mart = spark.createDataFrame([(Dm("25.00"),)], "gross_revenue decimal(22,2)")
+    assert C.revenue_reconciles(mart, fct).count() == 1          # 25 vs 30
+    ok = spark.createDataFrame([(Dm("29.50"),)], "gross_revenue decimal(22,2)")
+    assert C.revenue_reconciles(ok, fct).count() == 0            # within 1

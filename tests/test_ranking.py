@@ -89,3 +89,17 @@ def test_no_single_partition_exchange_in_rfm_plan(spark):
     base = spark.createDataFrame(rows, "customer_id long, recency_days int, frequency long, monetary decimal(22,2)")
     plan = marts.scored_quintiles(base, rows_per_bucket=20)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_ntile_property_random(spark):
+    """Any data, any bucket size: the bucketed ntile equals the plain one."""
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.integers(0, 6), min_size=1, max_size=120), st.integers(2, 40), st.integers(2, 7))
+    def check(vals, rpb, k):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v long")
+        got = ranking.global_ntile(df, k, ["v", "id"], "t", rows_per_bucket=rpb)
+        want = _plain_ntile(df, k, ["v", "id"])
+        assert got.select("id", "t").exceptAll(want.select("id", "t")).count() == 0
+    check()
