@@ -135,10 +135,11 @@ def mart_customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame, **kw) ->
     c = dim_customers.select(F.col("customer_id").alias("_cid"), "first_name", "last_name",
                              "country", "traffic_source")
     j = s.join(c, s.customer_id == c._cid, "left")
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
+    r, f, m = (F.col(c).cast("long") for c in ("r_score", "f_score", "m_score"))
     return j.select(
         "customer_id", "first_name", "last_name", "country", "traffic_source",
-        "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
+        F.col("recency_days").cast("long").alias("recency_days"), "frequency", "monetary",
+        r.alias("r_score"), f.alias("f_score"), m.alias("m_score"),
         (r * 100 + f * 10 + m).alias("rfm_score"),
         (F.col("frequency") > 1).alias("is_repeat_customer"),
         rfm_segment(r, f).alias("segment"))
