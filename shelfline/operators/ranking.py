@@ -74,7 +74,8 @@ def _n_buckets(n: int, rows_per_bucket: int, max_buckets: int) -> int:
 
 def global_prefix(df: DataFrame, key_names: list[str], out: str, measure: str | None = None,
                   n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
-                  max_buckets: int = MAX_BUCKETS) -> tuple[DataFrame, int, object]:
+                  max_buckets: int = MAX_BUCKETS,
+                  materialize_input: bool = True) -> tuple[DataFrame, int, object]:
     """Inclusive prefix over the total order of ``key_names``.
 
     ``measure=None`` gives the 1-based global row number; otherwise the running
@@ -96,7 +97,8 @@ def global_prefix(df: DataFrame, key_names: list[str], out: str, measure: str |
         total = n if measure is None else df.select(F.sum(measure)).scalar()
         res = df.withColumn("_bucket", F.lit(0)).withColumn(out, inner).drop("_bucket")
         return res, n, total
-    df = materialize(df)
+    if materialize_input:
+        df = materialize(df)
     cuts = choose_cuts(df, key_names, n, b)
     with_b = df.withColumn("_bucket", bucket_expr(keys, cuts))
     agg = F.count(F.lit(1)) if measure is None else F.sum(measure)
