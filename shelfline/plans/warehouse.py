@@ -93,7 +93,10 @@ class Warehouse:
                           ("order_date", "order_item_id"))
     @cached_property
     def fct_orders(self):
-        return self._fact(core.fct_orders(self.stg_orders, self.order_items_enriched), "fct_orders",
+        # the landed line fact holds exactly the enriched rows (full refresh),
+        # so the order totals read it instead of re-deriving the enrichment
+        lines = self.fct_order_items if self.materialize_facts else self.order_items_enriched
+        return self._fact(core.fct_orders(self.stg_orders, lines), "fct_orders",
                           ("order_date", "order_id"))
     def fct_inventory_snapshot(self, window_start=None):
         """Default window: the landed table; another start: built lazily."""

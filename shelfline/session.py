@@ -1,4 +1,4 @@
-"""Session helpers: builder for local runs, lineage cutting, bounded broadcast."""
+"""Session helpers: builder for local runs, lineage cutting, table landing."""
 
 from __future__ import annotations
 
