@@ -221,10 +221,13 @@ def mart_demand_features(fct_items: DataFrame, dim_products: DataFrame,
                         .alias("week_start_date"))
     p = dim_products.filter(F.col("category").isNotNull()).select(
         F.col("product_id").alias("_pid"), "category")
-    sales = (fct_items.join(p, fct_items.product_id == p._pid, "inner")
-             .groupBy(F.col("category").alias("_c"),
-                      X.week_start("order_date").alias("_w"))
-             .agg(F.count(F.lit(1)).alias("_units"), F.sum("sale_price").alias("_rev")))
+    # pre-aggregate lines per (product, week) before the product join: the join
+    # then moves product-week aggregates, not every line
+    pw = fct_items.groupBy("product_id", X.week_start("order_date").alias("_w")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("sale_price").alias("_r"))
+    sales = (pw.join(p, pw.product_id == p._pid, "inner")
+             .groupBy(F.col("category").alias("_c"), "_w")
+             .agg(F.sum("_n").alias("_units"), F.sum("_r").alias("_rev")))
     ev = weekly_events(stg_events).withColumnRenamed("week_start_date", "_ew")
     j = (spine.join(sales, (spine.category == sales._c) & (spine.week_start_date == sales._w), "left")
               .join(ev, spine.week_start_date == ev._ew, "left"))
@@ -259,9 +262,10 @@ def recent_mean_forecast(fct_items: DataFrame, dim_products: DataFrame, horizon:
     Same columns as the ML output (SNK11); feeds MOD15 when no model ran."""
     hi = fct_items.select(F.max("order_date")).scalar()
     p = dim_products.select(F.col("product_id").alias("_pid"), "category")
-    recent = (fct_items.filter(F.col("order_date") > F.date_sub(hi, days))
-              .join(p, fct_items.product_id == p._pid, "inner")
-              .groupBy("category").agg(F.count(F.lit(1)).alias("_n")))
+    per_product = (fct_items.filter(F.col("order_date") > F.date_sub(hi, days))
+                   .groupBy("product_id").agg(F.count(F.lit(1)).alias("_pn")))
+    recent = (per_product.join(p, per_product.product_id == p._pid, "inner")
+              .groupBy("category").agg(F.sum("_pn").alias("_n")))
     weeks = days / 7.0
     return recent.select(
         "category",
@@ -288,10 +292,10 @@ def mart_inventory_recommendations(inv_latest: DataFrame, forecast: DataFrame,
         S.mean("predicted_units").alias("_cat_fc"))
     last_sale = fct_items.select(F.max("order_date")).scalar()
     p = dim_products.select(F.col("product_id").alias("_pid"), F.col("category").alias("_pcat"))
-    recent = (fct_items.filter(F.col("order_date") > F.date_sub(last_sale, 84))
-              .join(p, fct_items.product_id == p._pid, "inner")
-              .groupBy(F.col("_pcat").alias("_rc"), F.col("product_id").alias("_sp"))
-              .agg(F.count(F.lit(1)).alias("units_12w")))
+    per_product = (fct_items.filter(F.col("order_date") > F.date_sub(last_sale, 84))
+                   .groupBy("product_id").agg(F.count(F.lit(1)).alias("units_12w")))
+    recent = per_product.join(p, per_product.product_id == p._pid, "inner").select(
+        F.col("_pcat").alias("_rc"), F.col("product_id").alias("_sp"), "units_12w")
     totals = recent.groupBy(F.col("_rc").alias("_tc")).agg(F.sum("units_12w").alias("_cat_units"))
     share = recent.join(totals, recent._rc == totals._tc, "inner").select(
         "_sp", X.ratio("units_12w", "_cat_units").alias("_share"))
