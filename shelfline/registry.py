@@ -34,7 +34,7 @@ def _wh(spark: SparkSession, sf_dir: str, materialize_facts: bool = True) -> War
     """One warehouse per session and directory: sources are landed once and
     each fact is built once, then every model reads them (a full build)."""
     from . import sources
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _WAREHOUSES:
         import uuid
         from .session import table_root

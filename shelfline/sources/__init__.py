@@ -93,7 +93,7 @@ _LANDED: dict[tuple, LandedSources] = {}
 
 def landed(spark: SparkSession, sf_dir: str) -> LandedSources:
     """One landed copy per session and directory."""
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LANDED:
         import uuid
         from ..session import table_root
