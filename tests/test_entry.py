@@ -30,7 +30,8 @@ FAST = ["stg_order_items", "dim_customers", "order_items_enriched", "fct_orders"
         "fct_inventory_snapshot", "mart_product_performance", "mart_fulfillment_sla",
         "mart_customer_rfm", "mart_inventory_health", "mart_demand_features",
         "mart_inventory_recommendations", "scd2_snapshot_apply", "dq_core", "dq_marts",
-        "metric_all_by_month_status", "bi_rfm_segments"]
+        "metric_all_by_month_status", "bi_rfm_segments", "incremental_fct_inventory_snapshot",
+        "stream_weekly_events", "metric_revenue_by_day_spine"]
 
 
 def test_queries_match_oracle_sf0001(spark):
