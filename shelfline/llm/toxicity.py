@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .shared import cut, map_arrow
 from .words import LOWER, buffers, hashes, spans
 
-CATEGORIES, THRESHOLD = ("quality", "toxic"), 0.2
-PREFIXES, FOLDS, MAX_TRAIN_ROWS, MAX_FEATURES, MIN_ROWS = (4, 5, 6), 3, 12_000, 2048, 3
+CATEGORIES, THRESHOLD = ("quality", "toxic"), 0.15
+PREFIXES, FOLDS, MAX_TRAIN_ROWS, MAX_FEATURES, MIN_ROWS = (4, 5, 6), 3, 12_000, 1024, 3
 #: letters are ASCII letters and all bytes of other scripts
 _NOT_LETTER = np.ones(256, bool)
 _NOT_LETTER[97:123] = False
@@ -147,7 +147,7 @@ def _selected(rows: DataFrame, n: int, max_features: int, min_rows: int) -> np.n
 
 def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, id_col: str = "doc_id", text_col: str = "text",
         folds: int = FOLDS, max_train_rows: int = MAX_TRAIN_ROWS, max_features: int = MAX_FEATURES,
-        min_rows: int = MIN_ROWS, reg: float = 5e-5, iterations: int = 50) -> Chain:
+        min_rows: int = MIN_ROWS, reg: float = 5e-5, iterations: int = 25) -> Chain:
     """Learn a chain of one link per category (label columns, 0 or 1)."""
     n = len(categories)
     y = [f"y{k}" for k in range(n)]
@@ -171,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, id_col: str =
     vector = F.udf(lambda f: SparseVector(total, f, [1.0] * len(f)), VectorUDT())
     # earlier categories' probabilities are set into the last places, link by link
     chained = F.udf(lambda v, at, p: SparseVector(total, [*v.indices, at], [*v.values, p]), VectorUDT())
-    parts = max(2, docs.sparkSession.sparkContext.defaultParallelism)
+    parts = max(2, max_train_rows // 6000)  # few, short tasks per step of the optimiser
     data = cut(found.repartition(parts).select("fold", *y, vector("f").alias("x")))
     links = []
     for k in range(n):
