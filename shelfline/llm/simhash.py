@@ -41,9 +41,9 @@ from .words import LOWER_BYTES, mix64, pack, unpack
 
 SEED = 42
 #: variants that one shard holds, on average
-SHARD_VARIANTS = 1_000_000
-#: fingerprints expanded at once
-CHUNK = 4096
+SHARD_VARIANTS = 3_000_000
+#: fingerprints expanded at once, and by one task
+CHUNK, TASK_FINGERPRINTS = 4096, 16_384
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -160,7 +160,8 @@ def similar_edges(fps: DataFrame, n: int, max_bits: int = 3) -> DataFrame:
             pairs = np.unique(np.stack([hub[ok].view(np.int64), fp[ok].view(np.int64)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
 
-    blocks = map_arrow(fps.select("fp"), emit, "shard int, block binary")
+    dealt = fps.select("fp").repartition(-(-max(n, 1) // TASK_FINGERPRINTS), "fp")
+    blocks = map_arrow(dealt, emit, "shard int, block binary")
     return map_arrow(blocks.repartitionById(width, "shard"), meet, "u bigint, v bigint")
 
 
