@@ -30,7 +30,7 @@ DIMS, ORDER = 1024, 3
 UNKNOWN = "und"
 _GAP = 0
 #: texts profiled at once, n-grams whose vectors are kept by a worker
-_GROUP, _KEPT = 64, 60_000
+_GROUP, _KEPT = 64, 50_000
 
 _letter: np.ndarray | None = None
 _cache: dict = {}
@@ -67,7 +67,7 @@ def grams(text: str | None, order: int = ORDER) -> np.ndarray:
 
 
 def vectors(codes: np.ndarray, dims: int = DIMS, order: int = ORDER) -> np.ndarray:
-    """Bound n-gram vectors (float32 +-1), one row per code."""
+    """Bound n-gram vectors (int8 +-1), one row per code."""
     out = np.ones((len(codes), dims), np.int8)
     for i in range(order):
         cp = (codes >> np.uint64(21 * (order - 1 - i))) & np.uint64((1 << 21) - 1)
@@ -76,14 +76,14 @@ def vectors(codes: np.ndarray, dims: int = DIMS, order: int = ORDER) -> np.ndarr
         bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.int8)
         letter = np.roll(2 * bits - 1, order - 1 - i, axis=1)
         out *= letter[inv]
-    return out.astype(np.float32)
+    return out
 
 
 def _known(codes: np.ndarray, dims: int, order: int) -> np.ndarray:
     """Vectors of sorted distinct codes, kept between calls up to a bound."""
     kept = _cache.get((dims, order))
     if kept is None or len(kept[0]) > _KEPT:
-        kept = (np.zeros(0, np.uint64), np.zeros((0, dims), np.float32))
+        kept = (np.zeros(0, np.uint64), np.zeros((0, dims), np.int8))
     at = np.searchsorted(kept[0], codes)
     new = codes[(at == len(kept[0])) | (kept[0][np.minimum(at, len(kept[0]) - 1)] != codes)] if len(kept[0]) else codes
     if len(new):
@@ -91,7 +91,7 @@ def _known(codes: np.ndarray, dims: int, order: int) -> np.ndarray:
         sort = np.argsort(every)
         kept = (every[sort], np.concatenate([kept[1], vectors(new, dims, order)])[sort])
     _cache[dims, order] = kept
-    return kept[1][np.searchsorted(kept[0], codes)]
+    return kept[1][np.searchsorted(kept[0], codes)].astype(np.float32)
 
 
 def _bundle(texts: list, dims: int, order: int) -> np.ndarray:
@@ -99,8 +99,8 @@ def _bundle(texts: list, dims: int, order: int) -> np.ndarray:
     counted = [np.unique(grams(t, order), return_counts=True) for t in texts]
     codes = np.unique(np.concatenate([c for c, _ in counted]))
     out = np.zeros((len(texts), dims))
-    for at in range(0, len(codes), 8192):  # bounded memory however many n-grams a text has
-        part = codes[at:at + 8192]
+    for at in range(0, len(codes), 4096):  # bounded memory however many n-grams a text has
+        part = codes[at:at + 4096]
         table = np.zeros((len(texts), len(part)), np.float32)
         for row, (c, n) in zip(table, counted):
             i, j = np.searchsorted(c, part[0]), np.searchsorted(c, part[-1], "right")
@@ -116,21 +116,21 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         total: dict[str, np.ndarray] = {}
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), object)
-            texts = b.column(1).to_pylist()
+            texts = b.column(1)
             for lang in set(langs.tolist()):
                 own = np.flatnonzero(langs == lang)
                 codes, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 for at in range(0, len(own), _GROUP):
-                    got = np.concatenate([codes] + [grams(texts[i], order) for i in own[at:at + _GROUP]])
+                    got = np.concatenate([codes] + [grams(texts[int(i)].as_py(), order) for i in own[at:at + _GROUP]])
                     codes, inv, add = np.unique(got, return_inverse=True, return_counts=True)
                     add = add.astype(np.int64)
                     if len(n):  # each code already held came once more
                         add[inv[:len(n)]] += n - 1
                     n = add
                 acc = total.setdefault(lang, np.zeros(dims, np.int64))
-                for at in range(0, len(codes), 8192):
-                    acc += np.rint(n[at:at + 8192].astype(np.float64)
-                                   @ _known(codes[at:at + 8192], dims, order)).astype(np.int64)
+                for at in range(0, len(codes), 4096):
+                    acc += np.rint(n[at:at + 4096].astype(np.float64)
+                                   @ _known(codes[at:at + 4096], dims, order)).astype(np.int64)
         for lang, v in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims, pa.string()),
                                               pa.array(np.arange(dims, dtype=np.int32)), pa.array(v)],
@@ -155,9 +155,9 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     def run(batches):
         for b in batches:
             langs, scores = [], []
-            texts = b.column(b.num_columns - 1).to_pylist()
+            texts = b.column(b.num_columns - 1)
             for at in range(0, len(texts), _GROUP):
-                profile = _bundle(texts[at:at + _GROUP], dims, order)
+                profile = _bundle(texts.slice(at, _GROUP).to_pylist(), dims, order)
                 size = np.linalg.norm(profile, axis=1)
                 if not names:
                     langs += [UNKNOWN] * len(size)

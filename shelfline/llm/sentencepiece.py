@@ -37,7 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: parts whose ids a task keeps; parts encoded at once
-KEPT, BATCH = 600_000, 20_000
+KEPT, BATCH = 400_000, 20_000
 
 
 def _fields(data: bytes):
@@ -284,9 +284,9 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataF
         own = codec(at.value)
         for b in batches:
             col, start = b.column(b.num_columns - 1), 0
-            while start < len(col):  # texts of about 8 MB at a time
+            while start < len(col):  # texts of about 2 MB at a time
                 stop, size = start, 0
-                while stop < len(col) and (stop == start or size < 8 << 20):
+                while stop < len(col) and (stop == start or size < 2 << 20):
                     size += len(col[stop].as_buffer() or b"") if col[stop].is_valid else 0
                     stop += 1
                 texts = col.slice(start, stop - start).to_pylist()

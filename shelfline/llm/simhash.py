@@ -41,9 +41,9 @@ from .words import LOWER_BYTES, mix64, pack, unpack
 
 SEED = 42
 #: variants that one shard holds, on average
-SHARD_VARIANTS = 3_000_000
+SHARD_VARIANTS = 1_500_000
 #: fingerprints expanded at once, and by one task
-CHUNK, TASK_FINGERPRINTS = 4096, 16_384
+CHUNK, TASK_FINGERPRINTS = 2048, 16_384
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -77,7 +77,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id"
     """(id, fp): the 64-bit fingerprint of every row's whole text."""
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t, shingle_words) for t in b.column(1).to_pylist()]
+            fps = []
+            for at in range(0, len(b), 256):
+                fps += [fingerprint(t, shingle_words) for t in b.column(1).slice(at, 256).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -122,9 +124,9 @@ def similar_edges(fps: DataFrame, n: int, max_bits: int = 3) -> DataFrame:
                 cuts = np.append(np.flatnonzero(np.diff(shard, prepend=shard[0] + 1)), len(shard))
                 ids, blobs = [], []
                 for i, j in zip(cuts[:-1], cuts[1:]):
-                    used, own = np.unique(src[i:j], return_inverse=True)
+                    used, place = np.unique(src[i:j], return_inverse=True)
                     ids.append(int(shard[i]))
-                    blobs.append(pack(fp[used], own.astype(np.uint16), mask[i:j]))
+                    blobs.append(pack(fp[used], place.astype(np.uint16), mask[i:j]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())],
                                                  names=["shard", "block"])
 
@@ -133,21 +135,23 @@ def similar_edges(fps: DataFrame, n: int, max_bits: int = 3) -> DataFrame:
         for b in batches:
             for s, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held.setdefault(s, []).append(unpack(blob))
-        for blocks in held.values():
-            fp, variant, is_near = [], [], []
-            for own, src, mask in blocks:
-                fp.append(own[src])
-                variant.append(own[src] ^ flip[mask])
-                is_near.append(mask < near)
-            fp, variant, is_near = map(np.concatenate, (fp, variant, is_near))
+        for shard in list(held):
+            own, src, mask, n = [], [], [], 0
+            for f, i, m in held.pop(shard):
+                own.append(f)
+                src.append(i + np.uint32(n))
+                mask.append(m)
+                n += len(f)
+            own, src, mask = map(np.concatenate, (own, src, mask))
+            variant = own[src] ^ flip[mask]
             order = np.argsort(variant)
             variant = variant[order]
-            same = variant[1:] == variant[:-1]
             hit = np.zeros(len(variant), bool)
-            hit[1:] |= same
-            hit[:-1] |= same
-            rows = order[hit]
-            variant, fp, is_near = variant[hit], fp[rows], is_near[rows]
+            hit[1:] = variant[1:] == variant[:-1]
+            hit[:-1] |= hit[1:]
+            rows, variant = order[hit], variant[hit]
+            fp, is_near = own[src[rows]], mask[rows] < near
+            del own, src, mask, order
             order = np.lexsort((fp, ~is_near, variant))  # a near member first, if there is one
             variant, fp, is_near = variant[order], fp[order], is_near[order]
             first = np.ones(len(variant), bool)

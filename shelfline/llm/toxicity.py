@@ -73,7 +73,9 @@ def features(col: pa.Array, known: np.ndarray | None = None):
     return r[new], h[new]
 
 
-def _pieces(col: pa.Array, size: int = 16 << 20):
+def _pieces(col: pa.Array, size: int = 4 << 20):
+    """Runs of rows of about ``size`` bytes of text, so that a worker's arrays
+    of words stay small whatever the batch holds."""
     _, offsets = buffers(col)
     at = 0
     while at < len(col):
@@ -218,19 +220,21 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text", keep_text: b
     rest = [c for c in docs.columns if keep_text or c != text_col]
     new = [prefix + c for c in chain.categories]
     at = docs.sparkSession.sparkContext.broadcast(chain)
+    sent = docs if keep_text else docs.select(*rest, text_col)  # the text goes to the workers once
+    place = sent.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            for i, j, piece in _pieces(b.column(b.num_columns - 1)):
+            for i, j, piece in _pieces(b.column(place)):
                 p = at.value.predict(piece)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.slice(i, j - i).columns[:-1], *[pa.array(p[:, k]) for k in range(len(new))]],
-                    names=[*b.schema.names[:-1], *new])
+                own = b.slice(i, j - i).columns[:len(rest)]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(p[:, k]) for k in range(len(new))]],
+                                                 names=[*b.schema.names[:len(rest)], *new])
 
     schema = docs.select(*rest).schema
     for c in new:
         schema = schema.add(c, "double")
-    return map_arrow(docs.select(*rest, F.col(text_col).alias("__text")), run, schema)
+    return map_arrow(sent, run, schema)
 
 
 def reject(docs: DataFrame, labels: DataFrame, category: str = "toxic", threshold: float = THRESHOLD, **fitting) -> DataFrame:
