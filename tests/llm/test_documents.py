@@ -26,8 +26,8 @@ def _same(a, b, key):
     a, b = (x.sort_values(key).reset_index(drop=True)[sorted(x.columns)] for x in (a, b))
     assert a.dtypes.index.equals(b.dtypes.index) and len(a) == len(b)
     for c in a.columns:
-        for x, y in zip(a[c].tolist(), b[c].tolist()):
-            assert x == y or (x is None or x != x) and (y is None or y != y), (c, x, y)
+        x, y = (f[c].astype(object).where(f[c].notna(), None).tolist() for f in (a, b))
+        assert x == y, c
 
 
 def test_fingerprint_is_xxhash64_majority(spark):
