@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import re
@@ -49,9 +50,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers."""
+    """``mapInArrow`` with this package on the workers, which give freed memory
+    back to the machine after each partition."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def trimmed(batches):
+        yield from run(batches)
+        _give_back()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: an idle worker shares its machine
+    with the executor's JVM."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
 
 
 def cut(df: DataFrame) -> DataFrame:
