@@ -2,20 +2,20 @@
 
 A plain ``ntile(5) over (order by x)`` or ``sum(x) over (order by x desc)``
 makes Spark move every row into one partition.  Here the total order is cut
-into balanced ranges instead:
-
-1. count the rows; choose B = ceil(n / rows_per_bucket) buckets (bounded);
-2. draw a sample of about ``B * 32`` sort keys, collect it (bounded) and take
-   B - 1 cut tuples from it;
-3. bucket of a row = number of cut tuples <= row (a balanced binary search of
-   literal comparisons, inside codegen); a hot value is split across buckets
-   because the cut tuples include the tie-breaking key;
-4. per-bucket totals (B rows) give the prefix offsets;
-5. inside each bucket an ordinary window over (bucket, keys) + offset.
-
-Cuts only decide balance, never the answer: any cut set gives the same ranks.
-All keys must be non-null and ascending; callers encode direction and null
-placement into the keys (negate for descending, a 0/1 flag for nulls).
+into ranges instead, at every input size alike:
+
+1. ``repartitionByRange`` on the whole key (the tie-breaking id included, so a
+   hot value is split) and a sort inside each partition;
+2. each row keeps its partition and its position in it, in one id; the result
+   is materialized, so the ids never change;
+3. per-partition totals (one row per partition) give the prefix offsets;
+4. a row number is offset + position, with no window at all; a running sum is
+   offset + an ordinary window inside the range.
+
+The number of ranges is the session's shuffle width, or more where a range
+would exceed ``rows_per_bucket`` rows.  Ranges only decide balance, never the
+answer.  All keys must be non-null and ascending; callers encode direction and
+null placement into the keys (negate for descending, a 0/1 flag for nulls).
 """
 
 from __future__ import annotations
@@ -28,88 +28,52 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 512
-SAMPLE_PER_BUCKET = 32
-
-
-def _ge(keys: list[Column], cut: tuple) -> Column:
-    """Lexicographic ``keys >= cut`` for non-null keys."""
-    out = F.lit(True)
-    for k, v in reversed(list(zip(keys, cut))):
-        out = (k > F.lit(v)) | ((k == F.lit(v)) & out)
-    return out
-
-
-def bucket_expr(keys: list[Column], cuts: list[tuple]) -> Column:
-    """Number of cut tuples that are <= the row, by binary search."""
-    def search(lo, hi):
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_ge(keys, cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
-    return search(0, len(cuts))
-
-
-def choose_cuts(df: DataFrame, key_names: list[str], n: int, n_buckets: int,
-                seed: int = 17) -> list[tuple]:
-    """B - 1 distinct cut tuples from a bounded sample of the sort keys."""
-    if n_buckets <= 1 or n == 0:
-        return []
-    frac = min(1.0, n_buckets * SAMPLE_PER_BUCKET / n)
-    sample = df.select(*key_names).sample(False, frac, seed).collect()
-    rows = sorted(tuple(r) for r in sample)
-    if not rows:
-        return []
-    cuts = []
-    for i in range(1, n_buckets):
-        c = rows[min(len(rows) - 1, (i * len(rows)) // n_buckets)]
-        if not cuts or c > cuts[-1]:
-            cuts.append(c)
-    return cuts
-
-
-def _n_buckets(n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    return max(1, min(max_buckets, math.ceil(n / max(rows_per_bucket, 1))))
+
+#: monotonically_increasing_id: partition above these bits, position below
+_POSITION_BITS = 33
+
+
+def n_buckets(df: DataFrame, n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Ranges for ``n`` rows: the session's shuffle width at least."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(width, math.ceil(n / max(rows_per_bucket, 1)))
 
 
 def global_prefix(df: DataFrame, key_names: list[str], out: str, measure: str | None = None,
-                  n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
-                  max_buckets: int = MAX_BUCKETS,
-                  materialize_input: bool = True) -> tuple[DataFrame, int, object]:
+                  n: int | None = None,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int, object]:
     """Inclusive prefix over the total order of ``key_names``.
 
     ``measure=None`` gives the 1-based global row number; otherwise the running
     sum of ``measure`` (ROWS frame).  Returns (frame with ``out``, n, total):
-    ``total`` is n for row numbers, else the measure total -- a Python value
-    when it was collected with the per-bucket totals, a scalar-subquery Column
-    in the single-bucket case.  With more than one bucket ``df`` is read
-    several times, so it is materialized first.
+    ``total`` is n for row numbers, else the sum of the measure (0 if there is
+    none).  ``df`` is read several times; give ``n`` only with a frame that is
+    cheap to read again, otherwise it is materialized first.
     """
     if n is None:
+        df = materialize(df)
         n = df.count()
-    b = _n_buckets(n, rows_per_bucket, max_buckets)
     keys = [F.col(k) for k in key_names]
-    inner_w = Window.partitionBy("_bucket").orderBy(*keys)
-    inner = (F.row_number().over(inner_w) if measure is None else
-             F.sum(measure).over(inner_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if b == 1:
-        # one bounded bucket (n <= rows_per_bucket): no sampling, no offsets
-        total = n if measure is None else df.select(F.sum(measure)).scalar()
-        res = df.withColumn("_bucket", F.lit(0)).withColumn(out, inner).drop("_bucket")
-        return res, n, total
-    if materialize_input:
-        df = materialize(df)
-    cuts = choose_cuts(df, key_names, n, b)
-    with_b = df.withColumn("_bucket", bucket_expr(keys, cuts))
+    ranged = materialize(df.repartitionByRange(n_buckets(df, n, rows_per_bucket), *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn("_at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_bucket", F.shiftright("_at", _POSITION_BITS))
     agg = F.count(F.lit(1)) if measure is None else F.sum(measure)
-    per_bucket = dict(tuple(r) for r in with_b.groupBy("_bucket").agg(agg.alias("t")).collect())
+    totals = ranged.groupBy("_bucket").agg(agg.alias("_offset"))
     offsets, run = [], 0
-    for i in range(len(cuts) + 1):
-        offsets.append(run)
-        t = per_bucket.get(i)
+    for bucket, t in sorted(tuple(r) for r in totals.collect()):
+        offsets.append((bucket, run if run or t is None else t - t))
         run = run + (t if t is not None else 0)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_bucket") + 1)
-    res = with_b.withColumn(out, off + inner).drop("_bucket")
+    # one row per range: as bounded as the number of partitions
+    before = F.broadcast(df.sparkSession.createDataFrame(offsets, totals.schema))
+    if measure is None:
+        inner = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1
+    else:
+        inner = F.sum(measure).over(Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow))
+    res = (ranged.withColumn("_in", inner).join(before, "_bucket")
+           .withColumn(out, F.col("_offset") + F.col("_in"))
+           .drop("_at", "_bucket", "_in", "_offset"))
     return res, n, run
 
 

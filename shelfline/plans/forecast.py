@@ -131,17 +131,16 @@ def step_features(state: DataFrame, week: Column, events: DataFrame) -> DataFram
 
 
 def recursive_forecast(model: PipelineModel, panel: DataFrame, start_week: dt.date, horizon: int,
-                       events: DataFrame, checkpoint_every: int = 4) -> DataFrame:
-    """ML4: H recursive steps per category, all categories at once."""
+                       events: DataFrame) -> DataFrame:
+    """ML4: H recursive steps per category, all categories at once.  Each step
+    (one row per category) is materialized, so no step runs twice."""
     state = history_state(panel, start_week)
     steps = []
     for h in range(horizon):
         week = F.date_add(F.lit(start_week), 7 * h)
         feats = step_features(state, week, events)
         pred = model.transform(feats).withColumn("_p", F.greatest(F.col("prediction"), F.lit(0.0)))
-        pred = pred.select("category", "hist", "forecast_week", "_p")
-        if checkpoint_every and (h + 1) % checkpoint_every == 0:
-            pred = materialize(pred)
+        pred = materialize(pred.select("category", "hist", "forecast_week", "_p"))
         steps.append(pred.select("category", "forecast_week", F.lit(h + 1).cast("long").alias("week_ahead"),
                                  F.round("_p", 2).alias("predicted_units")))
         appended = F.concat("hist", F.array("_p"))

@@ -82,12 +82,13 @@ def rfm_segment(r: Column, f: Column) -> Column:
 
 
 def rfm_base(fct_orders: DataFrame) -> DataFrame:
-    """AGG9 + AGG10: per customer over non-cancelled orders; as-of = max order
+    """AGG9 + AGG10: per customer over non-cancelled orders (order_id is the
+    fact's key, so a plain count equals the distinct one); as-of = max order
     date over *all* orders (F2)."""
     as_of = fct_orders.select(F.max("order_date")).scalar()
     kept = fct_orders.filter(F.col("status") != "Cancelled")
     c = kept.groupBy(F.col("user_id").alias("customer_id")).agg(
-        F.countDistinct("order_id").alias("frequency"),
+        F.count("order_id").alias("frequency"),
         F.sum("gross_revenue").alias("monetary"),
         F.max("order_date").alias("last_order_date"))
     return c.select("customer_id", X.days_between(as_of, "last_order_date").alias("recency_days"),
@@ -114,6 +115,7 @@ def scored_quintiles(base: DataFrame, key: str = "customer_id", k: int = 5,
 
     The three rankings are chained on one frame (one shuffle each), so no
     join back on the customer key is needed."""
+    base = materialize(base)
     n = base.count()
     specs = {
         "r_score": [("recency_days", False, False), (key, True, True)],
@@ -123,7 +125,7 @@ def scored_quintiles(base: DataFrame, key: str = "customer_id", k: int = 5,
     out = base
     for j, (name, spec) in enumerate(specs.items()):
         out, names = _sort_keys(out, spec, f"_k{j}_")
-        # with several buckets the kernel materializes its input (read 3 times)
+        # the input is a projection of a materialized frame: cheap to read again
         out = ranking.global_ntile(out, k, names, name, n=n, **kw).drop(*names)
     return out
 
@@ -158,7 +160,7 @@ def abc_classes(product_revenue: DataFrame, value: str = "revenue_12m", key: str
     pv = product_revenue.filter(F.col(value).isNotNull())
     dv = pv.groupBy(value).agg(F.sum(value).alias("_s")).withColumn("_neg", -F.col(value))
     cum, _, total = ranking.global_prefix(dv, ["_neg"], "_cum", measure="_s", **kw)
-    tot = total if isinstance(total, Column) else F.lit(total if total is not None else 0)
+    tot = F.lit(total)
     pct = F.try_divide(F.col("_cum").cast("double"), F.when(tot != 0, tot).cast("double"))
     cls = cum.select(F.col(value).alias("_v"),
                      F.when(pct <= a, "A").when(pct <= b, "B").otherwise("C").alias("abc_class"))

@@ -84,11 +84,24 @@ def test_abc_edges(spark):
     assert got == {1: "A", 2: "B", 3: "C"}
 
 
-def test_no_single_partition_exchange_in_rfm_plan(spark):
-    rows = [(i, i % 13, 1 + i % 4, Decimal(i % 17)) for i in range(200)]
+def test_rankings_at_default_settings_use_many_partitions(spark):
+    rows = [(i, i % 13, 1 + i % 4, Decimal(i % 17)) for i in range(2000)]
     base = spark.createDataFrame(rows, "customer_id long, recency_days int, frequency long, monetary decimal(22,2)")
-    plan = marts.scored_quintiles(base, rows_per_bucket=20)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    got = marts.scored_quintiles(base)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 1000
+    abc = marts.abc_classes(spark.createDataFrame([(i, Decimal(i)) for i in range(2000)],
+                                                  "product_id long, revenue_12m decimal(22,2)"))
+    assert "SinglePartition" not in abc._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefix_of_empty_table(spark):
+    empty = spark.createDataFrame([], "k long, x long")
+    got, n, total = ranking.global_prefix(empty, ["k"], "cum", measure="x")
+    assert (got.count(), n, total) == (0, 0, 0)
+    assert ranking.global_ntile(empty, 5, ["k"], "t").count() == 0
 
 
 def test_ntile_property_random(spark):
