@@ -89,10 +89,11 @@ def as_of_value(facts: DataFrame, history: DataFrame, ts_col: str, key: str = "p
     (t < first_from and version = 1)`` equals
     ``t is not null and (version = 1 or t >= from) and (to is null or t < to)``
     for gap-free histories, which is one equi key plus a residual filter:
-    a hash/sort-merge join on the key, never a nested loop.  Skewed keys are
-    split by AQE's skew-join handling (the version side is per key tiny).
+    a hash/sort-merge join on the key, never a nested loop.  The ranked versions
+    (small) are dealt anew by (key, start) behind their window, so both sides of
+    the join are plain shuffles on the key and AQE splits a hot key's events.
     """
-    v = ranked_versions(history, key, value).alias("v")
+    v = ranked_versions(history, key, value).repartition(key, "valid_from").alias("v")
     f = facts.alias("f")
     t = F.col(f"f.{ts_col}")
     cond = ((F.col(f"f.{key}") == F.col(f"v.{key}")) & t.isNotNull()

@@ -234,6 +234,12 @@ def _q(spark, d):
     return contracts.enforce(publish(_wh(spark, d).dim_products), contracts.DIM_PRODUCTS)
 
 
+@register("contract_fct_order_items", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
+def _q(spark, d):
+    from .operators import contracts
+    return contracts.enforce(publish(_wh(spark, d).fct_order_items), contracts.FCT_ORDER_ITEMS)
+
+
 # ---- data quality -------------------------------------------------------------
 
 def _dq_summary(checks):

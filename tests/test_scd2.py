@@ -63,3 +63,32 @@ def test_history_as_of_reopens_versions(spark):
     ], "product_id long, cost double, valid_from timestamp_ntz, valid_to timestamp_ntz")
     before = scd2.history_as_of(hist, dt.datetime(2000, 1, 1)).collect()
     assert len(before) == 1 and before[0].valid_to is None
+
+
+def test_as_of_join_splits_a_hot_product(spark):
+    """80 % of the events on one product: the final plan splits that partition."""
+    from pyspark.sql import functions as F
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        day = F.lit("2024-01-01").cast("timestamp_ntz")
+        history = spark.range(50).select(F.col("id").alias("product_id"), F.col("id").cast("double").alias("cost"),
+                                         day.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+        facts = spark.range(0, 60_000, 1, 16).select(
+            "id", F.when(F.col("id") % 5 < 4, 7).otherwise(F.col("id") % 50).alias("product_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("note"), day.alias("at"))
+        got = scd2.as_of_value(facts, history, "at")
+        assert got.filter("value_at_event = product_id").count() == 60_000
+        got.write.format("noop").mode("overwrite").save()
+        rows = got.collect()
+        assert len(rows) == 60_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
