@@ -23,8 +23,10 @@ repeated rows come out once each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: parts whose ids a task keeps; parts encoded at once
-KEPT, BATCH = 400_000, 20_000
+KEPT, BATCH = 100_000, 8_000
 
 
 def _fields(data: bytes):
@@ -123,12 +125,14 @@ class Codec:
     """Encoder and decoder of one worker."""
 
     def __init__(self, data: bytes):
+        # the tokenizers library reads its thread count once; tasks share the machine's cores
+        os.environ.setdefault("RAYON_NUM_THREADS", "2")
         import sentencepiece
         from tokenizers import normalizers
+        self.data = data
         self.spec = Spec(data)
         self.tokenizer = build(self.spec)
         self.charsmap = normalizers.Precompiled(self.spec.charsmap) if self.spec.charsmap else None
-        self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         # the reference for parts, whose text is normalised already: the same model with
         # a second normaliser message (later protobuf fields win): no map, prefix or squeezing
         self.raw = sentencepiece.SentencePieceProcessor(model_proto=data + bytes([0x1A, 6, 0x12, 0, 0x18, 0, 0x20, 0]))
@@ -136,6 +140,12 @@ class Codec:
         self.bytes_of = {i: int(p[3:5], 16) for i, (p, t) in enumerate(zip(self.spec.pieces, self.spec.types)) if t == BYTE}
         self._forget()
 
+    @cached_property
+    def reference(self):
+        """The sentencepiece library's own processor of whole texts."""
+        import sentencepiece
+        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
+
     def _forget(self) -> None:
         # number of a part, by the word behind its one marker or by the whole part
         self.words: dict[str, int] = {}

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+#: rows of a batch sent to a Python worker: texts of a batch are held twice in
+#: the executor (JVM buffer and worker), so a batch stays at a few MB
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: a side is broadcast up to this many (short) rows; beyond it, a plain join
 BROADCAST_ROWS = 50_000
 
@@ -51,8 +56,12 @@ def ship(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the workers, which give freed memory
-    back to the machine after each partition."""
-    ship(df.sparkSession)
+    back to the machine after each partition.  Lowers the session's batch size
+    to BATCH_ROWS (a smaller setting is kept)."""
+    spark = df.sparkSession
+    ship(spark)
+    if not 0 < int(spark.conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
     def trimmed(batches):
         yield from run(batches)
