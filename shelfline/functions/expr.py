@@ -101,8 +101,3 @@ def weeks_back(d, n_weeks: int) -> Column:
 def money(c) -> Column:
     """Money is carried as DECIMAL(12,2) inside the models."""
     return col(c).cast("decimal(12,2)")
-
-
-def money_sum(c) -> Column:
-    """Exact money total; independent of task order."""
-    return F.sum(col(c).cast("decimal(18,2)"))

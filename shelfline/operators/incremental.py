@@ -1,12 +1,17 @@
 """Incremental, date-partitioned fact tables (SNK3-SNK5, SNK8, SNK9, SNK13).
 
-* ``lookback_cutoff``: ``max(partition) - lookback`` of the stored table, or
-  None when the table is absent or empty (then the run is a full load);
+* ``lookback_cutoff``: ``max(partition) - lookback`` of the stored table, taken
+  from the list of its partition folders (no file is read), or None when the
+  table is absent or empty (then the run is a full load).  A folder that holds
+  anything but such partitions is an error, never a reason to overwrite it;
 * ``write_partitions``: dynamic partition overwrite, so only the dates present
   in the new result are replaced; files are range-partitioned on
   (date, cluster keys) and sorted, which keeps big dates split across tasks
   and gives tight parquet min/max statistics for the cluster keys;
-* ``align_schema``: ``append_new_columns`` / ``sync_all_columns`` / ``fail``;
+* ``align_schema``: ``ignore`` / ``append_new_columns`` / ``sync_all_columns`` /
+  ``fail``.  The table's schema is recorded beside it and ``read_table`` reads
+  by it: files of before a change show new columns as null, and columns that
+  the table no longer has don't show;
 * ``build_incremental``: read the cutoff first (an action), then write; the
   output never overwrites the path it is computed from in the same plan.
 """
@@ -14,51 +19,88 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for null
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    try:
-        r = spark.read.option("mergeSchema", "true")
-        if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(path)
-    except AnalysisException:
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def partition_values(spark: SparkSession, path: str, part_col: str) -> list[str] | None:
+    """Values of the stored partitions; None where nothing is stored at ``path``."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
         return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    names = [n for n in names if not n.startswith(("_", "."))]
+    strange = [n for n in names if not n.startswith(f"{part_col}=")]
+    if strange:
+        raise ValueError(f"{path} is not a table partitioned by {part_col}: it holds {strange[:3]}")
+    return [n.split("=", 1)[1] for n in names]
+
+
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}.schema"
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The recorded schema; of a table without one, the merged schema of its files."""
+    fs, folder = _folder(spark, _schema_path(path))
+    if fs.exists(folder):
+        return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(path)).first()[0]))
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    (spark.range(1).select(F.lit(schema.json()).alias("value"))
+        .write.mode("overwrite").text(_schema_path(path)))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table by its recorded schema."""
+    schema = table_schema(spark, path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def _cutoff(values: list[str] | None, lookback_days: int) -> dt.date | None:
+    days = [dt.date.fromisoformat(v) for v in values or [] if v != NULL_PARTITION]
+    return max(days) - dt.timedelta(days=lookback_days) if days else None
 
 
 def lookback_cutoff(spark: SparkSession, path: str, part_col: str, lookback_days: int) -> dt.date | None:
-    """SNK5: partition values only; null max (empty table) means full load."""
-    t = read_table(spark, path)
-    if t is None or part_col not in t.columns:
-        return None
-    mx = t.agg(F.max(part_col)).first()[0]
-    if mx is None:
-        return None
-    return mx - dt.timedelta(days=lookback_days)
+    """SNK5: partition values only; an absent or empty table means full load."""
+    return _cutoff(partition_values(spark, path, part_col), lookback_days)
 
 
 def align_schema(df: DataFrame, stored: T.StructType | None, mode: str) -> DataFrame:
-    """SNK9: reconcile the new result with the stored schema."""
-    if stored is None or mode in ("ignore", "sync_all_columns"):
-        return df
-    new_cols = [c for c in df.columns if c not in stored.fieldNames()]
-    if mode == "fail":
-        gone = [f.name for f in stored.fields if f.name not in df.columns]
-        if new_cols or gone:
-            raise ValueError(f"schema changed: added {new_cols}, removed {gone}")
+    """SNK9: the new result in the columns the table has after this run.
+
+    ``ignore`` keeps the stored columns (a missing one is an error),
+    ``append_new_columns`` adds new ones (a missing one is null),
+    ``sync_all_columns`` takes the new result's, ``fail`` allows no change.
+    """
+    if mode not in ("ignore", "append_new_columns", "sync_all_columns", "fail"):
+        raise ValueError(mode)
+    if stored is None or mode == "sync_all_columns":
         return df
+    added = [c for c in df.columns if c not in stored.fieldNames()]
+    gone = [f for f in stored.fields if f.name not in df.columns]
+    if (mode == "fail" and (added or gone)) or (mode == "ignore" and gone):
+        raise ValueError(f"schema changed: added {added}, removed {[f.name for f in gone]}")
+    if mode == "ignore":
+        return df.select(*stored.fieldNames())
     if mode == "append_new_columns":
-        for f in stored.fields:
-            if f.name not in df.columns:
-                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-        return df
-    raise ValueError(mode)
+        return df.select(*[F.col(f.name) if f not in gone else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in stored.fields], *added)
+    return df
 
 
 def write_partitions(df: DataFrame, path: str, part_col: str, cluster_cols=(),
@@ -76,18 +118,10 @@ def build_incremental(spark: SparkSession, build: Callable[[dt.date | None], Dat
                       part_col: str, lookback_days: int = 3, cluster_cols=(),
                       on_schema_change: str = "ignore", full_refresh: bool = False) -> dt.date | None:
     """One run of an incremental model; returns the cutoff used (None = full)."""
-    cutoff = None if full_refresh else lookback_cutoff(spark, path, part_col, lookback_days)
-    df = build(cutoff)
-    stored = read_table(spark, path)
-    df = align_schema(df, None if stored is None else stored.schema, on_schema_change)
+    values = partition_values(spark, path, part_col)
+    cutoff = None if full_refresh else _cutoff(values, lookback_days)
+    stored = table_schema(spark, path) if cutoff is not None else None
+    df = align_schema(build(cutoff), stored, on_schema_change)
     write_partitions(df, path, part_col, cluster_cols, overwrite_all=cutoff is None)
+    record_schema(spark, path, df.schema)
     return cutoff
-
-
-def warehouse_root(spark: SparkSession) -> str:
-    """Where written tables live: the shared checkpoint directory if the
-    cluster names one, else the session's warehouse directory."""
-    ck = spark.sparkContext.getCheckpointDir()
-    if ck:
-        return ck.rstrip("/") + "/tables"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")

@@ -76,7 +76,7 @@ def failing_rows(c: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(c.kind)
 
 
-def _status(n: Column, severity: Column) -> Column:
+def status(n: Column, severity: Column) -> Column:
     return F.when(n == 0, "pass").when(severity == "warn", "warn").otherwise("fail")
 
 
@@ -111,7 +111,7 @@ def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
             for i, c in enumerate(cs)]))
         parts.append(one.select(rows.alias("r")).select("r.*"))
     out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("status", _status(F.col("n_failed"), F.col("severity")))
+    return out.withColumn("status", status(F.col("n_failed"), F.col("severity")))
 
 
 # ---- SQL form of the same checks (used by the DuckDB oracle) ------------------

@@ -29,8 +29,10 @@ def apply_snapshot(current: DataFrame, history: DataFrame | None, run_ts, key: s
     * other columns changing alone create no version.
     Re-running with the same inputs and ``run_ts`` changes nothing.
 
-    The join is a full outer join of the open versions with the current rows on
-    the key: one shuffle on the key, no broadcast, rows never leave their key.
+    One full outer join of the history (its open versions) with the current rows
+    on the key emits both rows of a change: either table is scanned once, one
+    shuffle on the key, no broadcast.  A key with closed versions only counts as
+    not seen before.
     """
     ts = X.ntz(run_ts) if not isinstance(run_ts, Column) else run_ts
     data_cols = [c for c in current.columns]
@@ -38,29 +40,28 @@ def apply_snapshot(current: DataFrame, history: DataFrame | None, run_ts, key: s
         return current.select(*data_cols, ts.alias("valid_from"),
                               F.lit(None).cast("timestamp_ntz").alias("valid_to"),
                               scd_id(F.col(key), ts).alias("scd_id"))
-    closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
-    o = open_.alias("o")
-    c = current.alias("c")
-    j = o.join(c, F.col(f"o.{key}") == F.col(f"c.{key}"), "full_outer")
+    o, c = history.alias("o"), current.alias("c")
+    # closed versions match nothing, so they come through with the open ones
+    j = o.join(c, (F.col(f"o.{key}") == F.col(f"c.{key}")) & F.col("o.valid_to").isNull(), "full_outer")
     changed = F.lit(False)
     for cc in check_cols:
         changed = changed | ~F.col(f"o.{cc}").eqNullSafe(F.col(f"c.{cc}"))
-    has_o = F.col(f"o.{key}").isNotNull()
+    has_o = F.col("o.valid_from").isNotNull()
     has_c = F.col(f"c.{key}").isNotNull()
-    # rows to emit: the open version (possibly closed now) and, if new/changed, a new one
-    keep_old = j.filter(has_o).select(
+    # rows to emit: the stored version (possibly closed now) and, if new or changed, a new one
+    old = F.struct(
         *[F.col(f"o.{x}").alias(x) for x in data_cols],
         F.col("o.valid_from").alias("valid_from"),
-        F.when(has_c & changed, ts).alias("valid_to"),
+        F.coalesce(F.col("o.valid_to"), F.when(has_c & changed, ts)).alias("valid_to"),
         F.col("o.scd_id").alias("scd_id"))
-    new_ver = j.filter(has_c & (~has_o | changed)).select(
+    new = F.struct(
         *[F.col(f"c.{x}").alias(x) for x in data_cols],
         ts.alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         scd_id(F.col(f"c.{key}"), ts).alias("scd_id"))
-    cols = data_cols + list(META)
-    return closed.select(*cols).unionByName(keep_old.select(*cols)).unionByName(new_ver.select(*cols))
+    rows = F.array(F.when(has_o, old), F.when(has_c & (~has_o | changed), new))
+    emitted = F.explode(F.filter(rows, lambda r: r.isNotNull()))
+    return j.select(emitted.alias("_r")).select(*[F.col(f"_r.{x}").alias(x) for x in (*data_cols, *META)])
 
 
 def history_as_of(history: DataFrame, ts) -> DataFrame:

@@ -3,9 +3,12 @@ singular business tests (DQ7-DQ11), each with a Spark and a SQL form."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import quality
 from ..operators.quality import Check
 
 
@@ -145,3 +148,30 @@ SINGULAR_SQL = {
       SELECT order_item_id, order_id, sale_price, cost FROM fct_order_items
       WHERE sale_price IS NOT NULL AND cost IS NULL""",
 }
+
+
+#: severity of a singular test that finds rows (the others: error)
+SINGULAR_SEVERITY = {"dq_historical_cost_differs": "warn"}
+
+
+def singular_status(found: dict[str, DataFrame]) -> DataFrame:
+    """One row per singular test: failing rows, severity and status."""
+    parts = [rows.agg(F.count(F.lit(1)).alias("n_failed")).select(
+        F.lit(name).alias("test_name"), F.lit(SINGULAR_SEVERITY.get(name, "error")).alias("severity"), "n_failed")
+        for name, rows in found.items()]
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("status", quality.status(F.col("n_failed"), F.col("severity")))
+
+
+#: every kind of check on inputs that violate it: a line fact against the orders
+#: that were not cancelled, with bounds tighter than the data
+VIOLATED = [
+    Check("orphan_lines", "lines", "relationships", ("order_id",), parent="orders_kept",
+                  parent_column="order_id"),
+    Check("order_repeats", "lines", "unique", ("order_id",), severity="warn"),
+    Check("order_status_repeats", "lines", "unique_combination", ("order_id", "status")),
+    Check("delivered_missing", "lines", "not_null", ("delivered_at",), severity="warn"),
+    Check("status_not_final", "lines", "accepted_values", ("status",), values=("Complete", "Returned")),
+    Check("price_out_of_bounds", "lines", "between", ("sale_price",), min_value=1000.0, max_value=2000.0),
+    Check("cost_over_half", "lines", "expression", expression="cost > sale_price * 0.5"),
+]

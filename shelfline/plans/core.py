@@ -95,10 +95,13 @@ def order_totals(enriched: DataFrame) -> DataFrame:
 
 def fct_orders(stg_orders: DataFrame, enriched: DataFrame,
                since: dt.date | None = None) -> DataFrame:
-    """MOD8 / JN3: orders without lines keep null totals."""
+    """MOD8 / JN3: orders without lines keep null totals; ``since`` is the
+    incremental cutoff: only lines of the slice's orders are summed."""
     o = stg_orders
     if since is not None:
         o = o.filter(X.to_day("created_at") >= F.lit(since))
+        ids = o.select(F.col("order_id").alias("_slice"))
+        enriched = enriched.join(ids, enriched.order_id == ids._slice, "left_semi")
     t = order_totals(enriched).withColumnRenamed("order_id", "_oid")
     j = o.join(t, o.order_id == t._oid, "left")
     return j.select(

@@ -36,6 +36,7 @@ NUMERIC_FEATURES = ("week_of_year", "month_of_year", "lag_1w", "lag_2w", "lag_4w
 FEATURES = ("category",) + NUMERIC_FEATURES
 TARGET = "units_sold"
 EVENT_COLS = ("events_total", "events_purchase", "events_cart")
+TRAIN_ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -57,9 +58,21 @@ def _complete(panel: DataFrame) -> DataFrame:
     return panel.dropna(subset=list(FEATURES) + [TARGET])
 
 
+def held_out_start(panel: DataFrame, horizon: int) -> dt.date:
+    """First of the last H weeks, which the back-test holds out."""
+    return panel.agg(F.max("week_start_date")).first()[0] - dt.timedelta(weeks=horizon - 1)
+
+
+def training_rows(panel: DataFrame, before: dt.date) -> DataFrame:
+    """ML3 / FLT12-13: the complete rows before the held-out weeks."""
+    return _complete(panel.filter(F.col("week_start_date") < F.lit(before)))
+
+
 def train(panel: DataFrame, p: GbtParams = GbtParams()) -> PipelineModel:
     """ML1 + ML2."""
     data = _complete(panel).select(*FEATURES, F.col(TARGET).cast("double").alias("label"))
+    # every tree level is a job over these rows: as few tasks as they need
+    data = data.coalesce(max(1, -(-panel.count() // TRAIN_ROWS_PER_TASK)))
     n_cat = panel.select("category").distinct().count()
     idx = StringIndexer(inputCol="category", outputCol="category_idx", handleInvalid="keep")
     vec = VectorAssembler(inputCols=["category_idx", *NUMERIC_FEATURES], outputCol="features",
@@ -152,27 +165,38 @@ def recursive_forecast(model: PipelineModel, panel: DataFrame, start_week: dt.da
     return out
 
 
-def backtest(panel: DataFrame, horizon: int = 8, p: GbtParams = GbtParams()) -> DataFrame:
-    """ML3 + ML6: train before the last H weeks, forecast them recursively,
-    score MAE (2 dp) and WAPE (4 dp) per horizon and overall."""
-    max_week = panel.agg(F.max("week_start_date")).first()[0]
-    valid_start = max_week - dt.timedelta(weeks=horizon - 1)
-    train_df = panel.filter(F.col("week_start_date") < F.lit(valid_start))
-    model = train(train_df, p)
-    ev = recent_events(panel, valid_start)
-    fc = recursive_forecast(model, panel, valid_start, horizon, ev)
+def recent_mean(panel: DataFrame, start_week: dt.date, horizon: int) -> DataFrame:
+    """Baseline: every week ahead takes the mean of the category's last 4 weeks."""
+    state = history_state(panel, start_week)
+    last4 = F.slice("hist", F.greatest(F.size("hist") - 3, F.lit(1)), 4)
+    ahead = F.sequence(F.lit(1).cast("long"), F.lit(horizon).cast("long"))
+    return state.select("category", F.round(_mean(last4), 2).alias("predicted_units"),
+                        F.explode(ahead).alias("week_ahead")) \
+        .withColumn("forecast_week", F.date_add(F.lit(start_week), 7 * (F.col("week_ahead").cast("int") - 1)))
+
+
+def score(fc: DataFrame, panel: DataFrame, valid_start: dt.date) -> DataFrame:
+    """ML6 / AGG19: MAE (2 dp) and WAPE (4 dp) of a forecast per horizon and
+    overall, in one aggregation; no rows where nothing can be compared."""
     actual = panel.filter(F.col("week_start_date") >= F.lit(valid_start)).select(
         F.col("category").alias("_c"), F.col("week_start_date").alias("_w"), TARGET)
     m = fc.join(actual, (fc.category == actual._c) & (fc.forecast_week == actual._w), "inner")
     err = F.abs(F.col("predicted_units") - F.col(TARGET))
-    per_h = m.groupBy(F.col("week_ahead").cast("string").alias("horizon")).agg(
-        F.round(F.avg(err), 2).alias("mae"),
-        F.round(F.sum(err) / F.greatest(F.sum(TARGET), F.lit(1)), 4).alias("wape"),
-        F.count(F.lit(1)).alias("n_points"))
-    overall = m.agg(F.lit("overall").alias("horizon"), F.round(F.avg(err), 2).alias("mae"),
-                    F.round(F.sum(err) / F.greatest(F.sum(TARGET), F.lit(1)), 4).alias("wape"),
-                    F.count(F.lit(1)).alias("n_points"))
-    return per_h.unionByName(overall).withColumn("valid_start", F.lit(valid_start))
+    return (m.select(F.col("week_ahead").cast("string").alias("horizon"), TARGET, err.alias("_err"))
+            .rollup("horizon").agg(
+                F.round(F.avg("_err"), 2).alias("mae"),
+                F.round(F.sum("_err") / F.greatest(F.sum(TARGET), F.lit(1)), 4).alias("wape"),
+                F.count(F.lit(1)).alias("n_points"))
+            .withColumn("horizon", F.coalesce("horizon", F.lit("overall")))
+            .withColumn("valid_start", F.lit(valid_start)))
+
+
+def backtest(panel: DataFrame, horizon: int = 8, p: GbtParams = GbtParams()) -> DataFrame:
+    """ML3 + ML6: train before the last H weeks, forecast them recursively, score."""
+    valid_start = held_out_start(panel, horizon)
+    model = train(training_rows(panel, valid_start), p)
+    ev = recent_events(panel, valid_start)
+    return score(recursive_forecast(model, panel, valid_start, horizon, ev), panel, valid_start)
 
 
 def forecast_next(panel: DataFrame, horizon: int = 8, p: GbtParams = GbtParams(),
@@ -193,6 +217,21 @@ def write_forecast(fc: DataFrame, path: str) -> None:
     fc.write.mode("overwrite").parquet(path)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """SNK12: metrics as JSON lines."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+def metrics_report(metrics: DataFrame, horizon: int, generated_at: dt.datetime) -> DataFrame:
+    """SNK12: the back-test's rows (one per horizon and one overall) as one
+    nested row: per_horizon, overall, valid_start, n_valid_points,
+    generated_at, horizon."""
+    whole = F.col("horizon") == "overall"
+    step = F.struct(F.expr("try_cast(horizon AS BIGINT)").alias("week_ahead"), "mae", "wape")
+    return metrics.agg(
+        F.array_sort(F.collect_list(F.when(~whole, step))).alias("per_horizon"),
+        F.max(F.when(whole, F.struct("mae", "wape"))).alias("overall"),
+        F.max("valid_start").cast("string").alias("valid_start"),
+        F.max(F.when(whole, F.col("n_points"))).alias("n_valid_points"),
+        F.lit(generated_at.isoformat()).alias("generated_at"),
+        F.lit(horizon).cast("long").alias("horizon"))
+
+
+def write_metrics(metrics: DataFrame, path: str, horizon: int, generated_at: dt.datetime) -> None:
+    """SNK12: the report as one line of JSON."""
+    metrics_report(metrics, horizon, generated_at).write.mode("overwrite").json(path)

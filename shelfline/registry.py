@@ -8,6 +8,7 @@ aliased identically on both sides; DECIMAL money leaves as DOUBLE.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ def publish(df: DataFrame) -> DataFrame:
 _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
-def _wh(spark: SparkSession, sf_dir: str, materialize_facts: bool = True) -> Warehouse:
+def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One warehouse per session and directory: sources are landed once and
     each fact is built once, then every model reads them (a full build)."""
     from . import sources
@@ -96,8 +97,13 @@ def _q(spark, d): return _wh(spark, d).stg_inventory_items
 def _q(spark, d): return _wh(spark, d).stg_distribution_centers
 
 
-@register("stg_events", "SELECT event_id, user_id, created_at, event_type FROM stg_events")
-def _q(spark, d): return _wh(spark, d).stg_events.select("event_id", "user_id", "created_at", "event_type")
+@register("stg_events", """
+    SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS BIGINT) AS sequence_number,
+           created_at, CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS VARCHAR) AS city,
+           CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS postal_code, CAST(NULL AS VARCHAR) AS browser,
+           CAST(NULL AS VARCHAR) AS traffic_source, CAST(NULL AS VARCHAR) AS uri, event_type
+    FROM stg_events""")
+def _q(spark, d): return _wh(spark, d).stg_events
 
 
 # ---- dims and facts ---------------------------------------------------------
@@ -161,41 +167,40 @@ def _q(spark, d):
 
 @register("mart_product_performance", "SELECT * FROM mart_product_performance",
           ("gross_revenue", "total_cost", "gross_margin_amount"))
-def _q(spark, d): return _wh(spark, d, True).mart_product_performance()
+def _q(spark, d): return _wh(spark, d).mart_product_performance()
 
 
 @register("mart_fulfillment_sla", "SELECT * FROM mart_fulfillment_sla")
-def _q(spark, d): return _wh(spark, d, True).mart_fulfillment_sla()
+def _q(spark, d): return _wh(spark, d).mart_fulfillment_sla()
 
 
 @register("mart_customer_rfm", "SELECT * FROM mart_customer_rfm", ("monetary",))
-def _q(spark, d): return _wh(spark, d, True).mart_customer_rfm()
+def _q(spark, d): return _wh(spark, d).mart_customer_rfm()
 
 
 @register("mart_inventory_health", "SELECT * FROM mart_inventory_health",
           ("inventory_cost_on_hand",))
-def _q(spark, d): return _wh(spark, d, True).mart_inventory_health()
+def _q(spark, d): return _wh(spark, d).mart_inventory_health()
 
 
 @register("mart_demand_features", "SELECT * FROM mart_demand_features", ("revenue",))
-def _q(spark, d): return _wh(spark, d, True).mart_demand_features()
+def _q(spark, d): return _wh(spark, d).mart_demand_features()
 
 
 @register("mart_inventory_recommendations", "SELECT * FROM mart_inventory_recommendations",
           ("inventory_cost_on_hand",))
-def _q(spark, d): return _wh(spark, d, True).mart_inventory_recommendations()
+def _q(spark, d): return _wh(spark, d).mart_inventory_recommendations()
 
 
 # ---- forecast input, SCD2, incremental, contracts ---------------------------
 
 @register("forecast_standin", "SELECT * FROM forecast_standin")
-def _q(spark, d): return _wh(spark, d, True).forecast
+def _q(spark, d): return _wh(spark, d).forecast
 
 
 @register("scd2_snapshot_apply", "SELECT * FROM snap_products", ("cost", "retail_price"))
 def _q(spark, d):
     """Replay the last snapshot run: history as of 2000-01-01 + current products."""
-    import datetime as dt
     from .operators import scd2
     from .plans import staging
     w = _wh(spark, d)
@@ -208,12 +213,10 @@ def _q(spark, d):
 def _q(spark, d):
     """Two runs into a date-partitioned table: an older state, then an
     incremental run with the 3-day lookback; the table equals a full build."""
-    import datetime as dt
-    import uuid
     from .operators import contracts, incremental
     from .plans import core
     w = _wh(spark, d)
-    path = f"{incremental.warehouse_root(spark)}/shelfline_{uuid.uuid4().hex}/fct_order_items"
+    path, _ = _scratch(spark, "fct_order_items")
     first_state = DEFAULT.as_of - dt.timedelta(days=30)
 
     def build(since):
@@ -223,9 +226,31 @@ def _q(spark, d):
                                   ("product_id", "distribution_center_id"))
     incremental.build_incremental(spark, lambda since: core.fct_order_items(w.order_items_enriched, since),
                                   path, "order_date", DEFAULT.lookback_days,
-                                  ("product_id", "distribution_center_id"))
+                                  ("product_id", "distribution_center_id"), "append_new_columns")
     cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
-    return spark.read.parquet(path).select(*cols)
+    return incremental.read_table(spark, path).select(*cols)
+
+
+@register("incremental_fct_orders", "SELECT * FROM fct_orders",
+          ("gross_revenue", "total_cost", "gross_margin_amount"))
+def _q(spark, d):
+    """MOD8 incremental: an older state, then a run that sums only the lines of
+    the orders since the cutoff; the table equals a full build."""
+    from .operators import incremental
+    from .plans import core
+    w = _wh(spark, d)
+    path, _ = _scratch(spark, "fct_orders")
+    first_state = DEFAULT.as_of - dt.timedelta(days=30)
+
+    def build(until):
+        def run(since):
+            df = core.fct_orders(w.stg_orders, w.fct_order_items, since)
+            return df.filter(F.col("order_date") <= F.lit(until)) if until else df
+        return run
+    for until in (first_state, None):
+        incremental.build_incremental(spark, build(until), path, "order_date", DEFAULT.lookback_days,
+                                      ("status",), "sync_all_columns")
+    return incremental.read_table(spark, path)
 
 
 @register("contract_dim_products", "SELECT * FROM dim_products", ("cost", "retail_price", "base_margin_amount"))
@@ -247,7 +272,7 @@ def _dq_summary(checks):
     sql = quality.checks_sql(checks)
 
     def fn(spark, d):
-        return quality.run_checks(checks, _wh(spark, d, True).tables())
+        return quality.run_checks(checks, _wh(spark, d).tables())
     return fn, sql
 
 
@@ -269,12 +294,53 @@ def _register_dq():
                   "dq_sales_have_cost": ("sale_price", "cost")}
     for name, f in singular.items():
         register(name, C.SINGULAR_SQL[name], money_cols.get(name, ()))(
-            lambda spark, d, f=f: f(_wh(spark, d, True)))
+            lambda spark, d, f=f: f(_wh(spark, d)))
+
+    def counted(name):
+        severity = "'warn'" if name == "dq_historical_cost_differs" else "'error'"
+        return f"SELECT '{name}' AS test_name, {severity} AS severity, count(*) AS n_failed FROM ({C.SINGULAR_SQL[name]})"
+    register("dq_singular_status", f"""
+        SELECT test_name, severity, n_failed,
+               CASE WHEN n_failed = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+        FROM ({" UNION ALL ".join(map(counted, singular))})""")(
+        lambda spark, d: C.singular_status({n: f(_wh(spark, d)) for n, f in singular.items()}))
 
 
 _register_dq()
 
 
+# every kind of check on inputs that violate it; the SQL is written by hand, not
+# generated from the list of checks
+@register("dq_violated", """
+    SELECT check_name, 'lines' AS table_name, severity, CAST(n AS BIGINT) AS n_failed,
+           CASE WHEN n = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+    FROM (
+      SELECT 'orphan_lines' AS check_name, 'error' AS severity, count(*) AS n FROM fct_order_items f
+      WHERE f.order_id NOT IN (SELECT order_id FROM fct_orders WHERE status <> 'Cancelled')
+      UNION ALL
+      SELECT 'order_repeats', 'warn', count(*) FROM (
+        SELECT order_id FROM fct_order_items GROUP BY order_id HAVING count(*) >= 2)
+      UNION ALL
+      SELECT 'order_status_repeats', 'error', count(*) FROM (
+        SELECT order_id, status FROM fct_order_items GROUP BY ALL HAVING count(*) >= 2)
+      UNION ALL
+      SELECT 'delivered_missing', 'warn', count(*) - count(delivered_at) FROM fct_order_items
+      UNION ALL
+      SELECT 'status_not_final', 'error', count(*) FILTER (WHERE status <> 'Complete' AND status <> 'Returned')
+      FROM fct_order_items
+      UNION ALL
+      SELECT 'price_out_of_bounds', 'error', count(*) FILTER (WHERE sale_price < 1000 OR sale_price > 2000)
+      FROM fct_order_items
+      UNION ALL
+      SELECT 'cost_over_half', 'error', count(*) FILTER (WHERE 2 * cost > sale_price) FROM fct_order_items)""")
+def _q(spark, d):
+    from .operators import quality
+    from .plans import checks
+    w = _wh(spark, d)
+    return quality.run_checks(checks.VIOLATED, {
+        "lines": w.fct_order_items, "orders_kept": w.fct_orders.filter(F.col("status") != "Cancelled")})
+
+
 @register("source_freshness_orders",
           "SELECT 'orders' AS table_name, max(created_at) AS max_loaded_at, "
           "CAST(date_sub('second', max(created_at), TIMESTAMP '2001-08-02 07:00:00') AS BIGINT) AS age_seconds, "
@@ -284,7 +350,6 @@ _register_dq()
           "ELSE 'pass' END AS status FROM stg_orders")
 def _q(spark, d):
     """SRC13: the daily 07:00 run the day after the last order."""
-    import datetime as dt
     from .operators import quality
     return quality.freshness(_wh(spark, d).stg_orders, "orders", "created_at",
                              dt.datetime(2001, 8, 2, 7, 0), DEFAULT.freshness_warn_hours,
@@ -304,7 +369,7 @@ _ALL_METRICS = ("revenue", "gross_margin", "units_sold", "orders", "aov")
     FROM fct_order_items GROUP BY 1, 2""", ("revenue", "gross_margin"))
 def _q(spark, d):
     from .plans import metrics
-    return metrics.query(_wh(spark, d, True).fct_order_items, _ALL_METRICS, by=["status"], grain="month")
+    return metrics.query(_wh(spark, d).fct_order_items, _ALL_METRICS, by=["status"], grain="month")
 
 
 @register("metric_all_by_day", f"""
@@ -315,7 +380,7 @@ def _q(spark, d):
     FROM fct_order_items GROUP BY 1""", ("revenue", "gross_margin"))
 def _q(spark, d):
     from .plans import metrics
-    return metrics.query(_wh(spark, d, True).fct_order_items, _ALL_METRICS, grain="day")
+    return metrics.query(_wh(spark, d).fct_order_items, _ALL_METRICS, grain="day")
 
 
 @register("metric_revenue_by_category_year", f"""
@@ -326,15 +391,42 @@ def _q(spark, d):
     GROUP BY 1, 2""", ("revenue",))
 def _q(spark, d):
     from .plans import metrics
-    w = _wh(spark, d, True)
+    w = _wh(spark, d)
     return metrics.query(w.fct_order_items, ("revenue", "orders", "aov"), by=["product__category"],
                          grain="year", dims={"dim_products": w.dim_products})
 
 
+@register("metric_complete_by_country", f"""
+    SELECT c.country AS customer__country, sum(f.sale_price) AS revenue, count(DISTINCT f.order_id) AS orders,
+           {oracle.ratio('sum(f.sale_price)', 'count(DISTINCT f.order_id)')} AS aov
+    FROM fct_order_items f LEFT JOIN dim_customers c ON f.user_id = c.customer_id
+    WHERE f.status = 'Complete' GROUP BY 1""", ("revenue",))
+def _q(spark, d):
+    from .plans import metrics
+    w = _wh(spark, d)
+    return metrics.query(w.fct_order_items, ("revenue", "orders", "aov"), by=["customer__country"], grain=None,
+                         where="status = 'Complete'", dims={"dim_customers": w.dim_customers})
+
+
+@register("metric_units_by_centre_quarter", """
+    SELECT CAST(date_trunc('quarter', f.order_date) AS DATE) AS metric_time,
+           c.distribution_center_name AS distribution_center__distribution_center_name,
+           count(f.order_item_id) AS units_sold, sum(f.gross_margin_amount) AS gross_margin
+    FROM fct_order_items f
+    LEFT JOIN dim_distribution_centers c ON f.distribution_center_id = c.distribution_center_id
+    WHERE c.distribution_center_name >= 'B' GROUP BY 1, 2""", ("gross_margin",))
+def _q(spark, d):
+    from .plans import metrics
+    w = _wh(spark, d)
+    centre = "distribution_center__distribution_center_name"
+    return metrics.query(w.fct_order_items, ("units_sold", "gross_margin"), by=[centre], grain="quarter",
+                         where=f"{centre} >= 'B'", dims={"dim_distribution_centers": w.dim_distribution_centers})
+
+
 # ---- BI reports -----------------------------------------------------------------
 
 def _bi(name, sql, money_cols, fn):
-    register(name, sql, money_cols)(lambda spark, d: fn(_wh(spark, d, True)))
+    register(name, sql, money_cols)(lambda spark, d: fn(_wh(spark, d)))
 
 
 def _register_bi():
@@ -385,23 +477,120 @@ def _register_bi():
 _register_bi()
 
 
-# ---- forecast (rows-only: a trained model has no SQL form) -------------------
+# ---- forecast ------------------------------------------------------------------
+# The fitted trees have no SQL form (rows only); all that feeds and judges them has.
+
+#: the published forecast's run time (the morning after the as-of day)
+GENERATED_AT = dt.datetime.combine(DEFAULT.as_of + dt.timedelta(days=1), dt.time(7))
+_PANELS: dict[tuple, DataFrame] = {}
+_NEXT_WEEKS: dict[tuple, DataFrame] = {}
 
-FORECAST_TREES = 20  # the original uses 400; the registered runs keep it short
+
+def _panel(spark, d) -> DataFrame:
+    """The demand panel, materialized once per session and directory."""
+    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _PANELS:
+        _PANELS[key] = materialize(_wh(spark, d).mart_demand_features())
+    return _PANELS[key]
+
+
+def _next_weeks(spark, d) -> DataFrame:
+    """The forecast of the next weeks, fitted once per session and directory."""
+    from .plans import forecast
+    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _NEXT_WEEKS:
+        _NEXT_WEEKS[key] = materialize(forecast.forecast_next(_panel(spark, d), DEFAULT.horizon,
+                                                              generated_at=GENERATED_AT))
+    return _NEXT_WEEKS[key]
 
 
 @register("forecast_backtest", None)
 def _q(spark, d):
     from .plans import forecast
-    panel = materialize(_wh(spark, d, True).mart_demand_features())
-    return forecast.backtest(panel, DEFAULT.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
+    return forecast.backtest(_panel(spark, d), DEFAULT.horizon)
 
 
 @register("forecast_recursive", None)
+def _q(spark, d): return _next_weeks(spark, d)
+
+
+_HELD_OUT = f"(SELECT max(week_start_date) - {7 * (DEFAULT.horizon - 1)} AS vs FROM mart_demand_features)"
+
+
+@register("forecast_training_rows", f"""
+    SELECT category, week_start_date, units_sold, week_of_year, month_of_year, lag_1w, lag_2w, lag_4w, lag_8w,
+           roll_mean_4w, roll_mean_12w, roll_std_12w, events_total, events_purchase, events_cart
+    FROM mart_demand_features
+    WHERE week_start_date < {_HELD_OUT} AND category IS NOT NULL AND units_sold IS NOT NULL
+      AND lag_1w IS NOT NULL AND lag_2w IS NOT NULL AND lag_4w IS NOT NULL AND lag_8w IS NOT NULL
+      AND week_of_year IS NOT NULL AND month_of_year IS NOT NULL AND roll_mean_4w IS NOT NULL
+      AND roll_mean_12w IS NOT NULL AND roll_std_12w IS NOT NULL AND events_total IS NOT NULL
+      AND events_purchase IS NOT NULL AND events_cart IS NOT NULL""")
 def _q(spark, d):
-    from .plans import forecast
-    panel = materialize(_wh(spark, d, True).mart_demand_features())
-    return forecast.forecast_next(panel, DEFAULT.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
+    """ML3, FLT12-13: what the back-test's model learns from."""
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    return fc.training_rows(panel, fc.held_out_start(panel, DEFAULT.horizon)).select(
+        "category", "week_start_date", fc.TARGET, *fc.NUMERIC_FEATURES)
+
+
+_LAST_4 = f"""SELECT avg(t) AS events_total, avg(p) AS events_purchase, avg(c) AS events_cart
+    FROM (SELECT week_start_date, max(events_total) AS t, max(events_purchase) AS p, max(events_cart) AS c
+          FROM mart_demand_features WHERE week_start_date < {_HELD_OUT}
+          GROUP BY week_start_date ORDER BY week_start_date DESC LIMIT 4)"""
+
+
+@register("forecast_recent_events", _LAST_4)
+def _q(spark, d):
+    """ML5, AGG20: the event levels that the held-out weeks are forecast with."""
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    return fc.recent_events(panel, fc.held_out_start(panel, DEFAULT.horizon))
+
+
+@register("forecast_step1_features", f"""
+    SELECT category, hist, CAST(vs AS DATE) AS forecast_week, CAST(weekofyear(vs) AS DOUBLE) AS week_of_year,
+           CAST(month(vs) AS DOUBLE) AS month_of_year, CAST(u[-1] AS DOUBLE) AS lag_1w,
+           CAST(u[-2] AS DOUBLE) AS lag_2w, CAST(u[-4] AS DOUBLE) AS lag_4w, CAST(u[-8] AS DOUBLE) AS lag_8w,
+           CAST(list_sum(u[-4:]) AS DOUBLE) / CAST(len(u[-4:]) AS DOUBLE) AS roll_mean_4w,
+           CAST(list_sum(u) AS DOUBLE) / CAST(len(u) AS DOUBLE) AS roll_mean_12w, round(sd, 6) AS roll_std_12w,
+           events_total, events_purchase, events_cart
+    FROM (SELECT category, max(vs) AS vs, list(units_sold ORDER BY week_start_date) AS u,
+                 string_agg(CAST(units_sold AS VARCHAR), ',' ORDER BY week_start_date) AS hist,
+                 stddev_pop(units_sold) AS sd
+          FROM (SELECT m.*, vs, row_number() OVER (PARTITION BY category ORDER BY week_start_date DESC) AS back
+                FROM mart_demand_features m CROSS JOIN {_HELD_OUT} WHERE week_start_date < vs)
+          WHERE back <= 12 GROUP BY category)
+    CROSS JOIN ({_LAST_4})""")
+def _q(spark, d):
+    """SRT7, FN20-22: history state and features of the first forecast week."""
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    start = fc.held_out_start(panel, DEFAULT.horizon)
+    feats = fc.step_features(fc.history_state(panel, start), F.lit(start), fc.recent_events(panel, start))
+    return feats.withColumn("hist", F.array_join(F.transform("hist", lambda x: x.cast("long").cast("string")), ",")) \
+        .withColumn("roll_std_12w", F.round("roll_std_12w", 6))
+
+
+@register("forecast_recent_mean_backtest", f"""
+    SELECT coalesce(CAST(week_ahead AS VARCHAR), 'overall') AS horizon, round(avg(err), 2) AS mae,
+           round(sum(err) / greatest(CAST(sum(units_sold) AS DOUBLE), 1.0), 4) AS wape, count(*) AS n_points,
+           CAST(max(vs) AS DATE) AS valid_start
+    FROM (SELECT a.units_sold, vs, abs(h.mean4 - a.units_sold) AS err,
+                 CAST(date_diff('day', vs, a.week_start_date) // 7 + 1 AS BIGINT) AS week_ahead
+          FROM mart_demand_features a CROSS JOIN {_HELD_OUT}
+          JOIN (SELECT category, round(CAST(sum(units_sold) AS DOUBLE) / CAST(count(*) AS DOUBLE), 2) AS mean4
+                FROM mart_demand_features CROSS JOIN {_HELD_OUT}
+                WHERE week_start_date < vs AND week_start_date >= vs - 28 GROUP BY category) h
+            ON a.category = h.category
+          WHERE a.week_start_date >= vs)
+    GROUP BY ROLLUP (week_ahead)""")
+def _q(spark, d):
+    """ML6, AGG19: the back-test's scores, of the baseline forecast."""
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    start = fc.held_out_start(panel, DEFAULT.horizon)
+    return fc.score(fc.recent_mean(panel, start, DEFAULT.horizon), panel, start)
 
 
 # ---- streaming ------------------------------------------------------------------
@@ -415,8 +604,8 @@ def _stream_source(spark, sf_dir, table):
 
 def _scratch(spark, what):
     import uuid
-    from .operators import incremental
-    base = f"{incremental.warehouse_root(spark)}/shelfline_{uuid.uuid4().hex}"
+    from .session import table_root
+    base = f"{table_root(spark)}/shelfline_{uuid.uuid4().hex}"
     return f"{base}/{what}", f"{base}/_checkpoints/{what}"
 
 
@@ -428,8 +617,9 @@ def _q(spark, d):
     from .sources import driver
     ev = staging.stg_events(driver.events(_stream_source(spark, d, "events")))
     path, ck = _scratch(spark, "weekly_events")
-    streaming.write_complete_snapshot(streaming.weekly_event_counts(ev), path, ck).awaitTermination()
-    return spark.read.parquet(path)
+    weeks = streaming.weekly_event_counts(ev)
+    streaming.write_touched_weeks(weeks, path, ck).awaitTermination()
+    return spark.read.schema(weeks.schema).parquet(path).select(*weeks.columns)
 
 
 @register("stream_fct_order_items_upkeep", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
@@ -461,7 +651,6 @@ def _q(spark, d):
     """MOD9 incremental: a run as of 10 days earlier, then a run that rebuilds
     from max(snapshot_date) - 3 days with that day as the window start; the
     opening balance keeps the running totals exact (F6)."""
-    import datetime as dt
     from .operators import incremental
     from .plans import core
     w, p = _wh(spark, d), DEFAULT
@@ -476,8 +665,8 @@ def _q(spark, d):
     incremental.build_incremental(spark, build(earlier), path, "snapshot_date", p.lookback_days,
                                   ("product_id", "distribution_center_id"))
     incremental.build_incremental(spark, build(p.as_of), path, "snapshot_date", p.lookback_days,
-                                  ("product_id", "distribution_center_id"))
-    return spark.read.parquet(path).select("product_id", "distribution_center_id", "snapshot_date",
+                                  ("product_id", "distribution_center_id"), "sync_all_columns")
+    return incremental.read_table(spark, path).select("product_id", "distribution_center_id", "snapshot_date",
                                            "units_on_hand", "inventory_cost_on_hand")
 
 
@@ -500,10 +689,8 @@ def _q(spark, d):
 @register("mart_inventory_recommendations_ml", None)
 def _q(spark, d):
     """ML9: recommendations fed by the Spark ML forecast instead of the stand-in."""
-    from .plans import forecast, marts
+    from .plans import marts
     w, p = _wh(spark, d), DEFAULT
-    panel = materialize(w.mart_demand_features())
-    fc = forecast.forecast_next(panel, p.horizon, forecast.GbtParams(max_iter=FORECAST_TREES))
     return marts.mart_inventory_recommendations(
-        w.inventory_latest, fc, w.fct_order_items, w.dim_products, p.lead_weeks, p.safety_weeks,
+        w.inventory_latest, _next_weeks(spark, d), w.fct_order_items, w.dim_products, p.lead_weeks, p.safety_weeks,
         p.target_weeks, p.overstock_weeks_of_cover, as_of=w.snapshot_as_of)

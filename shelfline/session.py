@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark import StorageLevel
@@ -67,11 +66,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def table_root(spark: SparkSession) -> str:
     """Where landed and model tables are written: under the cluster's shared
-    checkpoint directory if set, else the session's warehouse directory."""
-    ck = spark.sparkContext.getCheckpointDir()
+    checkpoint directory if set, else the session's warehouse directory.  On a
+    cluster the latter must not be a machine's own folder."""
+    ck = ensure_checkpoint_dir(spark)
     if ck:
         return ck.rstrip("/") + "/tables"
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if root.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir or spark.sql.warehouse.dir to a folder that all machines share")
+    return root
 
 
 def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None,
@@ -107,13 +110,13 @@ def land(df: DataFrame, path: str, sort_by=(), partition_by: str | None = None,
     return spark.read.parquet(path).select(*cols)
 
 
-def join_buckets(spark: SparkSession) -> int:
-    """Bucket count for co-located landed tables: the session's shuffle width."""
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+BUCKET_BYTES = 1 << 30
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def join_buckets(spark: SparkSession, table: DataFrame) -> int:
+    """Bucket count of co-located landed tables: the session's shuffle width,
+    more where ``table`` (a plain scan) has over BUCKET_BYTES for each of them,
+    up to Spark's own limit."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wide = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    return min(wide, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))

@@ -55,6 +55,7 @@ class LandedSources:
     def __init__(self, spark: SparkSession, sf_dir: str, root: str):
         self._spark, self._sf_dir, self._root = spark, sf_dir, root
         self._lazy: Sources | None = None
+        self._plain: Sources | None = None
         self._landed: dict[str, DataFrame] = {}
 
     def _sources(self) -> Sources:
@@ -65,7 +66,7 @@ class LandedSources:
             # bucketed by line id, like the inventory units below: the
             # line x unit join of the enrichment then needs no exchange
             base = land(driver.lines(t["lineitem"], t["orders"]), f"{self._root}/_lines",
-                        bucket_by=("id", join_buckets(self._spark)))
+                        bucket_by=("id", join_buckets(self._spark, t["lineitem"])))
             self._lazy = from_driver_tables(self._spark, self._sf_dir, base_lines=base)
         return self._lazy
 
@@ -79,12 +80,15 @@ class LandedSources:
                 self._landed[name] = self._sources().order_items
             elif name == "inventory_items":
                 # joins with part / supplier / nation: land once
+                n = join_buckets(self._spark, driver.read(self._spark, self._sf_dir, "lineitem"))
                 self._landed[name] = land(self._sources().inventory_items, f"{self._root}/{name}",
-                                          bucket_by=("id", join_buckets(self._spark)))
+                                          bucket_by=("id", n))
             else:
                 # single-scan projections (plus a tiny broadcast dimension):
                 # cheaper to read again than to land; the line plan is never run
-                self._landed[name] = getattr(from_driver_tables(self._spark, self._sf_dir), name)
+                if self._plain is None:
+                    self._plain = from_driver_tables(self._spark, self._sf_dir)
+                self._landed[name] = getattr(self._plain, name)
         return self._landed[name]
 
 

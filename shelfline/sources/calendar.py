@@ -42,10 +42,3 @@ def dim_dates(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 def time_spine(dates: DataFrame) -> DataFrame:
     """SRC11: the day grain of the calendar."""
     return dates.select("date_day")
-
-
-def week_array(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """SRC12: Mondays from week(lo) to week(hi) inclusive; ``bounds`` has one row."""
-    return bounds.select(F.explode(F.sequence(X.week_start(lo), X.week_start(hi),
-                                              F.expr("INTERVAL 7 DAYS")))
-                         .alias("week_start_date"))

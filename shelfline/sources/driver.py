@@ -161,7 +161,8 @@ def lines(lineitem: DataFrame, orders_t: DataFrame) -> DataFrame:
                         F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"))
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
     j = j.withColumn("o_orderkey", F.col("l_orderkey"))
-    return (j.withColumn("id", (F.col("l_orderkey") * 1000 + F.col("rn")).cast("long"))
+    return (j.withColumn("id", F.when(F.col("rn") > 999, F.raise_error(F.lit("an order of over 999 lines")).cast("long"))
+                         .otherwise(F.col("l_orderkey").cast("long") * 1000 + F.col("rn")))
              .withColumn("status", _order_status()))
 
 

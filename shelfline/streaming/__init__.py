@@ -41,11 +41,15 @@ def weekly_event_counts(events: DataFrame, ts_col: str = "created_at",
                     "events_total", "events_purchase", "events_cart")
 
 
-def write_complete_snapshot(result: DataFrame, path: str, checkpoint: str):
-    """Keep a small aggregate table current: every micro-batch rewrites it."""
+def write_touched_weeks(result: DataFrame, path: str, checkpoint: str):
+    """Keep the weekly table current: every micro-batch replaces the weeks it
+    touched (update mode, so the watermark drops old state and later rows; a
+    repeated batch writes the same weeks again)."""
     def sink(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(path)
-    return (result.writeStream.outputMode("complete").foreachBatch(sink)
+        batch.persist()  # the range layout reads it twice
+        incremental.write_partitions(batch, path, "week_start_date")
+        batch.unpersist()
+    return (result.writeStream.outputMode("update").foreachBatch(sink)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
@@ -59,7 +63,8 @@ def upkeep_partitions(changes: DataFrame, touched_dates: Callable[[DataFrame], D
     semi join, no driver-side list).  Dynamic overwrite replaces exactly them.
     """
     def sink(batch: DataFrame, batch_id: int):
-        dates = touched_dates(batch).select(part_col).distinct()
+        dates = touched_dates(batch).select(part_col).distinct().persist()
         incremental.write_partitions(rebuild(dates), path, part_col, cluster_cols)
+        dates.unpersist()
     return (changes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -1,6 +1,7 @@
 """ML1-ML9: shape and sanity of the recursive forecast (no oracle)."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -58,6 +59,22 @@ def test_backtest_beats_zero_forecast(spark):
     assert res["overall"].wape < 1.0 and res["overall"].n_points == 12
 
 
+def test_metrics_file(spark, tmp_path):
+    """SNK12: the shape of the published report."""
+    panel = _panel(spark)
+    start = forecast.held_out_start(panel, 4)
+    scored = forecast.score(forecast.recent_mean(panel, start, 4), panel, start)
+    path = str(tmp_path / "metrics")
+    forecast.write_metrics(scored, path, 4, dt.datetime(2001, 8, 2, 7))
+    [line] = [r.value for r in spark.read.text(path).collect()]
+    got = json.loads(line)
+    assert set(got) == {"per_horizon", "overall", "valid_start", "n_valid_points", "generated_at", "horizon"}
+    assert [h["week_ahead"] for h in got["per_horizon"]] == [1, 2, 3, 4]
+    assert set(got["per_horizon"][0]) == {"week_ahead", "mae", "wape"} and set(got["overall"]) == {"mae", "wape"}
+    assert (got["valid_start"], got["n_valid_points"], got["horizon"]) == (start.isoformat(), 12, 4)
+    assert got["generated_at"] == "2001-08-02T07:00:00"
+
+
 def test_forecast_round_trip_feeds_recommendations(spark, tmp_path):
     """SNK11 -> SRC8: the written forecast reads back with the declared schema."""
     from shelfline import sources

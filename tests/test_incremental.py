@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfline.operators import incremental
@@ -55,18 +56,40 @@ def test_lookback_picks_up_late_rows_and_leaves_old_partitions(spark, tmp_table)
     assert t.filter("order_date < '2001-01-07'").select("status").distinct().collect()[0].status == "old"
 
 
-def test_schema_evolution_modes(spark):
-    a = spark.createDataFrame([(1, D(2001, 1, 1))], "id long, order_date date")
-    b = spark.createDataFrame([(2, D(2001, 1, 2), "x")], "id long, order_date date, extra string")
-    # append_new_columns keeps stored columns the new result lacks
-    out = incremental.align_schema(a, b.schema, "append_new_columns")
-    assert "extra" in out.columns
-    try:
-        incremental.align_schema(b, a.schema, "fail")
-        raise AssertionError("expected failure")
-    except ValueError:
-        pass
-    assert incremental.align_schema(b, a.schema, "sync_all_columns").columns == b.columns
+def _evolved(spark, path, mode, first, then):
+    """Columns and rows of a table after a run with other columns (re-read)."""
+    a = spark.createDataFrame([(1, D(2001, 1, 1), "a")], f"id long, order_date date, {first} string")
+    b = spark.createDataFrame([(2, D(2001, 1, 9), "b")], f"id long, order_date date, {then} string")
+    incremental.build_incremental(spark, lambda since: a, path, "order_date")
+    incremental.build_incremental(spark, lambda since: b, path, "order_date", on_schema_change=mode)
+    t = incremental.read_table(spark, path)
+    return set(t.columns), {r.id: r.asDict() for r in t.collect()}
+
+
+def test_schema_modes_on_reread(spark, tmp_path):
+    cols, rows = _evolved(spark, str(tmp_path / "append"), "append_new_columns", "old", "new")
+    assert cols == {"id", "order_date", "old", "new"}
+    assert (rows[1]["old"], rows[1]["new"], rows[2]["old"], rows[2]["new"]) == ("a", None, None, "b")
+    cols, rows = _evolved(spark, str(tmp_path / "sync"), "sync_all_columns", "old", "new")
+    assert cols == {"id", "order_date", "new"} and (rows[1]["new"], rows[2]["new"]) == (None, "b")
+    for mode in ("fail", "ignore"):
+        with pytest.raises(ValueError, match="removed"):
+            _evolved(spark, str(tmp_path / mode), mode, "old", "new")
+
+
+def test_ignore_keeps_the_stored_columns(spark, tmp_table):
+    a = _src(spark, [(1, D(2001, 1, 1), "a")])
+    incremental.build_incremental(spark, lambda since: a, tmp_table, "order_date")
+    incremental.build_incremental(spark, lambda since: a.withColumn("extra", F.lit(1)), tmp_table, "order_date")
+    assert incremental.read_table(spark, tmp_table).columns == a.columns
+    assert "extra" not in spark.read.option("mergeSchema", "true").parquet(tmp_table).columns
+
+
+def test_a_strange_folder_is_not_overwritten(spark, tmp_table):
+    _src(spark, [(1, D(2001, 1, 1), "a")]).write.parquet(tmp_table)
+    with pytest.raises(ValueError, match="not a table partitioned"):
+        incremental.build_incremental(spark, lambda since: _src(spark, []), tmp_table, "order_date")
+    assert spark.read.parquet(tmp_table).count() == 1
 
 
 def test_change_to_old_order_is_missed_until_full_refresh(spark, tmp_table):

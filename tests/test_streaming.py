@@ -15,10 +15,56 @@ def test_weekly_event_counts_stream_equals_batch(spark, tmp_path):
     ev.write.parquet(src)
     stream = spark.readStream.schema(ev.schema).parquet(src)
     out, ck = str(tmp_path / "weekly"), str(tmp_path / "ck")
-    streaming.write_complete_snapshot(streaming.weekly_event_counts(stream), out, ck).awaitTermination()
+    streaming.write_touched_weeks(streaming.weekly_event_counts(stream), out, ck).awaitTermination()
     got = spark.read.parquet(out)
     want = marts.weekly_events(ev)
     assert got.count() == want.count() > 1
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     # weeks start on Mondays
     assert {r.week_start_date.weekday() for r in got.collect()} == {0}
+
+
+def test_late_events_over_several_batches(spark, tmp_path):
+    """Late rows count up to the watermark; later ones don't."""
+    schema = "event_id long, created_at timestamp_ntz, event_type string"
+    mon = dt.datetime(2001, 7, 2)
+    src, out, ck = (str(tmp_path / n) for n in ("events", "weekly", "ck"))
+    batches = [[(1, mon, "cart"), (2, mon + dt.timedelta(days=15), "view")],
+               [(3, mon + dt.timedelta(days=13), "purchase"),   # 2 days late: its week is still open
+                (4, mon + dt.timedelta(days=1), "view"),        # two weeks late
+                (5, mon + dt.timedelta(days=16), "cart")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = streaming.write_touched_weeks(streaming.weekly_event_counts(stream), out, ck)
+    q.awaitTermination()
+    got = {r.week_start_date: (r.events_total, r.events_purchase, r.events_cart)
+           for r in spark.read.parquet(out).collect()}
+    week = lambda n: mon.date() + dt.timedelta(weeks=n)
+    assert got == {week(0): (1, 0, 1), week(1): (1, 1, 0), week(2): (2, 0, 1)}
+
+
+def test_upkeep_replaces_only_the_touched_dates(spark, tmp_path):
+    """STR2 over two batches: a touched date is rebuilt whole, others keep their files."""
+    facts = [(i, dt.date(2001, 1, 1 + i % 3), i * 10) for i in range(9)]
+    full = spark.createDataFrame(facts, "id long, order_date date, amount long")
+    src, out, ck = (str(tmp_path / n) for n in ("changes", "fact", "ck"))
+    read = lambda: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+
+    def touched(batch):
+        return batch.join(full, "id").select("order_date")
+
+    def run(table):
+        streaming.upkeep_partitions(read(), touched, lambda dates: table.join(dates, "order_date", "left_semi"),
+                                    out, "order_date", ck).awaitTermination()
+    for ids in ([0, 1], [2]):  # two batches touch all three dates
+        spark.createDataFrame([(i,) for i in ids], "id long").coalesce(1).write.mode("append").parquet(src)
+    run(full)
+    assert sorted((r.id, r.order_date, r.amount) for r in spark.read.parquet(out).collect()) == facts
+    kept = {f: os.path.getmtime(f) for f in map(str, (tmp_path / "fact").glob("order_date=2001-01-0[13]/*.parquet"))}
+    spark.createDataFrame([(4,)], "id long").coalesce(1).write.mode("append").parquet(src)
+    changed = full.withColumn("amount", full.amount + 1)
+    run(changed)
+    got = {r.id: r.amount for r in spark.read.parquet(out).collect()}
+    assert got == {i: a + (d == dt.date(2001, 1, 2)) for i, d, a in facts}
+    assert kept and all(os.path.getmtime(f) == m for f, m in kept.items())
