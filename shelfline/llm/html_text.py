@@ -15,8 +15,12 @@ needs over half of at least ``article_pages`` distinct pages of the host.  Pages
 with equal streams count once, so copies do not remove each other.
 
 Scale: hosts are cut into chunks of about ``chunk_bytes`` of HTML, dealt evenly,
-so a hot host is many groups of bounded size; a chunk still holds far more pages
-than the rules ask for.
+so a hot host is many groups of bounded size.  The suffixes are sorted per chunk;
+for a host of several chunks each chunk gives the hash of every run with its
+distinct pages, these are summed over the host's chunks (dealt by run hash, as
+packed blocks), and each chunk gets back those of its runs that reach the rules'
+counts.  A stream that several chunks hold is counted in one of them.  So the
+result depends neither on a host's size nor on how its pages are dealt.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of
 its own; each repeated row comes out once; an empty table gives an empty result;
@@ -30,13 +34,16 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, cut, map_arrow
-from .words import LOWER, buffers, hashes, spans
+from .shared import BROADCAST_ROWS, cut, map_arrow, shared_dir
+from .words import LOWER, buffers, hashes, mix64, pack, spans, unpack
 
 RUN_WORDS, MIN_PAGES, ARTICLE_PAGES, ARTICLE_SHARE, CHUNK_BYTES = 8, 3, 20, 0.5, 8 << 20
+#: chunks of a host whose runs one task sums, on average
+SHARD_CHUNKS = 8
 
 # Element and attribute names of HTML
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
@@ -162,44 +169,61 @@ def sorted_suffixes(tokens: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
     return np.argsort(rank, kind="stable"), rank
 
 
-def covered(tokens: np.ndarray, page: np.ndarray, run_words: int) -> np.ndarray:
-    """Per token, the largest number of distinct pages that hold a run of
-    ``run_words`` tokens around it.  ``page``: -1 at separators."""
+def run_pages(tokens: np.ndarray, page: np.ndarray, run_words: int) -> np.ndarray:
+    """Per token, the number of distinct pages that hold the run of ``run_words``
+    tokens that starts there; 0 if a separator cuts it.  ``page``: -1 at separators."""
     n = len(tokens)
-    best = np.zeros(n, np.int64)
     if n < run_words:
-        return best
+        return np.zeros(n, np.int64)
     order, rank = sorted_suffixes(tokens, run_words)
     # pages per rank: count the changes of page inside each run of equal suffixes
     r, p = rank[order], page[order]
     pairs = np.unique(r * (int(page.max()) + 2) + p + 1) // (int(page.max()) + 2)
     pages = np.bincount(pairs, minlength=int(r.max()) + 1)[rank]
-    ends = np.flatnonzero(page < 0)  # a run must not cross a block's end
+    ends = np.flatnonzero(page < 0)
     after = np.searchsorted(ends, np.arange(n))
     stop = np.where(after < len(ends), ends[np.minimum(after, len(ends) - 1)], n) if len(ends) else np.full(n, n)
     pages[(stop - np.arange(n) < run_words) | (page < 0)] = 0
-    for i in range(run_words):
+    return pages
+
+
+def spread(pages: np.ndarray, page: np.ndarray, run_words: int) -> np.ndarray:
+    """Per token, the largest value of a run around it (values stand at the starts)."""
+    n = len(pages)
+    best = np.zeros(n, np.int64)
+    for i in range(min(run_words, n)):
         best[i:] = np.maximum(best[i:], pages[:n - i])
     best[page < 0] = 0
     return best
 
 
-def _unique_runs(streams: list[list], run_words: int, min_pages: int, article_pages: int, share: float) -> list[str]:
-    """Text of each page of one chunk: its blocks without those that repeated
-    runs cover."""
-    flat = pa.array([t for s in streams for t, _ in s], pa.string())
-    raw, offsets = buffers(flat)
+def covered(tokens: np.ndarray, page: np.ndarray, run_words: int) -> np.ndarray:
+    """Per token, the largest number of distinct pages that hold a run of
+    ``run_words`` tokens around it.  ``page``: -1 at separators."""
+    return spread(run_pages(tokens, page, run_words), page, run_words)
+
+
+def run_hashes(tokens: np.ndarray, run_words: int) -> np.ndarray:
+    """64-bit hash of the ``run_words`` tokens from each token on."""
+    n = len(tokens)
+    h = np.zeros(max(n - run_words + 1, 0), np.uint64)
+    for i in range(run_words):
+        h = mix64(h * np.uint64(31) + tokens[i:i + len(h)].view(np.uint64))
+    return np.concatenate([h, np.zeros(n - len(h), np.uint64)])
+
+
+def _laid_out(streams: list[list], keys: list):
+    """The streams as tokens with a separator behind each block: (tokens, number
+    of each token's page (-1: separator; equal keys are one page), where the
+    words stand among the tokens, words per block)."""
+    raw, offsets = buffers(pa.array([t for s in streams for t in s], pa.string()))
     low = LOWER[raw]
     starts, ends, counts = spans(low, offsets)
     h = (hashes(low, starts, ends)[0] >> np.uint64(1)).astype(np.int64)
     nblocks = len(counts)
     distinct: dict = {}
-    page_of_block, place, at = np.zeros(nblocks, np.int64), np.zeros(nblocks, np.int64), 0
-    for s in streams:  # equal streams are one page
-        key = distinct.setdefault(tuple(s), len(distinct))
-        page_of_block[at:at + len(s)] = key
-        place[at:at + len(s)] = [p for _, p in s]
-        at += len(s)
+    own = np.array([distinct.setdefault(k, len(distinct)) for k in keys], np.int64)
+    page_of_block = np.repeat(own, [len(s) for s in streams])
     word_at = np.arange(len(h)) + np.repeat(np.arange(nblocks), counts)
     tokens = np.empty(len(h) + nblocks, np.int64)
     page = np.full(len(tokens), -1, np.int64)
@@ -207,50 +231,161 @@ def _unique_runs(streams: list[list], run_words: int, min_pages: int, article_pa
     page[word_at] = np.repeat(page_of_block, counts)
     close = np.cumsum(counts + 1) - 1
     tokens[close] = -1 - np.arange(nblocks)
-    pages = covered(tokens, page, run_words)[word_at] if nblocks else np.zeros(0)
-    need = np.where(place == ARTICLE, max(article_pages, int(share * len(distinct)) + 1), min_pages)
+    return tokens, page, word_at, counts
+
+
+def _without(streams: list[list], places: list[list], counts: np.ndarray, pages: np.ndarray,
+             min_pages: int, article_need: int) -> list[str]:
+    """Text of each page: its blocks without those that repeated runs cover.
+    ``pages``: per word, the pages of the most frequent run around it."""
+    nblocks = len(counts)
+    place = np.array([p for s in places for p in s], np.int64)
+    need = np.where(place == ARTICLE, article_need, min_pages)
     hit = pages >= np.repeat(need, counts)
     cover = np.bincount(np.repeat(np.arange(nblocks), counts), weights=hit, minlength=nblocks)
     keep = (cover < counts) | (counts == 0)
     out, at = [], 0
     for s in streams:
-        out.append("\n".join(t for (t, _), k in zip(s, keep[at:at + len(s)]) if k))
+        out.append("\n".join(t for t, k in zip(s, keep[at:at + len(s)]) if k))
         at += len(s)
     return out
 
 
+def _count_chunk(streams: list[list], keys: list, run_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted run hashes, distinct pages of each) of one chunk's streams."""
+    tokens, page, _, _ = _laid_out(streams, keys)
+    pages = run_pages(tokens, page, run_words)
+    at = np.flatnonzero(pages)
+    runs, first = np.unique(run_hashes(tokens, run_words)[at], return_index=True)
+    return runs, pages[at][first]
+
+
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", run_words: int = RUN_WORDS,
               min_pages: int = MIN_PAGES, article_pages: int = ARTICLE_PAGES, article_share: float = ARTICLE_SHARE,
               chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``pages`` without its html, plus ``text`` (a ``text`` column is replaced)."""
     rest = [c for c in pages.columns if c not in (html_col, "text")]
+    names = [f"c{i}" for i in range(len(rest))]
     sized = pages.withColumn("__host", host_of(F.col(url_col)))
     chunks = cut(sized.groupBy(F.col("__host").alias("__h")).agg(
         F.ceil(F.sum(F.coalesce(F.octet_length(html_col), F.lit(0))) / chunk_bytes).alias("__chunks")))
     few = chunks.filter("__chunks > 1")
     hosts = few.count()
     dealt = sized.join(F.broadcast(few) if hosts <= BROADCAST_ROWS else few, F.col("__host") == F.col("__h"), "left")
-    dealt = dealt.select(*[sized[c].alias(f"c{i}") for i, c in enumerate(rest)], "__host",
+    dealt = dealt.select(*[sized[c].alias(n) for c, n in zip(rest, names)], "__host",
+                         F.coalesce("__chunks", F.lit(1)).alias("__chunks"),
                          F.pmod(F.monotonically_increasing_id(), F.coalesce("__chunks", F.lit(1))).alias("__chunk"),
                          F.col(html_col).alias("__html"))
 
     def scan(batches):
         for b in batches:
             got = [blocks(x) for x in b.column(b.num_columns - 1).to_pylist()]
+            text, place = [[t for t, _ in g] for g in got], [[p for _, p in g] for g in got]
+            key = [xxhash.xxh3_128_digest("\n".join([*t, str(p)]).encode("utf-8", "surrogatepass"))
+                   for t, p in zip(text, place)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([[t for t, _ in g] for g in got], pa.list_(pa.string())),
-                 pa.array([[p for _, p in g] for g in got], pa.list_(pa.int32()))],
-                names=[*b.schema.names[:-1], "__text", "__place"])
+                [*b.columns[:-1], pa.array(key, pa.binary()), pa.array(text, pa.list_(pa.string())),
+                 pa.array(place, pa.list_(pa.int32()))],
+                names=[*b.schema.names[:-1], "__key", "__text", "__place"])
 
-    schema = dealt.drop("__html").select("*", F.lit(None).cast("array<string>").alias("__text"),
-                                         F.lit(None).cast("array<int>").alias("__place")).schema
-    scanned = map_arrow(dealt, scan, schema)
+    schema = dealt.drop("__html").select(
+        "*", F.lit(None).cast("binary").alias("__key"), F.lit(None).cast("array<string>").alias("__text"),
+        F.lit(None).cast("array<int>").alias("__place")).schema
+    out = dealt.select(*names, F.lit("").alias("text")).schema
 
-    def finish(table: pa.Table) -> pa.Table:
-        streams = [list(zip(t, p)) for t, p in zip(table["__text"].to_pylist(), table["__place"].to_pylist())]
-        text = _unique_runs(streams, run_words, min_pages, article_pages, article_share)
-        return table.select([f"c{i}" for i in range(len(rest))]).append_column("text", pa.array(text, pa.string()))
+    def need(distinct: int) -> int:
+        return max(article_pages, int(article_share * distinct) + 1)
 
-    out = dealt.select(*[f"c{i}" for i in range(len(rest))], F.lit("").alias("text")).schema
-    done = scanned.groupBy("__host", "__chunk").applyInArrow(finish, out)
-    return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "text")
+    def finish(table: pa.Table) -> pa.Table:
+        streams, keys = table["__text"].to_pylist(), table["__key"].to_pylist()
+        tokens, page, word_at, counts = _laid_out(streams, keys)
+        pages = covered(tokens, page, run_words)[word_at]
+        text = _without(streams, table["__place"].to_pylist(), counts, pages, min_pages, need(len(set(keys))))
+        return table.select(names).append_column("text", pa.array(text, pa.string()))
+
+    one = map_arrow(dealt.filter("__chunks = 1") if hosts else dealt, scan, schema)
+    done = one.groupBy("__host").applyInArrow(finish, out)
+    if hosts:
+        done = done.unionByName(_large_hosts(map_arrow(dealt.filter("__chunks > 1"), scan, schema), names, out,
+                                             run_words, min_pages, article_pages, need))
+    return done.select(*[F.col(n).alias(c) for c, n in zip(rest, names)], "text")
+
+
+def _large_hosts(scanned: DataFrame, names: list[str], out, run_words: int, min_pages: int, article_pages: int,
+                 need) -> DataFrame:
+    """Text of the pages of hosts of several chunks, by counts over the whole host."""
+    spark = scanned.sparkSession
+    scanned.write.parquet(path := shared_dir(spark, "main_text"))  # read more than once: the chunks must not change
+    rows = spark.read.schema(scanned.schema).parquet(path)
+    # renamed: a cogroup must not meet the same attribute on both sides
+    streams = rows.select(F.col("__host").alias("__h"), F.col("__key").alias("__k"), F.col("__chunk").alias("__c"))
+    streams = streams.groupBy("__h", "__k").agg(F.collect_set("__c").alias("__in"))
+    hosts = streams.groupBy("__h").agg(F.count("*").alias("__distinct"))
+    elsewhere = (streams.filter(F.size("__in") > 1)
+                 .select(F.col("__h").alias("__host"), F.col("__k").alias("__key"),
+                         F.explode(F.array_except("__in", F.array(F.array_min("__in")))).alias("__chunk")))
+
+    def count(table: pa.Table, left_out: pa.Table) -> pa.Table:
+        skip, once = set(left_out["__key"].to_pylist() if left_out.num_rows else ()), {}
+        for i, k in enumerate(table["__key"].to_pylist()):
+            if k not in skip:
+                once.setdefault(k, i)
+        shard, blob = [], []
+        if once:
+            own = table.select(["__text"]).take(list(once.values()))["__text"].to_pylist()
+            runs, pages = _count_chunk(own, list(once), run_words)
+            width = -(-table["__chunks"][0].as_py() // SHARD_CHUNKS)
+            dealt = ((runs >> np.uint64(32)) * np.uint64(width)) >> np.uint64(32)  # in order, as the runs are
+            edges = np.searchsorted(dealt, np.arange(width + 1, dtype=np.uint64))
+            for k in range(width):
+                i, j = edges[k], edges[k + 1]
+                if i < j:
+                    shard.append(k)
+                    blob.append(pack(np.diff(runs[i:j], prepend=np.uint64(0)), pages[i:j].astype(np.uint32)))
+        n = len(shard)
+        host, chunk = (table["__host"][0].as_py(), table["__chunk"][0].as_py()) if n else (None, None)
+        return pa.table({"__host": pa.array([host] * n, pa.string()), "__chunk": pa.array([chunk] * n, pa.int64()),
+                         "__shard": pa.array(shard, pa.int32()), "__block": pa.array(blob, pa.binary())})
+
+    def total(table: pa.Table) -> pa.Table:
+        chunk = table["__chunk"].to_pylist()
+        got = [unpack(x) for x in table["__block"].to_pylist()]
+        own = [np.cumsum(d, dtype=np.uint64) for d, _ in got]
+        runs, where = np.unique(np.concatenate(own), return_inverse=True)
+        pages = np.bincount(where, weights=np.concatenate([p for _, p in got])).astype(np.int64)
+        often = pages >= min(min_pages, article_pages)
+        ids, blob, at = [], [], 0
+        for c, r in zip(chunk, own):
+            n = where[at:at + len(r)]
+            at += len(r)
+            n = n[often[n]]
+            if len(n):
+                ids.append(c)
+                blob.append(pack(np.diff(runs[n], prepend=np.uint64(0)), pages[n].astype(np.uint32)))
+        return pa.table({"__host": pa.array([table["__host"][0].as_py()] * len(ids), pa.string()),
+                         "__chunk": pa.array(ids, pa.int64()), "__block": pa.array(blob, pa.binary())})
+
+    def finish(table: pa.Table, found: pa.Table) -> pa.Table:
+        texts = table["__text"].to_pylist()
+        if found.num_rows:
+            got = [unpack(x) for x in found["__block"].to_pylist()]
+            runs = np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _ in got])
+            pages = np.concatenate([p for _, p in got]).astype(np.int64)
+            order = np.argsort(runs)
+            runs, pages = runs[order], pages[order]
+            tokens, page, word_at, counts = _laid_out(texts, table["__key"].to_pylist())
+            h = run_hashes(tokens, run_words)
+            at = np.minimum(np.searchsorted(runs, h), len(runs) - 1)
+            best = spread(np.where(runs[at] == h, pages[at], 0), page, run_words)[word_at]
+            text = _without(texts, table["__place"].to_pylist(), counts, best, min_pages,
+                            need(found["__distinct"][0].as_py()))
+        else:
+            text = ["\n".join(s) for s in texts]
+        return table.select(names).append_column("text", pa.array(text, pa.string()))
+
+    key = ["__host", "__chunk"]
+    counted = (rows.select(*key, "__chunks", "__key", "__text").groupBy(*key).cogroup(elsewhere.groupBy(*key))
+               .applyInArrow(count, "__host string, __chunk bigint, __shard int, __block binary"))
+    found = counted.groupBy("__host", "__shard").applyInArrow(total, "__host string, __chunk bigint, __block binary")
+    found = found.join(hosts, F.col("__host") == F.col("__h")).drop("__h")
+    return rows.groupBy(*key).cogroup(found.groupBy(*key)).applyInArrow(finish, out)

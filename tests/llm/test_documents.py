@@ -164,6 +164,22 @@ def test_main_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_main_text_counts_over_a_host_of_many_chunks(spark, parts):
+    rep = "please read our terms of use before you go on with this site"
+    two = "a longer notice that stands on one page and its copies and on one other page"
+    body = "<p>Words of page{i} own{i} alone{i} and nowhere{i} else</p><p>{rep}</p>"
+    rows = [(i, f"https://b.y/{i}", body.format(i=i, rep=rep if i % 9 == 0 else two if i == 1 else f"tail{i}"))
+            for i in range(60)]
+    rows += [(100 + i, f"https://b.y/c{i}", f"<p>{two} copied</p>") for i in range(12)]  # copies count once
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)
+    whole = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    got = {r.page_id: r.text for r in html_text.main_text(pages, chunk_bytes=150).collect()}
+    assert got == whole and len(got) == len(rows)
+    assert got[9] == "Words of page9 own9 alone9 and nowhere9 else"
+    assert got[1].endswith(two) and all(got[100 + i] == f"{two} copied" for i in range(12))
+
+
 def test_covered_against_brute_force():
     rng = np.random.default_rng(0)
     tokens, page, at = [], [], 0
