@@ -169,34 +169,63 @@ def similar_edges(fps: DataFrame, n: int, max_bits: int = 3) -> DataFrame:
     return map_arrow(blocks.repartitionById(width, "shard"), meet, "u bigint, v bigint")
 
 
+def _grouped(docs: DataFrame, shingle_words: int, max_bits: int, id_col: str,
+             text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row, and (fp, rep, root) of every distinct fingerprint:
+    its smallest id and the fingerprint that names its group."""
+    own = cut(fingerprints(docs, shingle_words, id_col, text_col))
+    classes = cut(own.groupBy("fp").agg(F.min("id").alias("rep")))
+    root = components(similar_edges(classes, classes.count(), max_bits))
+    return own, (classes.join(root, classes.fp == root.node, "left")
+                 .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, fp, component_id) for every row of ``docs``; component_id is the
     smallest id reachable over links, the row's own included."""
-    own = cut(fingerprints(docs, shingle_words, id_col, text_col))
-    classes = cut(own.groupBy("fp").agg(F.min("id").alias("rep")))
-    root = components(similar_edges(classes, classes.count(), max_bits))
-    merged = (classes.join(root, classes.fp == root.node, "left")
-              .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    own, merged = _grouped(docs, shingle_words, max_bits, id_col, text_col)
     best = merged.groupBy("root").agg(F.min("rep").alias("component_id"))
     label = cut(merged.join(best, "root").select("fp", "component_id"))
     return own.join(label, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def _with_fingerprint(docs: DataFrame, shingle_words: int, text_col: str) -> DataFrame:
+    """``docs`` with the fingerprint of each row as ``__fp``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            fps = []
+            for i in range(0, len(b), 256):
+                fps += [fingerprint(t, shingle_words) for t in b.column(at).slice(i, 256).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.int64())], names=[*b.schema.names, "__fp"])
+
+    return map_arrow(docs, run, docs.withColumn("__fp", F.lit(0).cast("long")).schema)
+
+
 def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one of the
-    smallest id (of rows that share that id, the smallest by all columns)."""
-    label = near_duplicates(docs, shingle_words, max_bits, id_col, text_col)
-    kept = label.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = cut(kept.groupBy(F.col(id_col).alias("__keep")).agg(F.count("*").alias("__rows")))
-    pick = docs.join(kept, docs[id_col].eqNullSafe(kept["__keep"]))
-    single = pick.filter("__rows = 1").select(*docs.columns)
-    repeated = kept.filter("__rows > 1")
-    if repeated.isEmpty():
+    smallest id, a null id only where the group has no other (of a group's rows
+    that share that id, the one of the smallest fingerprint, then the smallest by
+    all columns)."""
+    own, merged = _grouped(docs, shingle_words, max_bits, id_col, text_col)
+    # per group, the smallest id and a fingerprint that holds it: an id alone may stand in several groups
+    kept = (merged.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("first"))
+            .select(F.col("first.rep").alias("__keep"), F.col("first.fp").alias("__kept_fp")))
+    rows = own.filter("id is not null").groupBy("id").agg(F.count("*").alias("__rows"))
+    kept = cut(kept.join(rows, kept["__keep"] == rows["id"], "left").select("__keep", "__kept_fp", "__rows"))
+    alone = kept.filter("__rows = 1").select("__keep")
+    single = docs.join(alone, docs[id_col] == alone["__keep"]).select(*docs.columns)
+    shared = kept.filter("__rows is null or __rows > 1")
+    if shared.isEmpty():
         return single
-    one = (docs.join(repeated, docs[id_col].eqNullSafe(repeated["__keep"]))
-           .select(*[docs[c] for c in docs.columns])
-           .groupBy(F.col(id_col).alias("__keep"))
-           .agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("__row")).select("__row.*"))
-    return single.unionByName(one)
+    ids = shared.filter("__keep is not null").select(F.col("__keep").alias("__id")).distinct()
+    some = (docs.join(ids, docs[id_col] == ids["__id"], "left_semi")
+            .unionByName(docs.filter(F.col(id_col).isNull())))
+    one = (_with_fingerprint(some, shingle_words, text_col)
+           .groupBy(F.col(id_col).alias("__own"), "__fp")
+           .agg(F.min(F.struct(*docs.columns)).alias("__row")))
+    one = one.join(shared, (F.col("__fp") == F.col("__kept_fp")) & F.col("__own").eqNullSafe(F.col("__keep")))
+    return single.unionByName(one.select("__row.*"))

@@ -87,6 +87,18 @@ def test_near_duplicates_odd_rows(spark, odd_docs, no_docs):
     assert simhash.keep_one(twice).count() == 1
 
 
+def test_keep_one_of_each_group_where_ids_are_null_or_repeated(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcdefg"}
+    rows = [(None, text["a"], "x"), (None, text["b"], "y"), (None, text["b"], "z"),  # two groups without an id
+            (None, text["c"], "x"), (7, text["c"], "x"),                             # an id goes before a null
+            (5, text["d"], "x"), (5, text["e"], "x"),                                # one id, two texts
+            (1, text["f"], "x"), (6, text["f"], "x"), (6, text["g"], "x"), (8, text["g"], "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    got = sorted(((r.text[0], r.doc_id, r.source) for r in simhash.keep_one(docs).collect()))
+    assert got == [("a", None, "x"), ("b", None, "y"), ("c", 7, "x"), ("d", 5, "x"), ("e", 5, "x"),
+                   ("f", 1, "x"), ("g", 6, "x")]
+
+
 @pytest.mark.parametrize("sf", [SF])
 def test_registered_queries_against_sql(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
