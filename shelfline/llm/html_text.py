@@ -1,9 +1,9 @@
 """Main text of HTML pages by a suffix array per host.
 
 Each page is scanned into blocks (text between block-level tags; character
-references decoded, white space folded).  Elements that name themselves as
-menu, header, footer, sidebar, notice, advert, form, script, style or reader
-comment are left out, and where a page marks an article (or main) element, what
+references decoded, white space folded).  Elements that name themselves (by their
+tag, role, id or a whole class name) as menu, header, footer, sidebar, notice,
+advert, form, script, style or reader comment are left out, and where a page marks an article (or main) element, what
 stands outside it.  The token streams of the remaining blocks of a host's pages
 are concatenated, their suffixes are sorted by prefix doubling to ``run_words``
 words, and runs of at least that many words that stand on several distinct pages
@@ -60,8 +60,8 @@ share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""
 HEADS = frozenset("header masthead topbar".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_WORDS = re.compile(r"[a-z]+")
+# one attribute: its name and, if it has one, its value (quoted or not)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 OUT, FREE, ARTICLE = 0, 1, 2
 
@@ -71,14 +71,16 @@ def _zone(name: str, attributes: str, zone: tuple) -> tuple:
     out, article = zone
     names: set = set()
     if attributes and out < 2:
-        for key, value in _NAMED.findall(attributes):
-            words = set(_WORDS.findall(value.lower()))
-            if key.lower() == "role":
-                out = 2 if words & ROLES else out
-            elif key.lower() == "hidden":
+        for key, value in _ATTRIBUTE.findall(attributes):
+            key = key.lower()
+            if key == "hidden":
                 out = 2
-            else:
-                names |= words
+            elif key in ("class", "id", "role"):
+                words = set(value.strip("\"'").lower().split())
+                if key != "role":
+                    names |= words
+                elif words & ROLES:
+                    out = 2
     if out == 2 or name in HARD or names & COMMENTS:
         return 2, article
     if name in ("article", "main"):

@@ -176,6 +176,21 @@ def test_main_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("outer", [
+    'article style="overflow:hidden"', "article aria-hidden='false'", "div style='overflow: hidden'", "div data-hidden",
+    'div class="layout has-sidebar"', 'div title="hidden class=ad"', "div data-role=navigation"])
+def test_blocks_take_only_attributes_of_their_own_name(outer):
+    tag = outer.split()[0]
+    page = f'<body style="overflow-x:hidden"><{outer}><p>The text</p></{tag}>'
+    assert [t for t, _ in html_text.blocks(page)] == ["The text"]
+
+
+@pytest.mark.parametrize("outer", [
+    "div hidden", 'div id=x hidden=""', "div HIDDEN class=a", 'div class="left sidebar"', "div role='navigation'", "div id=comments"])
+def test_blocks_leave_out_what_names_itself(outer):
+    assert [t for t, _ in html_text.blocks(f"<{outer}><p>Not this</p></div><p>The text</p>")] == ["The text"]
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_main_text_counts_over_a_host_of_many_chunks(spark, parts):
     rep = "please read our terms of use before you go on with this site"
