@@ -7,7 +7,8 @@ advert, form, script, style or reader comment are left out, and where a page mar
 stands outside it.  The token streams of the remaining blocks of a host's pages
 are concatenated, their suffixes are sorted by prefix doubling to ``run_words``
 words, and runs of at least that many words that stand on several distinct pages
-are found: such a run is boilerplate, and a block covered by runs is removed.
+are found: such a run is boilerplate, and a block covered by runs is removed.  A
+run may span blocks that follow each other, so short ones (menus, share bars) go.
 
 What counts as repeated differs by place, because articles share passages: a run
 outside any marked article needs ``min_pages`` distinct pages; inside one it
@@ -215,24 +216,24 @@ def run_hashes(tokens: np.ndarray, run_words: int) -> np.ndarray:
 
 
 def _laid_out(streams: list[list], keys: list):
-    """The streams as tokens with a separator behind each block: (tokens, number
-    of each token's page (-1: separator; equal keys are one page), where the
-    words stand among the tokens, words per block)."""
+    """The streams as tokens with a separator behind each page, none between its
+    blocks: (tokens, number of each token's page (-1: separator; equal keys are
+    one page), where the words stand among the tokens, words per block)."""
     raw, offsets = buffers(pa.array([t for s in streams for t in s], pa.string()))
     low = LOWER[raw]
     starts, ends, counts = spans(low, offsets)
     h = (hashes(low, starts, ends)[0] >> np.uint64(1)).astype(np.int64)
-    nblocks = len(counts)
     distinct: dict = {}
     own = np.array([distinct.setdefault(k, len(distinct)) for k in keys], np.int64)
-    page_of_block = np.repeat(own, [len(s) for s in streams])
-    word_at = np.arange(len(h)) + np.repeat(np.arange(nblocks), counts)
-    tokens = np.empty(len(h) + nblocks, np.int64)
+    last = np.cumsum([len(s) for s in streams])  # words per page
+    upto = np.concatenate([[0], np.cumsum(counts)])[last]
+    words = np.diff(upto, prepend=0)
+    word_at = np.arange(len(h)) + np.repeat(np.arange(len(own)), words)
+    tokens = np.empty(len(h) + len(own), np.int64)
     page = np.full(len(tokens), -1, np.int64)
     tokens[word_at] = h
-    page[word_at] = np.repeat(page_of_block, counts)
-    close = np.cumsum(counts + 1) - 1
-    tokens[close] = -1 - np.arange(nblocks)
+    page[word_at] = np.repeat(own, words)
+    tokens[upto + np.arange(len(own))] = -1 - np.arange(len(own))
     return tokens, page, word_at, counts
 
 

@@ -191,6 +191,16 @@ def test_blocks_leave_out_what_names_itself(outer):
     assert [t for t, _ in html_text.blocks(f"<{outer}><p>Not this</p></div><p>The text</p>")] == ["The text"]
 
 
+@pytest.mark.parametrize("chunk_bytes", [8 << 20, 300])
+def test_main_text_runs_span_short_blocks(spark, chunk_bytes):
+    menu = "".join(f"<div>{x}</div>" for x in ("Home", "Our shop", "News", "About us", "Contact", "Log in"))
+    body = menu + "<p>Own{i} words{i} of{i} page{i}</p><p>Short</p><p>other{i}</p>"
+    rows = [(i, f"https://b.y/{i}", body.format(i=i)) for i in range(12)] + [(50, "https://b.y/50", "<p>Home</p><p>Our shop</p>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(pages, chunk_bytes=chunk_bytes).collect()}
+    assert got == {i: f"Own{i} words{i} of{i} page{i}\nShort\nother{i}" for i in range(12)} | {50: "Home\nOur shop"}
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_main_text_counts_over_a_host_of_many_chunks(spark, parts):
     rep = "please read our terms of use before you go on with this site"
