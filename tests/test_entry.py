@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import SF0001
+from paths import SF0001
 
 import __spark_entry__ as E
 from oracle_compare import compare
