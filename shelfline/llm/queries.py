@@ -3,12 +3,13 @@ parameters.  ORACLES holds the DuckDB form where SQL can express the result."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chunk_dedup, html_text, langid, line_dedup, lm, mixing, sentencepiece, simhash, topk, toxicity
+from . import ann, chunk_dedup, html_text, langid, line_dedup, lm, mixing, runs, sentencepiece, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,9 +82,36 @@ def op12_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's words: in a tenth of the documents a stretch repeats up
+    to the end.  A row without an id keeps its words."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return (words[:a] + words[a:a + period] * (-(-(n - a) // period)))[:n]
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=_planted)
+    # the longest run; of equal ones the first start, then the smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity_chain, op2_sentencepiece, op3_bit_sliced_top_k, op4_kneser_ney, op5_simhash_near_dedup,
-    op6_language_id, op7_source_mix, op8_main_text, op9_line_dedup, op10_nearest, op12_chunk_recipes)}
+    op6_language_id, op7_source_mix, op8_main_text, op9_line_dedup, op10_nearest, op12_chunk_recipes,
+    op13_word_runs)}
 
 ORACLES: dict[str, str] = {
     "op3_bit_sliced_top_k": topk.ORACLE,
