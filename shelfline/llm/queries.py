@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chunk_dedup, html_text, langid, line_dedup, lm, mixing, runs, sentencepiece, simhash, topk, toxicity
+from . import ann, chunk_dedup, hard_negatives, html_text, langid, line_dedup, lm, mixing, runs, sentencepiece, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -110,13 +115,14 @@ def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity_chain, op2_sentencepiece, op3_bit_sliced_top_k, op4_kneser_ney, op5_simhash_near_dedup,
-    op6_language_id, op7_source_mix, op8_main_text, op9_line_dedup, op10_nearest, op12_chunk_recipes,
-    op13_word_runs)}
+    op6_language_id, op7_source_mix, op8_main_text, op9_line_dedup, op10_nearest, op11_hard_negatives,
+    op12_chunk_recipes, op13_word_runs)}
 
 ORACLES: dict[str, str] = {
     "op3_bit_sliced_top_k": topk.ORACLE,
     "op7_source_mix": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE.format(docs="documents", columns="doc_id", ratio=line_dedup.RATIO,
                                                min_pages=line_dedup.MIN_PAGES, max_share=line_dedup.MAX_SHARE),
+    "op11_hard_negatives": hard_negatives.ORACLE,
     "op12_chunk_recipes": chunk_dedup.ORACLE,
 }
