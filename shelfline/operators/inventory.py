@@ -14,6 +14,10 @@ events alone:
 
 No cross join and no grid join; a hot pair only ever holds one row per spine
 day before the explode, so it cannot overload a task.
+
+A later run need not read the units' history again: ``movements`` keeps their
+in/out events as sums per pair and day, and ``carried_balances`` adds those
+since a day to the balances stored for the day before.
 """
 
 from __future__ import annotations
@@ -60,6 +64,11 @@ def daily_balances(units: DataFrame, window_start: dt.date, as_of: dt.date,
                 "units_on_hand long, inventory_cost_on_hand decimal(22,2)")
     e = _events(units, window_start, lo, hi)
     daily = e.groupBy(*KEYS, "d").agg(F.sum("du").alias("du"), F.sum("dc").alias("dc"))
+    return _dense(daily, hi)
+
+
+def _dense(daily: DataFrame, hi: dt.date) -> DataFrame:
+    """Running balances of every pair from its first day in ``daily`` to ``hi``."""
     w = Window.partitionBy(*KEYS).orderBy("d")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = daily.select(
@@ -87,3 +96,43 @@ def latest_balances(units: DataFrame, window_start: dt.date, as_of: dt.date,
         F.lit(hi).alias("snapshot_date"),
         F.sum("du").cast("long").alias("units_on_hand"),
         F.sum("dc").alias("inventory_cost_on_hand"))
+
+
+def movements(units: DataFrame) -> DataFrame:
+    """Daily changes per pair: du units and dc cost on ``move_date``.  A unit
+    without any date still leaves its pair, with a null day and no change."""
+    keyed = F.col("product_id").isNotNull() & F.col("distribution_center_id").isNotNull()
+    nothing = F.lit(0).cast("decimal(12,2)")
+    cost = F.when(keyed, F.coalesce(F.col("cost").cast("decimal(12,2)"), nothing)).otherwise(nothing)
+    one = F.when(keyed, F.lit(1)).otherwise(F.lit(0))
+    moves = F.filter(F.array(
+        F.struct(F.col("in_date").alias("move_date"), one.alias("du"), cost.alias("dc")),
+        F.struct(F.col("out_date").alias("move_date"), (-one).alias("du"), (-cost).alias("dc"))),
+        lambda m: m["move_date"].isNotNull())
+    dateless = F.array(F.struct(F.lit(None).cast("date").alias("move_date"), F.lit(0).alias("du"), nothing.alias("dc")))
+    e = units.select(*KEYS, F.explode(F.when(F.size(moves) > 0, moves).otherwise(dateless)).alias("e"))
+    return e.groupBy(*KEYS, F.col("e.move_date").alias("move_date")).agg(
+        F.sum("e.du").alias("du"), F.sum("e.dc").alias("dc"))
+
+
+def carried_balances(opening: DataFrame, moves: DataFrame, since: dt.date, as_of: dt.date,
+                     cal_start: dt.date, cal_end: dt.date) -> DataFrame:
+    """Balances from ``since`` on: the stored ones of the day before (``opening``)
+    plus the movements of later days.  Equals the same days of
+    ``daily_balances`` as long as no movement before ``since`` came late."""
+    lo, hi = spine_bounds(since, as_of, cal_start, cal_end)
+    if lo > hi:
+        return opening.select(*KEYS, F.lit(lo).alias("snapshot_date"), "units_on_hand", "inventory_cost_on_hand").limit(0)
+    start = opening.select(*KEYS, F.lit(lo).alias("d"), F.col("units_on_hand").alias("du"),
+                           F.col("inventory_cost_on_hand").alias("dc"))
+    day = F.greatest("move_date", F.lit(lo))
+    inside = (F.col("move_date") >= F.lit(since)) & (F.col("move_date") <= F.lit(hi))
+    # a pair known only by a later or dateless movement starts with nothing
+    kept = moves.filter(inside | F.col("move_date").isNull() | (F.col("move_date") > F.lit(hi)))
+    late = kept.select(*KEYS, F.when(inside, day).otherwise(F.lit(lo)).alias("d"),
+                       F.when(inside, F.col("du")).otherwise(F.lit(0)).alias("du"),
+                       F.when(inside, F.col("dc")).otherwise(F.lit(0)).alias("dc"))
+    pairs = kept.select(*KEYS, F.lit(lo).alias("d"), F.lit(0).alias("du"), F.lit(0).cast("decimal(12,2)").alias("dc"))
+    daily = start.unionByName(late).unionByName(pairs).groupBy(*KEYS, "d").agg(
+        F.sum("du").alias("du"), F.sum("dc").alias("dc"))
+    return _dense(daily, hi).withColumn("inventory_cost_on_hand", F.col("inventory_cost_on_hand").cast("decimal(32,2)"))

@@ -94,12 +94,18 @@ def order_totals(enriched: DataFrame) -> DataFrame:
 
 
 def fct_orders(stg_orders: DataFrame, enriched: DataFrame,
-               since: dt.date | None = None) -> DataFrame:
+               since: dt.date | None = None, line_lead_days: int = 1) -> DataFrame:
     """MOD8 / JN3: orders without lines keep null totals; ``since`` is the
-    incremental cutoff: only lines of the slice's orders are summed."""
+    incremental cutoff: only lines of the slice's orders are summed.  Where the
+    lines carry their ``order_date``, those dated more than ``line_lead_days``
+    before the cutoff are not read (a line may be entered so long before its
+    order)."""
     o = stg_orders
     if since is not None:
         o = o.filter(X.to_day("created_at") >= F.lit(since))
+        if "order_date" in enriched.columns:
+            first = since - dt.timedelta(days=line_lead_days)
+            enriched = enriched.filter(F.col("order_date") >= F.lit(first))
         ids = o.select(F.col("order_id").alias("_slice"))
         enriched = enriched.join(ids, enriched.order_id == ids._slice, "left_semi")
     t = order_totals(enriched).withColumnRenamed("order_id", "_oid")

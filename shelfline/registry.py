@@ -31,6 +31,10 @@ def publish(df: DataFrame) -> DataFrame:
 _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/")
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One warehouse per session and directory: sources are landed once and
     each fact is built once, then every model reads them (a full build)."""
@@ -209,24 +213,36 @@ def _q(spark, d):
     return scd2.apply_snapshot(staging.snapshot_projection(w.s.products), before, run)
 
 
+_DATED: dict[tuple, object] = {}
+
+
+def _dated(spark, d):
+    """The sources laid out by day, once per session and directory."""
+    from .plans import slices
+    key = _key(spark, d)
+    if key not in _DATED:
+        w = _wh(spark, d)
+        _DATED[key] = slices.DatedSources.build(spark, w.stg_orders, w.stg_order_items, w.stg_inventory_items,
+                                                w.s.product_versions, _scratch(spark, "dated")[0])
+    return _DATED[key]
+
+
+_FIRST_STATE = DEFAULT.as_of - dt.timedelta(days=30)
+
+
 @register("incremental_fct_order_items", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
 def _q(spark, d):
-    """Two runs into a date-partitioned table: an older state, then an
-    incremental run with the 3-day lookback; the table equals a full build."""
+    """Two runs into a date-partitioned table: an older state, then a run that
+    reads only the slice from the 3-day lookback on; the table equals a full build."""
     from .operators import contracts, incremental
-    from .plans import core
-    w = _wh(spark, d)
+    w, dated = _wh(spark, d), _dated(spark, d)
     path, _ = _scratch(spark, "fct_order_items")
-    first_state = DEFAULT.as_of - dt.timedelta(days=30)
-
-    def build(since):
-        df = core.fct_order_items(w.order_items_enriched, since)
-        return df if since is not None else df.filter(F.col("order_date") <= F.lit(first_state))
-    incremental.build_incremental(spark, build, path, "order_date", DEFAULT.lookback_days,
-                                  ("product_id", "distribution_center_id"))
-    incremental.build_incremental(spark, lambda since: core.fct_order_items(w.order_items_enriched, since),
-                                  path, "order_date", DEFAULT.lookback_days,
-                                  ("product_id", "distribution_center_id"), "append_new_columns")
+    clusters = ("product_id", "distribution_center_id")
+    incremental.build_incremental(
+        spark, lambda _: w.fct_order_items.filter(F.col("order_date") <= F.lit(_FIRST_STATE)), path, "order_date",
+        DEFAULT.lookback_days, clusters)
+    incremental.build_incremental(spark, dated.fct_order_items, path, "order_date", DEFAULT.lookback_days, clusters,
+                                  "append_new_columns")
     cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
     return incremental.read_table(spark, path).select(*cols)
 
@@ -237,19 +253,13 @@ def _q(spark, d):
     """MOD8 incremental: an older state, then a run that sums only the lines of
     the orders since the cutoff; the table equals a full build."""
     from .operators import incremental
-    from .plans import core
-    w = _wh(spark, d)
+    w, dated = _wh(spark, d), _dated(spark, d)
     path, _ = _scratch(spark, "fct_orders")
-    first_state = DEFAULT.as_of - dt.timedelta(days=30)
-
-    def build(until):
-        def run(since):
-            df = core.fct_orders(w.stg_orders, w.fct_order_items, since)
-            return df.filter(F.col("order_date") <= F.lit(until)) if until else df
-        return run
-    for until in (first_state, None):
-        incremental.build_incremental(spark, build(until), path, "order_date", DEFAULT.lookback_days,
-                                      ("status",), "sync_all_columns")
+    incremental.build_incremental(
+        spark, lambda _: w.fct_orders.filter(F.col("order_date") <= F.lit(_FIRST_STATE)), path, "order_date",
+        DEFAULT.lookback_days, ("status",), "sync_all_columns")
+    incremental.build_incremental(spark, lambda cutoff: dated.fct_orders(w.fct_order_items, cutoff), path, "order_date",
+                                  DEFAULT.lookback_days, ("status",), "sync_all_columns")
     return incremental.read_table(spark, path)
 
 
@@ -648,26 +658,29 @@ def _q(spark, d):
 @register("incremental_fct_inventory_snapshot", "SELECT * FROM fct_inventory_snapshot",
           ("inventory_cost_on_hand",))
 def _q(spark, d):
-    """MOD9 incremental: a run as of 10 days earlier, then a run that rebuilds
-    from max(snapshot_date) - 3 days with that day as the window start; the
-    opening balance keeps the running totals exact (F6)."""
+    """MOD9 incremental: a run as of 10 days earlier, then a run from
+    max(snapshot_date) - 3 days on that adds the movements since to the balances
+    stored for the day before."""
     from .operators import incremental
     from .plans import core
-    w, p = _wh(spark, d), DEFAULT
+    w, dated, p = _wh(spark, d), _dated(spark, d), DEFAULT
     path, _ = _scratch(spark, "fct_inventory_snapshot")
-    earlier = p.as_of - dt.timedelta(days=10)
 
     def build(as_of):
-        def run(since):
-            return core.fct_inventory_snapshot(w.stg_inventory_items, since or p.window_start, as_of,
+        def run(cutoff):
+            carried = None
+            if cutoff is not None:
+                carried = dated.fct_inventory_snapshot(spark, path, cutoff, as_of, p.calendar_start, p.calendar_end)
+            if carried is not None:
+                return carried
+            return core.fct_inventory_snapshot(w.stg_inventory_items, cutoff or p.window_start, as_of,
                                                p.calendar_start, p.calendar_end)
         return run
-    incremental.build_incremental(spark, build(earlier), path, "snapshot_date", p.lookback_days,
-                                  ("product_id", "distribution_center_id"))
-    incremental.build_incremental(spark, build(p.as_of), path, "snapshot_date", p.lookback_days,
-                                  ("product_id", "distribution_center_id"), "sync_all_columns")
+    for as_of in (p.as_of - dt.timedelta(days=10), p.as_of):
+        incremental.build_incremental(spark, build(as_of), path, "snapshot_date", p.lookback_days,
+                                      ("product_id", "distribution_center_id"), "sync_all_columns")
     return incremental.read_table(spark, path).select("product_id", "distribution_center_id", "snapshot_date",
-                                           "units_on_hand", "inventory_cost_on_hand")
+                                                      "units_on_hand", "inventory_cost_on_hand")
 
 
 @register("metric_revenue_by_day_spine", f"""
