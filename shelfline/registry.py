@@ -213,6 +213,48 @@ def _q(spark, d):
     return scd2.apply_snapshot(staging.snapshot_projection(w.s.products), before, run)
 
 
+# four states of the catalogue: what a run at that time finds (FIXTURES.md)
+_SNAPSHOT_RUNS = (
+    (dt.datetime(1996, 1, 1), "id % 5 <> 0", "cost", "retail_price", "name"),
+    (dt.datetime(1997, 1, 1), "true", "CASE WHEN id % 3 = 0 THEN cost + 5 ELSE cost END", "retail_price",
+     "CASE WHEN id % 7 = 0 THEN concat(name, ' II') ELSE name END"),
+    (dt.datetime(1998, 1, 1), "id % 11 <> 0", "CASE WHEN id % 3 = 0 THEN cost + 5 ELSE cost END",
+     "CASE WHEN id % 4 = 0 THEN retail_price + 1 ELSE retail_price END", "name"),
+    (dt.datetime(1998, 1, 1), "id % 11 <> 0", "CASE WHEN id % 3 = 0 THEN cost + 5 ELSE cost END",
+     "CASE WHEN id % 4 = 0 THEN retail_price + 1 ELSE retail_price END", "name"),  # the same run again
+    (dt.datetime(1999, 1, 1), "true", "CASE WHEN id % 6 = 0 THEN cost ELSE cost + 5 END", "retail_price", "name"),
+)
+_SNAPSHOT_STATES = " UNION ALL ".join(
+    f"SELECT id AS product_id, CAST({name} AS VARCHAR) AS product_name, category, brand, department, sku, distribution_center_id, "
+    f"CAST({cost} AS DECIMAL(12,2)) AS cost, CAST({price} AS DECIMAL(12,2)) AS retail_price, TIMESTAMP '{at}' AS seen_at "
+    f"FROM r_products WHERE {there}" for at, there, cost, price, name in dict.fromkeys(_SNAPSHOT_RUNS))
+
+
+@register("scd2_stored_snapshot", f"""
+    SELECT product_id, product_name, category, brand, department, sku, distribution_center_id, cost, retail_price,
+           seen_at AS valid_from, lead(seen_at) OVER (PARTITION BY product_id ORDER BY seen_at) AS valid_to,
+           md5(CAST(product_id AS VARCHAR) || '|' || CAST(seen_at AS VARCHAR)) AS scd_id
+    FROM (SELECT *, lag(cost) OVER w AS cost_before, lag(retail_price) OVER w AS price_before,
+                 row_number() OVER w AS nth
+          FROM ({_SNAPSHOT_STATES}) WINDOW w AS (PARTITION BY product_id ORDER BY seen_at))
+    WHERE nth = 1 OR cost IS DISTINCT FROM cost_before OR retail_price IS DISTINCT FROM price_before""",
+          ("cost", "retail_price"))
+def _q(spark, d):
+    """SNK7, MOD16: five runs on the stored history: first rows, changes and new
+    products, products that vanish, the same run again, products that return."""
+    from .operators import scd2
+    from .operators.versioned import VersionedTable
+    from .plans import staging
+    products = _wh(spark, d).s.products
+    table = VersionedTable(spark, _scratch(spark, "snap_products")[0])
+    for at, there, cost, price, name in _SNAPSHOT_RUNS:
+        found = products.filter(there).withColumns({"name": F.expr(name), "cost": F.expr(cost).cast("decimal(12,2)"),
+                                                    "retail_price": F.expr(price).cast("decimal(12,2)")})
+        scd2.run_snapshot(table, staging.snapshot_projection(found), at)
+    table.vacuum()
+    return table.read()
+
+
 _DATED: dict[tuple, object] = {}
 
 
