@@ -676,23 +676,20 @@ def _q(spark, d):
 
 @register("stream_fct_order_items_upkeep", "SELECT * FROM fct_order_items", _ENRICHED_MONEY)
 def _q(spark, d):
-    """STR2: lineitem files as a change feed; each micro-batch rebuilds the
-    order dates it touches from the full sources."""
+    """STR2: a feed of changed lines in four files, a batch each; every batch
+    rebuilds the order dates it touches from the sources laid out by day.  The
+    first batch comes once more at the end and is left out by the ledger."""
     from . import streaming
     from .operators import contracts
-    from .plans import core
-    w = _wh(spark, d)
-    orders = w.stg_orders.select(F.col("order_id").alias("_o"),
-                                 F.to_date("created_at").alias("order_date"))
-
-    def touched(batch):
-        return batch.join(orders, batch.l_orderkey == orders._o, "inner").select("order_date")
-
-    def rebuild(dates):
-        return core.fct_order_items(w.order_items_enriched).join(dates, "order_date", "left_semi")
-    path, ck = _scratch(spark, "fct_order_items")
-    streaming.upkeep_partitions(_stream_source(spark, d, "lineitem"), touched, rebuild, path,
-                                "order_date", ck, ("product_id", "distribution_center_id")).awaitTermination()
+    dated, (path, ck) = _dated(spark, d), _scratch(spark, "fct_order_items")
+    feed = f"{_scratch(spark, 'feed')[0]}"
+    changed = dated.lines.select("order_item_id", "order_date")
+    changed.repartitionByRange(4, "order_date").write.parquet(feed)
+    days, clusters = (lambda batch: batch.select("order_date")), ("product_id", "distribution_center_id")
+    stream = spark.readStream.schema(changed.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    streaming.upkeep_partitions(stream, days, dated.fct_order_items_on, path, "order_date", ck, clusters).awaitTermination()
+    streaming.upkeep_batch(spark.read.schema(changed.schema).parquet(feed).limit(1), 0, days, dated.fct_order_items_on, path,
+                           "order_date", clusters, streaming.BatchLedger(spark, f"{ck}.ledger"))
     cols = [n for n, _, _ in contracts.FCT_ORDER_ITEMS.columns]
     return spark.read.parquet(path).select(*cols)
 

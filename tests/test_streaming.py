@@ -2,6 +2,10 @@
 
 import datetime as dt
 import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
 
 from shelfline import streaming
 from shelfline.plans import marts
@@ -69,3 +73,47 @@ def test_upkeep_replaces_only_the_touched_dates(spark, tmp_path):
     got = {r.id: r.amount for r in spark.read.parquet(out).collect()}
     assert got == {i: a + (d == dt.date(2001, 1, 2)) for i, d, a in facts}
     assert kept and all(os.path.getmtime(f) == m for f, m in kept.items())
+
+
+def test_repeated_and_failed_batches(spark, tmp_path):
+    """A batch in the ledger is left out; one that failed before it is written again."""
+    full = spark.createDataFrame([(i, dt.date(2001, 1, 1 + i % 3)) for i in range(9)], "id long, order_date date")
+    out, ledger = str(tmp_path / "fact"), streaming.BatchLedger(spark, str(tmp_path / "ledger"))
+    runs = []
+
+    def rebuild(dates, fail=False):
+        runs.append(sorted(r.order_date.day for r in dates.collect()))
+        if fail:
+            raise RuntimeError("executor lost")
+        return full.join(dates, "order_date", "left_semi")
+    batch = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long").join(full, "id")
+    one = lambda b, n, f=rebuild: streaming.upkeep_batch(b, n, lambda x: x, f, out, "order_date", ledger=ledger)
+    assert one(batch(0), 0) and not one(batch(0), 0)
+    with pytest.raises(RuntimeError):
+        one(batch(1, 4), 1, lambda dates: rebuild(dates, True))
+    assert not ledger.holds(1) and one(batch(1, 4), 1)
+    assert runs == [[1], [2], [2]] and ledger.batches() == [0, 1]
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 3, 4, 6, 7]
+
+
+def test_upkeep_reads_the_months_of_a_batch(spark, tmp_path):
+    from shelfline.plans import slices
+    days = [dt.date(2001, 1, 1) + dt.timedelta(days=7 * k) for k in range(50)]
+    rows = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id long, order_date date") \
+        .withColumn("order_date_month", F.trunc("order_date", "month"))
+    table = slices.lay_out(rows, str(tmp_path / "rows"), "order_date", "id")
+    src, out, ck, plans = (str(tmp_path / n) for n in ("changes", "fact", "ck", "plans"))
+    plans = []
+    for part in (days[:3], days[30:33]):
+        spark.createDataFrame([(d,) for d in part], "order_date date").coalesce(1).write.mode("append").parquet(src)
+
+    def rebuild(dates):
+        df = slices.on_days(table, "order_date", dates)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.drop("order_date_month")
+    stream = spark.readStream.schema("order_date date").option("maxFilesPerTrigger", 1).parquet(src)
+    streaming.upkeep_partitions(stream, lambda b: b, rebuild, out, "order_date", ck).awaitTermination()
+    assert sorted(r.order_date for r in spark.read.parquet(out).collect()) == days[:3] + days[30:33]
+    folders = [re.search(r"PartitionFilters: \[(.*?)\], ", p).group(1) for p in plans]
+    assert "2001-01-01" in folders[0] and "2001-08-01" not in folders[0]
+    assert "2001-08-01" in folders[1] and "2001-01-01" not in folders[1]
