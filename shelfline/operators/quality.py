@@ -1,12 +1,14 @@
 """Data-quality checks (DQ1-DQ13) and source freshness (SRC13).
 
 A check returns its failing rows; it passes with zero rows.  ``run_checks``
-evaluates a whole list as one Spark job: all row-level checks of one table
-are fused into a single aggregation pass (``count_if`` per check), each
-uniqueness check is one grouped count, and each relationship check counts
-child rows per key (map-side combine) before anti-joining only the distinct
-keys with the parent.  The result is a small table (check, table, severity, n_failed,
-status).
+evaluates a whole list as one Spark job that scans every table once: one
+aggregation per table counts its rows over grouping sets, a set for each key
+that some check needs (as unique key, child key or parent key) and one for the
+bits of the row-level checks that a row fails.  Map-side combine bounds what is
+shuffled by the distinct keys.  Repeated keys are read off these counts; child
+and parent keys of the relationships meet in one more aggregation of the counts
+by (check, key), with no join.  The result is a small table (check, table,
+severity, n_failed, status).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as X
 
@@ -80,37 +83,95 @@ def status(n: Column, severity: Column) -> Column:
     return F.when(n == 0, "pass").when(severity == "warn", "warn").otherwise("fail")
 
 
-def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks as one small result table."""
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ROW_KINDS:
-            by_table.setdefault(c.table, []).append(c)
-        elif c.kind == "relationships":
-            # count child rows per key first (map-side combine), then anti-join
-            # only the distinct keys: the shuffle is bounded by the key count
-            col = c.columns[0]
-            per_key = (tables[c.table].filter(F.col(col).isNotNull())
-                       .groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-            parent = tables[c.parent].select(F.col(c.parent_column).alias("_pk")).distinct()
-            orphans = per_key.join(parent, per_key["_k"] == parent["_pk"], "left_anti")
-            n = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_failed"))
-            parts.append(n.select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
-                                  F.lit(c.severity).alias("severity"), F.col("n_failed").cast("long")))
+#: keys of these types are compared as longs, others as text
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+#: row-level checks whose failures fit the bits of one number
+_BITS = 62
+
+
+def _whole(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, _WHOLE)
+
+
+def _counts(df: DataFrame, keys: list[tuple[str, ...]], rules: list[Column]) -> tuple[DataFrame, list[int]]:
+    """Rows per value of each key and per combination of failed ``rules``
+    (bits), in one aggregation over grouping sets; and the sets' grouping ids."""
+    flags = [f"_flags{i}" for i in range(-(-len(rules) // _BITS))]
+    for i, name in enumerate(flags):
+        bits = [F.when(r, F.lit(1 << b)).otherwise(F.lit(0)).cast("bigint") for b, r in enumerate(rules[i * _BITS:(i + 1) * _BITS])]
+        df = df.withColumn(name, reduce(lambda x, y: x + y, bits))
+    sets = [list(k) for k in keys] + [[f] for f in flags]
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    ids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets]
+    counted = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in cols]).agg(
+        F.grouping_id().cast("bigint").alias("_set"), F.count(F.lit(1)).alias("_rows"))
+    return counted, ids
+
+
+def _entry(check: int, rows: Column, key: Column | None = None, whole: bool = False, parent: bool = False) -> Column:
+    key = F.lit(None) if key is None else key
+    return F.struct(F.lit(check).alias("check"), (key if whole else F.lit(None)).cast("bigint").alias("whole"),
+                    (F.lit(None) if whole else key).cast("string").alias("text"), rows.cast("bigint").alias("rows"),
+                    F.lit(int(parent)).alias("parent"))
+
+
+def _entries(table: str, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """(check, key, rows, parent) of one table: failures of its row and
+    uniqueness checks, and its keys' counts for the relationships."""
+    df, keys, rules, made = tables[table], [], [], []
+
+    def of(*cols):  # the number of a key's grouping set
+        if cols not in keys:
+            keys.append(cols)
+        return keys.index(cols)
+
+    def as_key(col, whole):
+        dated = whole and isinstance(df.schema[col].dataType, T.DateType)
+        return F.unix_date(F.col(col)) if dated else F.col(col)
+    for i, c in enumerate(checks):
+        if c.table == table:
+            if c.kind in ROW_KINDS:
+                made.append((i, "rule", len(rules)))
+                rules.append(fail_condition(c))
+            elif c.kind in ("unique", "unique_combination"):
+                known = F.lit(True) if c.kind == "unique_combination" else F.col(c.columns[0]).isNotNull()
+                made.append((i, of(*c.columns), known & (F.col("_rows") > 1), _entry(i, F.lit(1))))
+            elif c.kind == "relationships":
+                whole = _whole(df, c.columns[0]) and _whole(tables[c.parent], c.parent_column)
+                made.append((i, of(c.columns[0]), F.col(c.columns[0]).isNotNull(),
+                             _entry(i, F.col("_rows"), as_key(c.columns[0], whole), whole)))
+            else:
+                raise ValueError(c.kind)
+        if c.kind == "relationships" and c.parent == table:
+            whole = _whole(tables[c.table], c.columns[0]) and _whole(df, c.parent_column)
+            made.append((i, of(c.parent_column), F.col(c.parent_column).isNotNull(),
+                         _entry(i, F.lit(0), as_key(c.parent_column, whole), whole, parent=True)))
+    counted, ids = _counts(df, keys, rules)
+    out = []
+    for i, *what in made:
+        if what[0] == "rule":
+            at, bit = divmod(what[1], _BITS)
+            failed = F.col(f"_flags{at}").bitwiseAND(F.lit(1 << bit)) != 0
+            out.append(F.when((F.col("_set") == ids[len(keys) + at]) & failed, _entry(i, F.col("_rows"))))
         else:
-            n = failing_rows(c, tables).agg(F.count(F.lit(1)).alias("n_failed"))
-            parts.append(n.select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
-                                  F.lit(c.severity).alias("severity"), F.col("n_failed").cast("long")))
-    for table, cs in by_table.items():
-        aggs = [F.count_if(fail_condition(c)).alias(f"_c{i}") for i, c in enumerate(cs)]
-        one = tables[table].agg(*aggs)
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(table).alias("table_name"),
-                     F.lit(c.severity).alias("severity"), F.col(f"_c{i}").cast("long").alias("n_failed"))
-            for i, c in enumerate(cs)]))
-        parts.append(one.select(rows.alias("r")).select("r.*"))
-    out = reduce(DataFrame.unionByName, parts)
+            number, needed, entry = what
+            out.append(F.when((F.col("_set") == ids[number]) & needed, entry))
+    return counted.select(F.explode(F.filter(F.array(*out), lambda e: e.isNotNull())).alias("e")).select("e.*")
+
+
+def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """All checks as one small result table; each table is scanned once."""
+    names = dict.fromkeys(n for c in checks for n in (c.table, c.parent) if n is not None)
+    entries = reduce(DataFrame.unionByName, [_entries(n, checks, tables) for n in names])
+    met = entries.groupBy("check", "whole", "text").agg(F.sum("rows").alias("rows"), F.max("parent").alias("parent"))
+    total = met.groupBy("check").agg(F.sum("rows").alias("rows"),
+                                     F.sum(F.when(F.col("parent") == 0, F.col("rows"))).alias("orphans"))
+    listed = met.sparkSession.createDataFrame(
+        [(i, c.name, c.table, c.severity, c.kind == "relationships") for i, c in enumerate(checks)],
+        "check int, check_name string, table_name string, severity string, related boolean")
+    failed = F.when(F.col("related"), F.col("orphans")).otherwise(F.col("rows"))
+    out = listed.join(total, "check", "left").select(
+        "check_name", "table_name", "severity", F.coalesce(failed, F.lit(0)).cast("long").alias("n_failed"))
     return out.withColumn("status", status(F.col("n_failed"), F.col("severity")))
 
 
