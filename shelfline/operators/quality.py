@@ -225,7 +225,11 @@ def freshness(df: DataFrame, table: str, ts_col: str, now: dt.datetime,
               warn_hours: int = 24, error_hours: int = 72) -> DataFrame:
     """Age of the newest ``ts_col`` relative to an explicit ``now``; stale when
     strictly older than the threshold."""
-    newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
+    return freshness_of(df.agg(F.max(ts_col).alias("max_loaded_at")), table, now, warn_hours, error_hours)
+
+
+def freshness_of(newest: DataFrame, table: str, now: dt.datetime, warn_hours: int = 24, error_hours: int = 72) -> DataFrame:
+    """``freshness`` of a one-row frame ``max_loaded_at`` (see ``sources.newest``)."""
     secs = X.whole_seconds_between(X.ntz(now), F.col("max_loaded_at"))
     return newest.select(
         F.lit(table).alias("table_name"), "max_loaded_at",

@@ -408,6 +408,36 @@ def _q(spark, d):
                              DEFAULT.freshness_error_hours)
 
 
+# when the freshness of the orders, and of the events (shifted, see the roles), is looked at
+_FRESHNESS_RUNS = (("orders", dt.datetime(2001, 8, 1, 18)), ("orders", dt.datetime(2001, 8, 2, 7)),
+                   ("orders", dt.datetime(2001, 8, 4)), ("orders", dt.datetime(2001, 8, 4, 0, 0, 1)),
+                   ("events", dt.datetime(2024, 1, 31, 12)), ("events", dt.datetime(2024, 3, 1)))
+
+
+def _freshness_sql(table, now):
+    return f"""SELECT '{table}' AS table_name, TIMESTAMP '{now}' AS looked_at, m AS max_loaded_at,
+        CAST(floor((epoch_us(TIMESTAMP '{now}') - epoch_us(m)) / 1000000.0) AS BIGINT) AS age_seconds,
+        CASE WHEN m IS NULL OR epoch_us(TIMESTAMP '{now}') - epoch_us(m) >= 259201000000 THEN 'error'
+             WHEN epoch_us(TIMESTAMP '{now}') - epoch_us(m) >= 86401000000 THEN 'warn' ELSE 'pass' END AS status
+        FROM (SELECT max({'o_orderdate' if table == 'orders' else 'ts'})::TIMESTAMP AS m FROM {table})"""
+
+
+@register("source_freshness_states", " UNION ALL ".join(_freshness_sql(*r) for r in _FRESHNESS_RUNS))
+def _q(spark, d):
+    """SRC13, DQ13: pass, warn and error states of two raw tables, from the
+    maxima in their files' footers."""
+    from . import sources
+    from .operators import quality
+    columns = {"orders": "o_orderdate", "events": "ts"}
+    newest = {t: sources.newest(spark, f"{d.rstrip('/')}/{t}.parquet", c) for t, c in columns.items()}
+    out = None
+    for table, now in _FRESHNESS_RUNS:
+        row = quality.freshness_of(newest[table], table, now, DEFAULT.freshness_warn_hours, DEFAULT.freshness_error_hours) \
+            .withColumn("looked_at", F.lit(str(now)).cast("timestamp_ntz"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---- metrics ------------------------------------------------------------------
 
 _ALL_METRICS = ("revenue", "gross_margin", "units_sold", "orders", "aov")

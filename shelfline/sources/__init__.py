@@ -10,6 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import driver, schemas
 
@@ -118,6 +120,48 @@ def from_parquet(spark: SparkSession, root: str) -> Sources:
     )
 
 
+def _newest_plan(spark: SparkSession, path: str, ts_col: str) -> DataFrame:
+    """One row ``_top``: the maximum of a time column as it is stored, planned
+    as an aggregate of the footers."""
+    schema = spark.read.parquet(path).schema
+    stored = T.StructType([T.StructField(f.name, T.LongType() if f.name == ts_col and f.dataType != T.DateType() else f.dataType)
+                           for f in schema.fields])
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        top = spark.read.schema(stored).parquet(path).agg(F.max(ts_col).alias("_top"))
+        top._jdf.queryExecution().executedPlan()  # planned while the settings hold
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return top
+
+
+def newest(spark: SparkSession, path: str, ts_col: str) -> DataFrame:
+    """SRC13: one row, ``max_loaded_at`` = the latest ``ts_col`` of the parquet
+    table at ``path``, from the files' footers: the maximum is pushed into the
+    scan, which reads no data page.
+
+    Spark pushes maxima of whole numbers and dates, so a wall-clock timestamp is
+    read as the microseconds it is stored as.  Spark finds a column's statistics
+    by its place in the schema: files must agree in their columns' order, as
+    those of one writer do.  Tables with nested columns or another type of time
+    are read in the plain way."""
+    schema = spark.read.parquet(path).schema
+    nested = any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in schema.fields)
+    if nested or not isinstance(schema[ts_col].dataType, (T.TimestampNTZType, T.DateType)):
+        return spark.read.parquet(path).agg(F.max(ts_col).cast("timestamp_ntz").alias("max_loaded_at"))
+    top = _newest_plan(spark, path, ts_col)
+    # taken now (one row): planned again within another query it would read the pages
+    row = spark.createDataFrame(top.collect(), top.schema)
+    if isinstance(top.schema["_top"].dataType, T.DateType):
+        return row.select(F.col("_top").cast("timestamp_ntz").alias("max_loaded_at"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return row.select(F.timestamp_add("MICROSECOND", F.col("_top"), epoch).alias("max_loaded_at"))
+
+
 def read_forecast(spark: SparkSession, path: str) -> DataFrame:
     """SRC8: the published forecast table re-enters as a source (SNK11 output)."""
     return spark.read.schema(schemas.SCHEMAS["ml_forecast_demand"]).parquet(path)

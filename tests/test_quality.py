@@ -119,3 +119,22 @@ def test_checks_scan_each_table_once_and_match_the_failing_rows(spark, tmp_path)
     assert plan.count("parquet") == 2  # one relation per table
     none = quality.run_checks(checks, {n: t.limit(0) for n, t in tables.items()})
     assert {r.n_failed for r in none.collect()} == {0} and none.count() == len(checks)
+
+
+def test_newest_comes_from_the_footers(spark, tmp_path):
+    from shelfline import sources
+    late = dt.datetime(2001, 8, 1, 7, 30, 15, 123456)
+    rows = [(900 + i, late - dt.timedelta(hours=i), dt.date(2001, 1, 1) + dt.timedelta(days=i), "x") for i in range(50)] + [(1, None, None, "y")]
+    df = spark.createDataFrame(rows, "id long, at timestamp_ntz, day date, name string")
+    df.repartition(3).write.parquet(f"{tmp_path}/flat")
+    df.selectExpr("*", "array(id) as ids").write.parquet(f"{tmp_path}/nested")
+    listed = spark.conf.get("spark.sql.sources.useV1SourceList")
+    for table in ("flat", "nested"):
+        assert sources.newest(spark, f"{tmp_path}/{table}", "at").collect() == [(late,)]
+        assert sources.newest(spark, f"{tmp_path}/{table}", "day").collect() == [(dt.datetime(2001, 2, 19),)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == listed
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    plan = sources._newest_plan(spark, f"{tmp_path}/flat", "at")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(at)]" in plan
+    df.limit(0).write.parquet(f"{tmp_path}/empty")
+    assert sources.newest(spark, f"{tmp_path}/empty", "at").collect() == [(None,)]
