@@ -29,6 +29,10 @@ class ConcurrentRun(RuntimeError):
     """Another run switched the table first."""
 
 
+class TableExists(RuntimeError):
+    """The table was created before."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -60,13 +64,15 @@ class VersionedTable:
         """Number and folder of the table's state; None before the first run."""
         return (self.versions() or [None])[-1]
 
-    def read(self, number: int | None = None) -> DataFrame | None:
-        """The table (or an older version that was not vacuumed yet)."""
+    def read(self, number: int | None = None, schema=None) -> DataFrame | None:
+        """The table (or an older version that was not vacuumed yet), by its
+        declared ``schema`` if given; None before the first run."""
         state = self.current() if number is None else dict(self.versions()).get(number)
         if state is None:
             return None
         folder = state[1] if number is None else state
-        return self.spark.read.parquet(f"{self.root}/data/{folder}")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.root}/data/{folder}")
 
     def replace(self, build: Callable[[DataFrame | None], DataFrame], partition_by: str | None = None) -> int:
         """One run: ``build(old)`` gets the table as it is (None at first) and
@@ -82,6 +88,12 @@ class VersionedTable:
         self._switch(number, folder)
         return number
 
+    def create(self, rows: DataFrame) -> int:
+        """The table's first version; refuses to replace one that is there."""
+        if self.current() is not None:
+            raise TableExists(self.root)
+        return self.replace(lambda old: rows)
+
     def _switch(self, number: int, folder: str) -> None:
         """Make ``folder`` the table's state, or raise if ``number`` is taken."""
         draft, target = self._path(f"{self.root}/drafts/{folder}"), self._path(f"{self.root}/current/{number:012d}")

@@ -24,11 +24,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..operators.versioned import VersionedTable
 from ..session import materialize
+from ..sources.schemas import SCHEMAS
 
 NUMERIC_FEATURES = ("week_of_year", "month_of_year", "lag_1w", "lag_2w", "lag_4w", "lag_8w",
                     "roll_mean_4w", "roll_mean_12w", "roll_std_12w", "events_total",
@@ -143,7 +145,63 @@ def step_features(state: DataFrame, week: Column, events: DataFrame) -> DataFram
         *[ev[c].alias(c) for c in EVENT_COLS])
 
 
-def recursive_forecast(model: PipelineModel, panel: DataFrame, start_week: dt.date, horizon: int,
+@dataclass(frozen=True)
+class LinearStep:
+    """A step model with given weights: ``transform`` adds ``prediction`` to the
+    feature rows, like a fitted model's.  The recursion around it has a plain
+    SQL form (``recursive_sql``), which a tree model has not."""
+    intercept: float
+    weights: tuple[tuple[str, float], ...]
+
+    def transform(self, features: DataFrame) -> DataFrame:
+        p = F.lit(self.intercept)
+        for name, w in self.weights:
+            p = p + F.lit(w) * F.col(name)
+        return features.withColumn("prediction", p)
+
+    def sql(self) -> str:
+        """The prediction over columns named like the features."""
+        return " + ".join([f"CAST({self.intercept!r} AS DOUBLE)", *[f"CAST({w!r} AS DOUBLE) * {name}" for name, w in self.weights]])
+
+
+#: fixed weights that let some predictions fall below 0
+BASELINE_STEP = LinearStep(-2.2360679775, (
+    ("week_of_year", -0.0173205081), ("month_of_year", 0.0264575131), ("lag_1w", 0.6180339887), ("lag_2w", -0.4142135623),
+    ("lag_4w", 0.3166247903), ("lag_8w", -0.7320508075), ("roll_mean_4w", 0.9544511501), ("roll_mean_12w", -0.2360679775),
+    ("roll_std_12w", 0.1231056256), ("events_total", 0.0001414213), ("events_purchase", -0.0004472136),
+    ("events_cart", 0.0002645751)))
+
+
+def recursive_sql(step: LinearStep, panel: DataFrame, start_week: dt.date, horizon: int, events: DataFrame) -> DataFrame:
+    """``recursive_forecast`` of a linear step as one recursive common table
+    expression: a row per category and step holds the last 12 weeks' units."""
+    ev = {c: f"(SELECT {c} FROM {{events}})" for c in EVENT_COLS}
+    lag = lambda k: f"CASE WHEN size(hist) >= {k} THEN element_at(hist, -{k}) ELSE DOUBLE('NaN') END"
+    total = "aggregate({0}, CAST(0 AS DOUBLE), (a, x) -> a + x)"
+    last4 = "slice(hist, greatest(size(hist) - 3, 1), 4)"
+    feats = {"week_of_year": "CAST(weekofyear(week) AS DOUBLE)", "month_of_year": "CAST(month(week) AS DOUBLE)",
+             **{f"lag_{k}w": lag(k) for k in (1, 2, 4, 8)},
+             "roll_mean_4w": f"{total.format(last4)} / size({last4})", "roll_mean_12w": "m12",
+             "roll_std_12w": "sqrt(aggregate(hist, CAST(0 AS DOUBLE), (a, x) -> a + (x - m12) * (x - m12)) / size(hist))", **ev}
+    listed = ", ".join(f"{sql} AS {name}" for name, sql in feats.items())
+    # a step's week and mean, then its features, then its prediction, from the row of the step before
+    return panel.sparkSession.sql(f"""
+        WITH RECURSIVE steps (category, step, hist, units) AS (
+          SELECT category, 0, hist, CAST(NULL AS DOUBLE) FROM {{state}}
+          UNION ALL
+          SELECT category, step + 1,
+                 concat(slice(hist, greatest(size(hist) - {HISTORY_WEEKS - 2}, 1), {HISTORY_WEEKS - 1}), array(p)), p
+          FROM (SELECT category, step, hist, greatest({step.sql()}, CAST(0 AS DOUBLE)) AS p
+                FROM (SELECT category, step, hist, {listed}
+                      FROM (SELECT category, step, hist, date_add(DATE'{start_week}', 7 * step) AS week,
+                                   {total.format('hist')} / size(hist) AS m12
+                            FROM steps WHERE step < {horizon}))))
+        SELECT category, date_add(DATE'{start_week}', 7 * (step - 1)) AS forecast_week, CAST(step AS BIGINT) AS week_ahead,
+               round(units, 2) AS predicted_units
+        FROM steps WHERE step > 0""", state=history_state(panel, start_week), events=events)
+
+
+def recursive_forecast(model: PipelineModel | LinearStep, panel: DataFrame, start_week: dt.date, horizon: int,
                        events: DataFrame) -> DataFrame:
     """ML4: H recursive steps per category, all categories at once.  Each step
     (one row per category) is materialized, so no step runs twice."""
@@ -213,8 +271,12 @@ def forecast_next(panel: DataFrame, horizon: int = 8, p: GbtParams = GbtParams()
 
 
 def write_forecast(fc: DataFrame, path: str) -> None:
-    """SNK11: truncate-and-load."""
-    fc.write.mode("overwrite").parquet(path)
+    """SNK11: truncate-and-load.  The rows are staged in a folder of their own
+    and the table is switched to them, so readers see the old forecast or the
+    new one, and a failed run leaves the old one."""
+    columns = SCHEMAS["ml_forecast_demand"]
+    rows = fc.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns.fields])
+    VersionedTable(fc.sparkSession, path).replace(lambda old: rows)
 
 
 def metrics_report(metrics: DataFrame, horizon: int, generated_at: dt.datetime) -> DataFrame:
@@ -235,3 +297,18 @@ def metrics_report(metrics: DataFrame, horizon: int, generated_at: dt.datetime)
 def write_metrics(metrics: DataFrame, path: str, horizon: int, generated_at: dt.datetime) -> None:
     """SNK12: the report as one line of JSON."""
     metrics_report(metrics, horizon, generated_at).write.mode("overwrite").json(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The published report as one row per horizon and one overall."""
+    report = spark.read.schema(METRICS_SCHEMA).json(path)
+    whole = F.array(F.struct(F.lit(None).cast("bigint").alias("week_ahead"), F.col("overall.mae").alias("mae"),
+                             F.col("overall.wape").alias("wape")))
+    return report.select(F.explode(F.concat("per_horizon", whole)).alias("r"), "valid_start", "n_valid_points", "horizon") \
+        .select("r.week_ahead", "r.mae", "r.wape", F.col("valid_start").cast("date").alias("valid_start"), "n_valid_points", "horizon")
+
+
+#: declared schema of the published report
+METRICS_SCHEMA = ("per_horizon array<struct<week_ahead: bigint, mae: double, wape: double>>, "
+                  "overall struct<mae: double, wape: double>, valid_start string, n_valid_points bigint, "
+                  "generated_at string, horizon bigint")

@@ -17,7 +17,7 @@ from .. import sources as src
 from ..params import DEFAULT, Params
 from ..session import land, materialize
 from ..sources import calendar
-from . import core, marts, staging
+from . import core, forecast, marts, staging
 
 
 class Warehouse:
@@ -141,10 +141,18 @@ class Warehouse:
         return marts.mart_demand_features(self.fct_order_items, self.dim_products, self.stg_events)
     @property
     def forecast(self):
+        """The published forecast table (SRC8): read back from where it was
+        written; with no table root it is passed on as computed."""
         if self._forecast is None:
-            self._forecast = marts.recent_mean_forecast(self.fct_order_items, self.dim_products,
-                                                        self.p.horizon)
+            computed = marts.recent_mean_forecast(self.fct_order_items, self.dim_products, self.p.horizon)
+            self._forecast = self.published(computed) if self._root and self.materialize_facts else computed
         return self._forecast
+
+    def published(self, computed: DataFrame, name: str = "ml_forecast_demand") -> DataFrame:
+        """Publish a forecast (SNK11) and read it back by its declared schema."""
+        forecast.write_forecast(computed, f"{self._root}/{name}")
+        return src.read_forecast(self.spark, f"{self._root}/{name}")
+
     def mart_inventory_recommendations(self):
         p = self.p
         return marts.mart_inventory_recommendations(

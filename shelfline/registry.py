@@ -581,8 +581,8 @@ def _next_weeks(spark, d) -> DataFrame:
     from .plans import forecast
     key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"))
     if key not in _NEXT_WEEKS:
-        _NEXT_WEEKS[key] = materialize(forecast.forecast_next(_panel(spark, d), DEFAULT.horizon,
-                                                              generated_at=GENERATED_AT))
+        _NEXT_WEEKS[key] = _wh(spark, d).published(forecast.forecast_next(_panel(spark, d), DEFAULT.horizon,
+                                                                          generated_at=GENERATED_AT), "ml_forecast_trees")
     return _NEXT_WEEKS[key]
 
 
@@ -654,7 +654,53 @@ def _q(spark, d):
         .withColumn("roll_std_12w", F.round("roll_std_12w", 6))
 
 
-@register("forecast_recent_mean_backtest", f"""
+def _linear_recursion() -> str:
+    from .plans.forecast import BASELINE_STEP
+    return f"""
+    WITH RECURSIVE steps AS (
+      SELECT category, 0 AS step, hist, CAST(NULL AS DOUBLE) AS units
+      FROM (SELECT category, list(CAST(units_sold AS DOUBLE) ORDER BY week_start_date) AS hist
+            FROM (SELECT m.*, row_number() OVER (PARTITION BY category ORDER BY week_start_date DESC) AS back
+                  FROM mart_demand_features m CROSS JOIN {_HELD_OUT} WHERE week_start_date < vs)
+            WHERE back <= 12 GROUP BY category)
+      UNION ALL
+      SELECT category, step + 1, list_append(hist[-11:], p), p
+      FROM (SELECT category, step, hist, greatest({BASELINE_STEP.sql()}, CAST(0 AS DOUBLE)) AS p
+            FROM (SELECT category, step, hist, CAST(weekofyear(week) AS DOUBLE) AS week_of_year,
+                         CAST(month(week) AS DOUBLE) AS month_of_year, hist[-1] AS lag_1w, hist[-2] AS lag_2w,
+                         hist[-4] AS lag_4w, hist[-8] AS lag_8w, list_avg(hist[-4:]) AS roll_mean_4w,
+                         list_avg(hist) AS roll_mean_12w, list_stddev_pop(hist) AS roll_std_12w,
+                         events_total, events_purchase, events_cart
+                  FROM (SELECT category, step, hist, CAST(vs AS DATE) + 7 * step AS week FROM steps CROSS JOIN {_HELD_OUT})
+                  CROSS JOIN recent)
+            WHERE step < {DEFAULT.horizon}))
+    SELECT category, CAST(vs AS DATE) + CAST(7 * (step - 1) AS INTEGER) AS forecast_week, CAST(step AS BIGINT) AS week_ahead,
+           round(units, 2) AS predicted_units
+    FROM steps CROSS JOIN {_HELD_OUT} WHERE step > 0""".replace("WITH RECURSIVE steps AS", f"WITH RECURSIVE recent AS ({_LAST_4}), steps AS")
+
+
+def _linear(spark, d, how):
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    start = fc.held_out_start(panel, DEFAULT.horizon)
+    return how(fc.BASELINE_STEP, panel, start, DEFAULT.horizon, fc.recent_events(panel, start))
+
+
+@register("forecast_linear_recursion", f"SELECT * FROM ({_linear_recursion()})")
+def _q(spark, d):
+    """ML4, FN20: the recursion of the forecast around a linear step model."""
+    from .plans import forecast as fc
+    return _linear(spark, d, fc.recursive_forecast)
+
+
+@register("forecast_linear_recursion_sql", f"SELECT * FROM ({_linear_recursion()})")
+def _q(spark, d):
+    """The same as one recursive common table expression."""
+    from .plans import forecast as fc
+    return _linear(spark, d, fc.recursive_sql)
+
+
+_RECENT_MEAN_SCORES = f"""
     SELECT coalesce(CAST(week_ahead AS VARCHAR), 'overall') AS horizon, round(avg(err), 2) AS mae,
            round(sum(err) / greatest(CAST(sum(units_sold) AS DOUBLE), 1.0), 4) AS wape, count(*) AS n_points,
            CAST(max(vs) AS DATE) AS valid_start
@@ -666,7 +712,10 @@ def _q(spark, d):
                 WHERE week_start_date < vs AND week_start_date >= vs - 28 GROUP BY category) h
             ON a.category = h.category
           WHERE a.week_start_date >= vs)
-    GROUP BY ROLLUP (week_ahead)""")
+    GROUP BY ROLLUP (week_ahead)"""
+
+
+@register("forecast_recent_mean_backtest", _RECENT_MEAN_SCORES)
 def _q(spark, d):
     """ML6, AGG19: the back-test's scores, of the baseline forecast."""
     from .plans import forecast as fc
@@ -675,6 +724,54 @@ def _q(spark, d):
     return fc.score(fc.recent_mean(panel, start, DEFAULT.horizon), panel, start)
 
 
+@register("forecast_metrics_published", f"""
+    SELECT CASE WHEN horizon <> 'overall' THEN CAST(horizon AS BIGINT) END AS week_ahead, mae, wape, valid_start,
+           max(n_points) FILTER (WHERE horizon = 'overall') OVER () AS n_valid_points, CAST({DEFAULT.horizon} AS BIGINT) AS horizon
+    FROM ({_RECENT_MEAN_SCORES})""")
+def _q(spark, d):
+    """SNK12: the scores written as one nested JSON report, and read back."""
+    from .plans import forecast as fc
+    panel = _panel(spark, d)
+    start = fc.held_out_start(panel, DEFAULT.horizon)
+    scores = fc.score(fc.recent_mean(panel, start, DEFAULT.horizon), panel, start)
+    path, _ = _scratch(spark, "metrics")
+    fc.write_metrics(scores, path, DEFAULT.horizon, GENERATED_AT)
+    return fc.read_metrics(spark, path)
+
+
+# ---- controlled copy -------------------------------------------------------------
+
+@register("controlled_copy_drift", """
+    SELECT coalesce(o.product_id, n.product_id) AS product_id,
+           CASE WHEN n.product_id IS NULL THEN 'vanished' WHEN o.product_id IS NULL THEN 'added' ELSE 'changed' END AS change,
+           CASE WHEN o.product_id IS NOT NULL AND n.product_id IS NOT NULL THEN concat_ws(',',
+             CASE WHEN o.product_name IS DISTINCT FROM n.product_name THEN 'product_name' END,
+             CASE WHEN o.cost IS DISTINCT FROM n.cost THEN 'cost' END,
+             CASE WHEN o.retail_price IS DISTINCT FROM n.retail_price THEN 'retail_price' END) END AS columns
+    FROM (SELECT * FROM stg_products WHERE product_id % 5 <> 0) o
+    FULL JOIN (SELECT product_id, CASE WHEN product_id % 7 = 0 THEN NULL ELSE product_name END AS product_name,
+                      CASE WHEN product_id % 3 = 0 THEN cost + 5 ELSE cost END AS cost,
+                      CASE WHEN product_id % 4 = 0 THEN retail_price + 1 ELSE retail_price END AS retail_price
+               FROM stg_products WHERE product_id % 11 <> 0) n ON o.product_id = n.product_id
+    WHERE o.product_id IS NULL OR n.product_id IS NULL OR o.product_name IS DISTINCT FROM n.product_name
+       OR o.cost IS DISTINCT FROM n.cost OR o.retail_price IS DISTINCT FROM n.retail_price""")
+def _q(spark, d):
+    """SNK6, SRC9: a copy of the catalogue is made once; a second run over a
+    changed catalogue leaves it, and the drift between the two is reported."""
+    from .operators import controlled_copy
+    from .operators.versioned import VersionedTable
+    products = _wh(spark, d).stg_products
+    table = VersionedTable(spark, _scratch(spark, "controlled_products")[0])
+    now = products.filter("product_id % 11 <> 0").withColumns({
+        "product_name": F.expr("CASE WHEN product_id % 7 <> 0 THEN product_name END"),
+        "cost": F.expr("CASE WHEN product_id % 3 = 0 THEN cost + 5 ELSE cost END"),
+        "retail_price": F.expr("CASE WHEN product_id % 4 = 0 THEN retail_price + 1 ELSE retail_price END")})
+    made = [controlled_copy.create_once(table, df) for df in (products.filter("product_id % 5 <> 0"), now)]
+    if made != [True, False]:
+        raise AssertionError(f"the copy was replaced: {made}")
+    return controlled_copy.drift(table.read(), now, "product_id")
+
+
 # ---- streaming ------------------------------------------------------------------
 
 def _stream_source(spark, sf_dir, table):

@@ -164,4 +164,5 @@ def newest(spark: SparkSession, path: str, ts_col: str) -> DataFrame:
 
 def read_forecast(spark: SparkSession, path: str) -> DataFrame:
     """SRC8: the published forecast table re-enters as a source (SNK11 output)."""
-    return spark.read.schema(schemas.SCHEMAS["ml_forecast_demand"]).parquet(path)
+    from ..operators.versioned import VersionedTable
+    return VersionedTable(spark, path).read(schema=schemas.SCHEMAS["ml_forecast_demand"])

@@ -85,3 +85,37 @@ def test_forecast_round_trip_feeds_recommendations(spark, tmp_path):
     forecast.write_forecast(fc, path)
     back = sources.read_forecast(spark, path)
     assert back.count() == 6 and back.filter("generated_at = '2001-08-02 07:00:00'").count() == 6
+
+
+def _by_hand(step, panel, start, horizon, events):
+    """The recursion in plain Python, one category after the other."""
+    hist = {}
+    for r in sorted(panel.collect(), key=lambda r: r.week_start_date):
+        if r.week_start_date < start:
+            hist.setdefault(r.category, []).append(float(r.units_sold))
+    out = {}
+    for c, h in hist.items():
+        h = h[-12:]
+        for k in range(horizon):
+            week, last = start + dt.timedelta(weeks=k), h[-12:]
+            mean = sum(last) / len(last)
+            x = {"week_of_year": week.isocalendar()[1], "month_of_year": week.month, "lag_1w": h[-1], "lag_2w": h[-2],
+                 "lag_4w": h[-4], "lag_8w": h[-8], "roll_mean_4w": sum(h[-4:]) / len(h[-4:]), "roll_mean_12w": mean,
+                 "roll_std_12w": (sum((v - mean) ** 2 for v in last) / len(last)) ** 0.5, **events}
+            p = max(0.0, step.intercept + sum(w * x[n] for n, w in step.weights))
+            out[c, week, k + 1] = p
+            h = h + [p]
+    return out
+
+
+def test_linear_recursion_by_hand_in_both_forms(spark):
+    panel = _panel(spark, cats=("a", "b", "c", "d"))
+    start, ev = dt.date(2000, 12, 11), panel.limit(1).selectExpr("50D AS events_total", "9D AS events_purchase", "4D AS events_cart")
+    rising = forecast.LinearStep(60.25, forecast.BASELINE_STEP.weights)
+    for step, clipped in ((forecast.BASELINE_STEP, True), (rising, False)):
+        want = _by_hand(step, panel, start, 8, ev.first().asDict())
+        assert any(p == 0 for p in want.values()) == clipped and any(want.values())
+        for form in (forecast.recursive_forecast, forecast.recursive_sql):
+            got = {(r.category, r.forecast_week, r.week_ahead): r.predicted_units for r in form(step, panel, start, 8, ev).collect()}
+            assert got.keys() == want.keys()
+            assert all(abs(got[k] - want[k]) <= 0.005 + 1e-9 for k in want)
