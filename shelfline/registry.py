@@ -305,6 +305,42 @@ def _q(spark, d):
     return incremental.read_table(spark, path)
 
 
+def _evolving(spark, d, mode):
+    """SNK9: a first run with a narrow shape of the order fact, then a run that
+    adds a column, leaves one out and widens two."""
+    from .operators import incremental
+    orders = _wh(spark, d).fct_orders
+    recent = orders.filter(F.col("order_date") >= F.lit(_FIRST_STATE - dt.timedelta(days=60)))
+    first = recent.filter(F.col("order_date") <= F.lit(_FIRST_STATE)).select(
+        "order_id", "order_date", "gender", F.col("num_of_items").cast("int").alias("num_of_items"),
+        F.col("gross_revenue").cast("decimal(12,2)").alias("gross_revenue"))
+    then = recent.select("order_id", "order_date", "status", "num_of_items",
+                         F.col("gross_revenue").cast("decimal(18,2)").alias("gross_revenue"))
+    path, _ = _scratch(spark, "evolving")
+    incremental.build_incremental(spark, lambda _: first, path, "order_date", DEFAULT.lookback_days, ("order_id",))
+    for _ in range(2):  # the run with the changed shape, and a later one
+        incremental.build_incremental(spark, lambda cutoff: then.filter(F.col("order_date") >= F.lit(cutoff)), path,
+                                      "order_date", DEFAULT.lookback_days, ("order_id",), mode)
+    return incremental.read_table(spark, path)
+
+
+def _evolved_sql(keep_removed):
+    new = f"order_date >= (SELECT max(order_date) FROM fct_orders WHERE order_date <= DATE '{_FIRST_STATE}') - {DEFAULT.lookback_days}"
+    gender = f", CASE WHEN {new} THEN NULL ELSE gender END AS gender" if keep_removed else ""
+    return f"""
+    SELECT order_id, order_date, CASE WHEN {new} THEN status END AS status, CAST(num_of_items AS BIGINT) AS num_of_items,
+           gross_revenue{gender}
+    FROM fct_orders WHERE order_date >= DATE '{_FIRST_STATE - dt.timedelta(days=60)}'"""
+
+
+@register("incremental_schema_append", _evolved_sql(True), ("gross_revenue",))
+def _q(spark, d): return _evolving(spark, d, "append_new_columns")
+
+
+@register("incremental_schema_sync", _evolved_sql(False), ("gross_revenue",))
+def _q(spark, d): return _evolving(spark, d, "sync_all_columns")
+
+
 @register("contract_dim_products", "SELECT * FROM dim_products", ("cost", "retail_price", "base_margin_amount"))
 def _q(spark, d):
     from .operators import contracts

@@ -105,3 +105,45 @@ def test_change_to_old_order_is_missed_until_full_refresh(spark, tmp_table):
     assert spark.read.parquet(tmp_table).filter("id = 2").first().status == "Processing"
     incremental.build_incremental(spark, build, tmp_table, "order_date", full_refresh=True)
     assert spark.read.parquet(tmp_table).filter("id = 2").first().status == "Complete"
+
+
+def test_types_by_schema_version(spark, tmp_table):
+    """int -> bigint -> string over three runs; each partition keeps its own version's files."""
+    def run(day, value, kind, mode="sync_all_columns"):
+        df = spark.createDataFrame([(day, D(2001, 1, day), str(value))], "id long, order_date date, v string") \
+            .withColumn("v", F.col("v").cast(kind))
+        incremental.build_incremental(spark, lambda since: df, tmp_table, "order_date", 0, on_schema_change=mode)
+    rows = lambda: sorted(tuple(r) for r in incremental.read_table(spark, tmp_table).select("id", "v").collect())
+    run(1, 7, "int")
+    run(2, 1 << 40, "bigint")
+    assert rows() == [(1, 7), (2, 1 << 40)]
+    assert [p for _, p in incremental.schema_versions(spark, tmp_table)] == [None, ["2001-01-02"]]
+    run(3, "x", "string")
+    assert rows() == [(1, "7"), (2, str(1 << 40)), (3, "x")]
+    run(3, "y", "string")
+    run(2, "z", "string")  # an old partition is written again under the newest schema
+    assert rows() == [(1, "7"), (2, "z"), (3, "y")]
+    assert [p for _, p in incremental.schema_versions(spark, tmp_table)] == [None, [], ["2001-01-02", "2001-01-03"]]
+    run(9, "w", "string")
+    plan = incremental.read_table(spark, tmp_table).filter("order_date = DATE'2001-01-09'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and rows()[-1] == (9, "w")
+
+
+def test_types_in_append_ignore_and_fail(spark, tmp_path):
+    frame = lambda kind, value, day: spark.createDataFrame([(D(2001, 1, day), value)], "order_date date, v string") \
+        .withColumn("v", F.col("v").cast(kind))
+
+    def two(name, mode, first, then):
+        path = str(tmp_path / name)
+        for day, (kind, value) in enumerate((first, then), 1):
+            incremental.build_incremental(spark, lambda since: frame(kind, value, day), path, "order_date", on_schema_change=mode)
+        t = incremental.read_table(spark, path)
+        return t.schema["v"].dataType.simpleString(), sorted(str(r.v) for r in t.collect())
+    assert two("wider", "append_new_columns", ("int", "1"), ("bigint", "5000000000")) == ("bigint", ["1", "5000000000"])
+    assert two("narrower", "append_new_columns", ("bigint", "5000000000"), ("int", "1")) == ("bigint", ["1", "5000000000"])
+    assert two("decimal", "append_new_columns", ("decimal(5,1)", "1.5"), ("decimal(9,2)", "2.25")) == ("decimal(9,2)", ["1.50", "2.25"])
+    assert two("ignore", "ignore", ("bigint", "1"), ("int", "2")) == ("bigint", ["1", "2"])
+    with pytest.raises(ValueError, match="holds the other"):
+        two("apart", "append_new_columns", ("int", "1"), ("boolean", "true"))
+    with pytest.raises(ValueError, match="of another type"):
+        two("fail", "fail", ("int", "1"), ("bigint", "2"))
