@@ -32,14 +32,17 @@ _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple:
-    return id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/")
+    """Names a session, a directory and the state of its files: what was landed
+    from other files is not taken again."""
+    from .sources import driver
+    return id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), driver.fingerprint(spark, sf_dir)
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """One warehouse per session and directory: sources are landed once and
     each fact is built once, then every model reads them (a full build)."""
     from . import sources
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = _key(spark, sf_dir)
     if key not in _WAREHOUSES:
         import uuid
         from .session import table_root
@@ -397,6 +400,44 @@ def _register_dq():
 _register_dq()
 
 
+# the singular tests on inputs that violate them, with SQL written by hand
+@register("dq_singular_violated", """
+    SELECT 'dq_historical_cost_differs' AS test_name, CAST(NULL AS BIGINT) AS id, 1 AS n
+    UNION ALL
+    SELECT 'dq_margin_within_range', order_item_id, 1 FROM fct_order_items
+    WHERE sale_price > 0 AND CAST(cost AS DOUBLE) * 40 > CAST(sale_price AS DOUBLE) * 3
+    UNION ALL
+    SELECT 'dq_no_orphan_order_items', order_item_id, 1 FROM fct_order_items
+    WHERE order_id NOT IN (SELECT order_id FROM fct_orders WHERE status IN ('Complete', 'Processing'))
+    UNION ALL
+    SELECT 'dq_revenue_reconciles', CAST(round(sum(sale_price) FILTER (WHERE order_date < DATE '1998-01-01') * 100) AS BIGINT), 1
+    FROM fct_order_items HAVING sum(sale_price) FILTER (WHERE order_date >= DATE '1998-01-01') > 1""")
+def _q(spark, d):
+    """DQ7-DQ10, JN24-JN26, AGG18 with failing rows: every sale at today's cost,
+    unit costs forty times too high, an order fact that lacks orders, a mart that
+    lacks the years from 1998 on."""
+    from .plans import checks as C
+    w = _wh(spark, d)
+    fct, today = w.fct_order_items, w.dim_products.select(F.col("product_id").alias("_p"), F.col("cost").alias("_cost"))
+    at_cost = fct.join(today, fct.product_id == today._p).withColumn("product_cost_at_sale", F.col("_cost"))
+    found = {
+        "dq_historical_cost_differs": C.historical_cost_differs(at_cost, w.dim_products).select(
+            F.when(F.col("n_different") > 0, F.col("n_different")).alias("id")),
+        "dq_margin_within_range": C.margin_within_range(fct.withColumn("cost", F.col("cost") * 40)).select(
+            F.col("order_item_id").alias("id")),
+        "dq_no_orphan_order_items": C.no_orphan_order_items(
+            fct, w.fct_orders.filter(F.col("status").isin("Complete", "Processing"))).select(F.col("order_item_id").alias("id")),
+        "dq_revenue_reconciles": C.revenue_reconciles(
+            w.mart_product_performance().filter("month_start_date < DATE'1998-01-01'"), fct).select(
+            (F.col("mart_revenue") * 100).cast("bigint").alias("id")),
+    }
+    out = None
+    for name, rows in found.items():
+        rows = rows.select(F.lit(name).alias("test_name"), F.col("id").cast("bigint").alias("id"), F.lit(1).alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # every kind of check on inputs that violate it; the SQL is written by hand, not
 # generated from the list of checks
 @register("dq_violated", """
@@ -561,6 +602,17 @@ def _register_bi():
               FROM mart_product_performance GROUP BY category)
         ORDER BY revenue DESC NULLS LAST, category ASC NULLS FIRST LIMIT 15""",
         ("revenue", "margin"), lambda w: R.category_performance(w.mart_product_performance()))
+    _bi("bi_top_categories", f"""
+        SELECT category, revenue, margin, units, {oracle.ratio('margin', 'revenue')} AS margin_pct
+        FROM (SELECT category, sum(gross_revenue) AS revenue, sum(gross_margin_amount) AS margin,
+                     CAST(sum(units_sold) AS BIGINT) AS units
+              FROM mart_product_performance GROUP BY category)
+        ORDER BY revenue DESC NULLS LAST, category ASC NULLS FIRST LIMIT 3""",
+        ("revenue", "margin"), lambda w: R.category_performance(w.mart_product_performance(), top=3))
+    _bi("bi_top_forecast_categories", """
+        SELECT category, sum(predicted_units) AS forecast_8w FROM forecast_standin
+        GROUP BY category ORDER BY forecast_8w DESC, category LIMIT 3""",
+        (), lambda w: R.forecast_by_category(w.forecast, top=3))
     _bi("bi_monthly_trend", """
         SELECT month_start_date, sum(gross_revenue) AS revenue, CAST(sum(units_sold) AS BIGINT) AS units
         FROM mart_product_performance GROUP BY month_start_date ORDER BY month_start_date""",
@@ -606,7 +658,7 @@ _NEXT_WEEKS: dict[tuple, DataFrame] = {}
 
 def _panel(spark, d) -> DataFrame:
     """The demand panel, materialized once per session and directory."""
-    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"))
+    key = _key(spark, d)
     if key not in _PANELS:
         _PANELS[key] = materialize(_wh(spark, d).mart_demand_features())
     return _PANELS[key]
@@ -615,7 +667,7 @@ def _panel(spark, d) -> DataFrame:
 def _next_weeks(spark, d) -> DataFrame:
     """The forecast of the next weeks, fitted once per session and directory."""
     from .plans import forecast
-    key = (id(spark), spark.sparkContext.applicationId, d.rstrip("/"))
+    key = _key(spark, d)
     if key not in _NEXT_WEEKS:
         _NEXT_WEEKS[key] = _wh(spark, d).published(forecast.forecast_next(_panel(spark, d), DEFAULT.horizon,
                                                                           generated_at=GENERATED_AT), "ml_forecast_trees")

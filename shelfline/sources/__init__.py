@@ -98,8 +98,8 @@ _LANDED: dict[tuple, LandedSources] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str) -> LandedSources:
-    """One landed copy per session and directory."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """One landed copy per session, directory and state of its files."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), driver.fingerprint(spark, sf_dir))
     if key not in _LANDED:
         import uuid
         from ..session import table_root

@@ -45,6 +45,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """(table, bytes, time of the last change) of the tables' files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(sf_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for name in DRIVER_TABLES:
+        where = path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = list(fs.listStatus(where)) if fs.exists(where) else []
+        out.append((name, sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)))
+    return tuple(out)
+
+
 def _minutes(ts, n):
     return F.timestamp_add("MINUTE", n, ts)
 
