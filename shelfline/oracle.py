@@ -2,8 +2,8 @@
 
 Each model is written once as a named CTE; a query is the CTEs it needs (in
 dependency order) plus a final SELECT.  The SQL is an independent plain-SQL
-formulation of the same semantics (dense grids, global windows, the original
-OR-predicate as-of join) so that it checks the Spark rewrites rather than
+formulation of the same semantics (balances counted day by day, global windows,
+the original OR-predicate as-of join) so that it checks the Spark rewrites rather than
 repeating them.  Money leaves as DOUBLE via DECIMAL(18,2); float results are
 built from exact sums with one final division, as on the Spark side.
 """
@@ -216,44 +216,20 @@ def ctes(p: Params = DEFAULT) -> dict[str, str]:
                  FROM enriched GROUP BY order_id) t
         ON o.order_id = t.order_id"""
 
-    # ---- inventory: the grid formulation ----------------------------------
-    ws = _d(p.window_start)
+    # ---- inventory: a day's balance is what has come in by then less what has gone out ----
     c["inv_units"] = """
       SELECT product_id, distribution_center_id, coalesce(cost, 0) AS cost,
              CAST(created_at AS DATE) AS in_date, CAST(sold_at AS DATE) AS out_date
       FROM stg_inventory_items"""
-    c["inv_spine"] = f"""
-      SELECT CAST(d AS DATE) AS date_day
-      FROM (SELECT unnest(generate_series({_d(lo)}, {_d(hi)}, INTERVAL 1 DAY)) AS d)"""
-    c["inv_deltas"] = f"""
-      SELECT product_id, distribution_center_id, event_date, sum(du) AS du, sum(dc) AS dc
-      FROM (
-        SELECT product_id, distribution_center_id, in_date AS event_date, 1 AS du, cost AS dc
-        FROM inv_units WHERE in_date >= {ws}
-        UNION ALL
-        SELECT product_id, distribution_center_id, out_date, -1, -cost
-        FROM inv_units WHERE out_date IS NOT NULL AND out_date >= {ws}
-        UNION ALL
-        SELECT product_id, distribution_center_id, {ws},
-               count(*) FILTER (WHERE in_date < {ws})
-                 - count(*) FILTER (WHERE out_date IS NOT NULL AND out_date < {ws}),
-               sum(CASE WHEN in_date < {ws} THEN cost ELSE 0 END)
-                 - sum(CASE WHEN out_date IS NOT NULL AND out_date < {ws} THEN cost ELSE 0 END)
-        FROM inv_units GROUP BY product_id, distribution_center_id)
-      GROUP BY product_id, distribution_center_id, event_date"""
-    c["fct_inventory_snapshot"] = """
-      SELECT product_id, distribution_center_id, snapshot_date,
-             CAST(sum(du) OVER w AS BIGINT) AS units_on_hand,
-             sum(dc) OVER w AS inventory_cost_on_hand
-      FROM (SELECT g.product_id, g.distribution_center_id, s.date_day AS snapshot_date,
-                   coalesce(d.du, 0) AS du, coalesce(d.dc, 0) AS dc
-            FROM (SELECT DISTINCT product_id, distribution_center_id FROM inv_units) g
-            CROSS JOIN inv_spine s
-            LEFT JOIN inv_deltas d
-              ON d.product_id = g.product_id AND d.distribution_center_id = g.distribution_center_id
-             AND d.event_date = s.date_day)
-      WINDOW w AS (PARTITION BY product_id, distribution_center_id ORDER BY snapshot_date
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    c["fct_inventory_snapshot"] = f"""
+      SELECT p.product_id, p.distribution_center_id, CAST(p.day AS DATE) AS snapshot_date,
+             count(*) FILTER (WHERE u.in_date <= p.day) - count(*) FILTER (WHERE u.out_date <= p.day) AS units_on_hand,
+             coalesce(sum(u.cost) FILTER (WHERE u.in_date <= p.day), 0)
+               - coalesce(sum(u.cost) FILTER (WHERE u.out_date <= p.day), 0) AS inventory_cost_on_hand
+      FROM (SELECT product_id, distribution_center_id, unnest(generate_series({_d(lo)}, {_d(hi)}, INTERVAL 1 DAY)) AS day
+            FROM inv_units GROUP BY product_id, distribution_center_id) p
+      LEFT JOIN inv_units u ON u.product_id = p.product_id AND u.distribution_center_id = p.distribution_center_id
+      GROUP BY p.product_id, p.distribution_center_id, p.day"""
     c["inventory_latest"] = """
       SELECT * FROM fct_inventory_snapshot
       WHERE snapshot_date = (SELECT max(snapshot_date) FROM fct_inventory_snapshot)"""
