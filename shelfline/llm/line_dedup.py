@@ -2,16 +2,19 @@
 
 For each site, the pages that contain a line (trimmed of spaces, once per page)
 are divided by the site's pages; lines above ``ratio`` that stand on at least
-``min_pages`` pages are boilerplate and are dropped from every page of the site.
-A line is known by two 64-bit hashes; only hashes are shuffled, pre-aggregated
-per task, so a hot site or line is one row per task.  A site keeps at most
-(mean lines per page / ratio) boilerplate lines, a short list.
-
-Defined cases: blank lines are never boilerplate; a page of which over
-``max_share`` of the characters would go is a copy of a whole page, not a page
-with boilerplate, and is left as it is; a null site is a site of its own; null
-text stays null; each repeated row is a page of its own; an empty table gives
-an empty table.  Other columns pass through.
+``min_pages`` pages are boilerplate and are dropped from every page of the site,
+however much of a page that is.  Pages of a site with the same content count as
+one page, on both sides of the division: the lines of a page with many copies
+are no boilerplate.  Lines and contents are known by two 64-bit hashes; only
+hashes are shuffled: a line's pages spread by their content, and are counted
+with map-side combine, so neither a hot site nor a hot line lands in one task.
+A site keeps at most (mean lines per page / ratio) boilerplate lines, a short
+list.
+
+Defined cases: blank lines are never boilerplate; a null site is a site of its
+own; null text stays null; repeated rows are copies of a page; an empty table
+gives an empty table.  Other columns pass through, but for those named like a
+column of ``counts``, which are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .shared import BROADCAST_ROWS, cut
 
-RATIO, MIN_PAGES, MAX_SHARE = 0.1, 3, 0.8
+RATIO, MIN_PAGES = 0.1, 3
 
 
 def _site(col: str) -> Column:
@@ -35,20 +38,22 @@ def _lines(col: str) -> Column:
 def boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
                 ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """(site, a, b, pages, site_pages): hashes of every boilerplate line of a site."""
-    page = docs.select(_site(site_col).alias("site"),
+    page = docs.select(_site(site_col).alias("site"), F.xxhash64(text_col).alias("ta"),
+                       F.xxhash64(text_col, F.lit(1)).alias("tb"),
                        F.array_distinct(F.transform(_lines(text_col), F.trim)).alias("lines"))
-    sites = page.groupBy("site").agg(F.count("*").alias("site_pages"))
-    often = (page.select("site", F.explode("lines").alias("line")).filter("line <> ''")
-             .groupBy("site", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"))
-             .agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages))
+    sites = page.select("site", "ta", "tb").distinct().groupBy("site").agg(F.count("*").alias("site_pages"))
+    often = (page.select("site", "ta", "tb", F.explode("lines").alias("line")).filter("line <> ''")
+             .select("site", F.xxhash64("line").alias("a"), F.xxhash64("line", F.lit(1)).alias("b"), "ta", "tb").distinct()
+             .groupBy("site", "a", "b").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages))
     return often.join(sites, "site").filter(F.col("pages") > F.col("site_pages") * F.lit(ratio))
 
 
 def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
-                     ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     max_share: float = MAX_SHARE, counts: bool = False) -> DataFrame:
+                     ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text_col``; with ``counts``
     also ``lines_total`` and ``lines_dropped`` (0 for null text)."""
+    if counts:
+        docs = docs.drop("lines_total", "lines_dropped")
     found = cut(boilerplate(docs, site_col, text_col, ratio, min_pages)
                 .groupBy(F.col("site").alias("__ld_site"))
                 .agg(F.collect_list(F.struct("a", "b")).alias("__ld_bad")))
@@ -64,8 +69,7 @@ def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str =
     kept = F.when(F.col("__ld_bad").isNull(), F.col(text_col)).otherwise(
         F.array_join(F.filter(lines, lambda x: (F.trim(x) == "") | ~bad(x)), "\n"))
     rows = rows.withColumn("__ld_kept", kept)
-    cleaned = (F.length(text_col) - F.length("__ld_kept")) <= F.length(text_col) * F.lit(max_share)
-    text = F.when(cleaned, F.col("__ld_kept")).otherwise(F.col(text_col))
+    text = F.col("__ld_kept")
     out = [text.alias(text_col) if c == text_col else docs[c] for c in docs.columns]
     if counts:
         total = F.coalesce(F.size(lines), F.lit(0))
@@ -84,25 +88,21 @@ WITH pages AS (
   SELECT row_number() OVER () AS rid, *, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS site
   FROM {docs}),
 lines AS (
-  SELECT rid, site, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')))) AS line
+  SELECT rid, site, text, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')))) AS line
   FROM pages),
 bad AS (
   SELECT l.site, l.line
-  FROM lines l JOIN (SELECT site, count(*) AS n FROM pages GROUP BY site) s USING (site)
+  FROM lines l JOIN (SELECT site, count(DISTINCT text) + max(text IS NULL)::INTEGER AS n FROM pages GROUP BY site) s USING (site)
   WHERE l.line <> ''
-  GROUP BY l.site, l.line, s.n HAVING count(*) >= {min_pages} AND count(*) > s.n * {ratio}::DOUBLE),
+  GROUP BY l.site, l.line, s.n
+  HAVING count(DISTINCT l.text) >= {min_pages} AND count(DISTINCT l.text) > s.n * {ratio}::DOUBLE),
 lists AS (SELECT site, list(line) AS bad FROM bad GROUP BY site),
 cleaned AS (
   SELECT p.*, string_split(p.text, chr(10)) AS before,
          list_filter(string_split(p.text, chr(10)),
                      lambda x: trim(x, ' ') = '' OR NOT list_contains(coalesce(b.bad, []), trim(x, ' '))) AS kept
-  FROM pages p LEFT JOIN lists b USING (site)),
-final AS (
-  SELECT *, array_to_string(kept, chr(10)) AS kept_text,
-         (length(text) - length(array_to_string(kept, chr(10)))) <= length(text) * {max_share}::DOUBLE AS clean
-  FROM cleaned)
-SELECT {columns}, CASE WHEN clean THEN kept_text ELSE text END AS text,
-       coalesce(len(before), 0)::BIGINT AS lines_total,
-       CASE WHEN clean THEN len(before) - len(kept) ELSE 0 END::BIGINT AS lines_dropped
-FROM final
+  FROM pages p LEFT JOIN lists b USING (site))
+SELECT {columns}, array_to_string(kept, chr(10)) AS text, coalesce(len(before), 0)::BIGINT AS lines_total,
+       coalesce(len(before) - len(kept), 0)::BIGINT AS lines_dropped
+FROM cleaned
 """

@@ -122,7 +122,7 @@ ORACLES: dict[str, str] = {
     "op3_bit_sliced_top_k": topk.ORACLE,
     "op7_source_mix": mixing.ORACLE,
     "op9_line_dedup": line_dedup.ORACLE.format(docs="documents", columns="doc_id", ratio=line_dedup.RATIO,
-                                               min_pages=line_dedup.MIN_PAGES, max_share=line_dedup.MAX_SHARE),
+                                               min_pages=line_dedup.MIN_PAGES),
     "op11_hard_negatives": hard_negatives.ORACLE,
     "op12_chunk_recipes": chunk_dedup.ORACLE,
 }

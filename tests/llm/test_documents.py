@@ -152,6 +152,20 @@ def test_line_dedup_odd_rows(spark, odd_docs, no_docs):
     assert line_dedup.drop_boilerplate(no_docs, counts=True).count() == 0
 
 
+def test_line_dedup_drops_whatever_share_and_counts_copies_once(spark):
+    menu = "\n".join(f"a long entry number {k} of the site's menu" for k in range(10))
+    rows = [(i, f"{menu}\nown {i}", "s") for i in range(20)] + [(20, menu, "s")]
+    rows += [(100 + i, "copied line one\ncopied line two", "s") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "9 as lines_total", "8 as pages")
+    got = line_dedup.drop_boilerplate(docs, counts=True)
+    assert sorted(got.columns) == sorted(["doc_id", "text", "source", "pages", "lines_total", "lines_dropped"])
+    by = {r.doc_id: (r.text, r.lines_total, r.lines_dropped) for r in got.collect()}
+    assert all(by[i] == (f"own {i}", 11, 10) for i in range(20)) and by[20] == ("", 10, 10)
+    assert all(by[100 + i] == ("copied line one\ncopied line two", 2, 0) for i in range(50))
+    want = _duck(queries.ORACLES["op9_line_dedup"], documents=docs.select("doc_id", "text", "source").toArrow())
+    _same(got.select("doc_id", "text", "lines_total", "lines_dropped").toPandas(), want, ["doc_id"])
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script></head><body class="has-sidebar">
 <header>Site name</header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><div class="ad">Buy</div>{body}
 <div id="comments"><article><p>nice post</p></article></div><footer>&copy; site</footer>"""
