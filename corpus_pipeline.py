@@ -36,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row of the mix."""
-    return sentencepiece.encode(docs).select("doc_id", "lang", "source", "token_ids", "n_tokens", "n_differ", "roundtrip")
+    """Token ids of every row of the mix, in place of its text."""
+    return sentencepiece.encode(docs)
 
 
 def _with_length(docs: DataFrame) -> DataFrame:

@@ -147,10 +147,11 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text",
             dims: int = DIMS, order: int = ORDER) -> DataFrame:
-    """``docs`` without its text, plus lang_pred and score."""
+    """``docs`` without its text, plus lang_pred and score (in place of columns of
+    these names)."""
     names = sorted(prototypes)
     base = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]).reshape(-1, dims)
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
 
     def run(batches):
         for b in batches:

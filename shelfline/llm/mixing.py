@@ -17,7 +17,8 @@ The one-task windows run over the source table (a row per source).
 
 Defined cases: null text has size 0; a null source is a source of its own, last
 in order; documents of size 0 count no words; rows with equal ids share one
-draw; an empty table gives an empty result.
+draw; an empty table gives an empty result.  Columns of ``docs`` named like an
+output column are replaced by it; ``take`` gives them back as they were.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from .shared import cut, small
 WEIGHTS, MAX_COPIES, BUCKET_ROWS, SEED = (5, 2, 1), 3, 2000, "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 _PRE = "__mx_"
+OUTPUTS = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
 def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: str) -> DataFrame:
@@ -84,6 +86,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, bucket_r
         seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` plus size, source_size, target and copies (0 .. max_copies, whole
     copies of the document that the mix takes) under the ``mix_`` prefix."""
+    docs = docs.drop(*OUTPUTS)
     # the plan works on narrow rows; the documents are read once more at the end
     narrow = cut(_sized(docs.select(id_col, source_col, text_col), id_col, source_col, text_col, seed)
                  .select(_PRE + "id", _PRE + "src", _PRE + "size", _PRE + "u"))
@@ -148,8 +151,10 @@ def _decide(sized: DataFrame, cuts: DataFrame, columns: list[str]) -> DataFrame:
 
 def take(docs: DataFrame, **kw) -> DataFrame:
     """The mix itself: each document as many times as it is taken."""
-    mixed = mix(docs, **kw).filter("mix_copies > 0")
-    return mixed.withColumn("__mx_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)
+    own = {c: f"{_PRE}own_{c}" for c in docs.columns if c in OUTPUTS}
+    mixed = mix(docs.withColumnsRenamed(own), **kw).filter("mix_copies > 0")
+    copies = mixed.withColumn(_PRE + "copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return copies.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 #: DuckDB form of op7 over ``documents``

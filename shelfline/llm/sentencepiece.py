@@ -2,23 +2,24 @@
 
 The model file's protobuf is parsed here: pieces with scores and types, the
 model type, the normaliser's settings and character map.  From these a tokenizer
-is rebuilt: normaliser (character map, extra white space, escaping of spaces by
-the metaspace marker, dummy prefix), the unigram scores or, for a BPE model, the
+is rebuilt: normaliser (character map, extra white space, dummy prefix, escaping
+of spaces by the metaspace marker), the unigram scores or, for a BPE model, the
 merges in the order of the scores, and byte fallback.
 
-Encoding: where no piece has a marker behind another character, a text splits
-exactly before each run of markers, and equal parts have equal ids.  Each task
-keeps the ids of parts it has met (a bounded cache) and encodes new ones in
-multithreaded batches.  Parity: every new part is also encoded by the
-sentencepiece library itself; where the two differ, the reference's ids are
-taken, and the parts are counted per document.  Decoding joins the pieces again;
-every new part is checked to decode to itself, so that a document of such parts
-makes the round trip to its normalised text.
+Encoding: whole raw texts go to the rebuilt tokenizer in multithreaded batches;
+its ids are the result.  Parity: the same raw texts are encoded by the
+sentencepiece library with the unmodified model, and documents whose ids differ
+are counted (``n_differ``).  Round trip: the ids are joined to text again and
+compared with the normalised text.
 
-A model whose pieces do not split like this is encoded by whole texts.
+Memory: a task holds texts of about 1 MB at a time.  Where no piece has a marker
+behind another character, a text over SEGMENT characters is encoded in segments
+cut at single spaces, which stand for the dummy prefix of the next; the ids are
+the same.  A text of another model is encoded whole.
 
 Defined cases: null text has null ids and 0 tokens; empty text has no ids;
-repeated rows come out once each; an empty table gives an empty result.
+repeated rows come out once each; an empty table gives an empty result; columns
+named like an output column are replaced by it.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,9 @@ from .shared import map_arrow
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-#: parts whose ids a task keeps; parts encoded at once
-KEPT, BATCH = 100_000, 8_000
+#: characters of a text's segment; bytes of text encoded at once
+SEGMENT, BATCH_BYTES = 1 << 17, 1 << 20
+OUTPUTS = ("token_ids", "n_tokens", "n_differ", "roundtrip")
 
 
 def _fields(data: bytes):
@@ -129,121 +130,60 @@ class Codec:
         os.environ.setdefault("RAYON_NUM_THREADS", "2")
         import sentencepiece
         from tokenizers import normalizers
-        self.data = data
         self.spec = Spec(data)
         self.tokenizer = build(self.spec)
-        self.charsmap = normalizers.Precompiled(self.spec.charsmap) if self.spec.charsmap else None
-        # the reference for parts, whose text is normalised already: the same model with
-        # a second normaliser message (later protobuf fields win): no map, prefix or squeezing
-        self.raw = sentencepiece.SentencePieceProcessor(model_proto=data + bytes([0x1A, 6, 0x12, 0, 0x18, 0, 0x20, 0]))
-        self.part = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.tokenizer.normalizer = normalizers.Sequence(self._normaliser(normalizers))
+        #: the sentencepiece library's own processor, as the model file has it
+        self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        #: a text may be cut at single spaces
+        self.cuts = (self.spec.splits and self.spec.dummy_prefix and not self.spec.squeeze and not self.spec.charsmap)
         self.bytes_of = {i: int(p[3:5], 16) for i, (p, t) in enumerate(zip(self.spec.pieces, self.spec.types)) if t == BYTE}
-        self._forget()
 
-    @cached_property
-    def reference(self):
-        """The sentencepiece library's own processor of whole texts."""
-        import sentencepiece
-        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
-
-    def _forget(self) -> None:
-        # number of a part, by the word behind its one marker or by the whole part
-        self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, np.int32)  # ids of all parts
-        self.used = 0
-        self.start = np.zeros(KEPT + 2 * BATCH, np.int64)
-        self.size = np.zeros(KEPT + 2 * BATCH, np.int64)
-        self.differ = np.zeros(KEPT + 2 * BATCH, bool)
-        self.whole = np.zeros(KEPT + 2 * BATCH, bool)
+    def _normaliser(self, normalizers) -> list:
+        s, steps = self.spec, []
+        if s.charsmap:
+            steps.append(normalizers.Precompiled(s.charsmap))
+        if s.squeeze:
+            from tokenizers import Regex
+            steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" +"), " ")]
+        if s.dummy_prefix:
+            steps.append(normalizers.Prepend(MARK if s.escape else " "))
+        if s.escape:
+            steps.append(normalizers.Replace(" ", MARK))
+        return steps
 
     def normalise(self, text: str) -> str:
-        s = self.spec
-        if self.charsmap is not None:
-            text = self.charsmap.normalize_str(text)
-        if s.squeeze:
-            text = re.sub(" +", " ", text.strip(" "))
-        if s.dummy_prefix and text:
-            text = " " + text
-        return text.replace(" ", MARK) if s.escape else text
-
-    def _learn(self, known: dict, new: list[str], mark: str) -> None:
-        """Ids of new parts by both libraries."""
-        parts = [mark + p for p in new] if mark else new
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        want = self.raw.encode([p.replace(MARK, " ") for p in parts], num_threads=2)
-        at = len(self.words) + len(self.parts)
-        span = slice(at, at + len(new))
-        size = np.fromiter(map(len, want), np.int64, len(want))
-        total = int(size.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + total] = np.fromiter((i for w in want for i in w), np.int32, total)
-        self.start[span] = self.used + np.cumsum(size) - size
-        self.size[span] = size
-        self.used += total
-        self.differ[span] = [g != w for g, w in zip(got, want)]
-        self.whole[span] = [self.joined(w) == p for w, p in zip(want, parts)]
-        known.update(zip(new, range(at, at + len(new))))
-
-    def _numbers(self, known: dict, pieces: list[str], mark: str) -> list[int]:
-        numbers = list(map(known.get, pieces))
-        if None in numbers:
-            new = sorted({p for p, k in zip(pieces, numbers) if k is None})
-            for at in range(0, len(new), BATCH):
-                self._learn(known, new[at:at + BATCH], mark)
-            numbers = list(map(known.get, pieces))
-        return numbers
+        """The text whose pieces are looked up."""
+        return self.tokenizer.normalizer.normalize_str(text) if text else ""
+
+    def segments(self, text: str) -> list[str]:
+        """The text, or consecutive parts of it if it is long: each single space
+        at a cut is left out, as the dummy prefix of the next part puts it back."""
+        out, at = [], 0
+        while self.cuts and len(text) - at > SEGMENT:
+            end = text.find(" ", at + SEGMENT)
+            while end > 0 and (text[end - 1] in (" ", MARK) or text[end + 1:end + 2] in (" ", "")):
+                end = text.find(" ", end + 1)
+            if end < 0:
+                break
+            out.append(text[at:end])
+            at = end + 1
+        return [*out, text[at:]]
 
     def encode(self, texts: list):
-        """(ids of all texts, ids per text, differing parts per text, round trip
-        per text); null counts as empty."""
-        out = []
-        for at in range(0, len(texts), 16):
-            out.append(self._encode([t or "" for t in texts[at:at + 16]]))
-        return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 3]
-
-    def _encode(self, texts: list[str]):
-        plain = self.spec.splits and self.spec.dummy_prefix and not self.spec.squeeze and self.charsmap is None
-        pieces, per, simple = [], [], []
-        for t in texts:
-            if plain and t and "  " not in t and MARK not in t and t[0] != " " and t[-1] != " ":
-                own = t.split(" ")
-                simple.append(True)
-            else:
-                t = self.normalise(t)
-                own = self.part.findall(t) if self.spec.splits else [t] if t else []
-                simple.append(False)
-            pieces.append(own)
-            per.append(len(own))
-        if len(self.words) + len(self.parts) + sum(per) > KEPT:
-            # more new parts than places might come: forget, and go text by text if even that is too many
-            if len({p for own in pieces for p in own}) + len(self.words) + len(self.parts) > KEPT:
-                self._forget()
-                if len({p for own in pieces for p in own}) > KEPT:
-                    return self._directly(texts)
-        words = self._numbers(self.words, [p for own, s in zip(pieces, simple) if s for p in own], MARK)
-        parts = self._numbers(self.parts, [p for own, s in zip(pieces, simple) if not s for p in own], "")
-        per, simple = np.array(per), np.array(simple)
-        numbers = np.empty(int(per.sum()), np.int64)
-        which = np.repeat(simple, per)
-        numbers[which], numbers[~which] = words, parts
-        size = self.size[numbers]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[numbers] - ends + size, size) + np.arange(total)]
-        text = np.repeat(np.arange(len(texts)), per)
-        count = lambda x: np.bincount(text, weights=x, minlength=len(texts)).astype(np.int64)
-        return ids, count(size), count(self.differ[numbers]), count(~self.whole[numbers]) == 0
-
-    def _directly(self, texts: list[str]):
-        """Whole texts, without keeping parts (a text of more parts than are kept)."""
-        normal = [self.normalise(t) for t in texts]
-        want = [self.raw.encode(t.replace(MARK, " ")) for t in normal]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(normal, add_special_tokens=False)]
-        return (np.array([i for w in want for i in w], np.int32), np.array([len(w) for w in want], np.int64),
-                np.array([g != w for g, w in zip(got, want)], np.int64),
-                np.array([self.joined(w) == t for w, t in zip(want, normal)], bool))
+        """(ids of all texts, ids per text, 1 for a text on which the libraries
+        differ, round trip per text); null counts as empty."""
+        parts = [self.segments(t or "") for t in texts]
+        flat = [p for ps in parts for p in ps]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
+        want = self.reference.encode(flat, num_threads=2) if flat else []
+        text = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter((i for g in got for i in g), np.int32, int(size.sum()))
+        some = lambda bad: np.bincount(text, weights=bad, minlength=len(texts)).astype(np.int64) > 0
+        differ = some([g != w for g, w in zip(got, want)])
+        lost = some([self.joined(g) != self.normalise(p) for g, p in zip(got, flat)])
+        return ids, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64), differ.astype(np.int64), ~lost
 
     def decode(self, ids) -> str:
         """Text of a sequence of ids."""
@@ -284,19 +224,19 @@ def _model(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, plus token_ids, n_tokens, n_differ (parts on
-    which the two libraries differ) and roundtrip (decoding gives the normalised
-    text; null for null).  ``model``: a path on the driver."""
-    rest = [c for c in docs.columns if c != text_col]
+    """``docs`` without its text, plus token_ids, n_tokens, n_differ (1 if the
+    sentencepiece library encodes the text otherwise) and roundtrip (decoding
+    gives the normalised text; null for null).  ``model``: a path on the driver."""
+    rest = [c for c in docs.columns if c not in (text_col, *OUTPUTS)]
     at = docs.sparkSession.sparkContext.broadcast(_model(model))  # the model file: bounded
 
     def run(batches):
         own = codec(at.value)
         for b in batches:
             col, start = b.column(b.num_columns - 1), 0
-            while start < len(col):  # texts of about 2 MB at a time
+            while start < len(col):
                 stop, size = start, 0
-                while stop < len(col) and (stop == start or size < 2 << 20):
+                while stop < len(col) and (stop == start or size < BATCH_BYTES):
                     size += len(col[stop].as_buffer() or b"") if col[stop].is_valid else 0
                     stop += 1
                 texts = col.slice(start, stop - start).to_pylist()

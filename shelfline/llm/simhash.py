@@ -209,7 +209,7 @@ def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
     """``docs`` with one row of each near-duplicate group: the one of the
     smallest id, a null id only where the group has no other (of a group's rows
     that share that id, the one of the smallest fingerprint, then the smallest by
-    all columns)."""
+    all columns as JSON, which columns of any type have)."""
     own, merged = _grouped(docs, shingle_words, max_bits, id_col, text_col)
     # per group, the smallest id and a fingerprint that holds it: an id alone may stand in several groups
     kept = (merged.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("first"))
@@ -226,6 +226,6 @@ def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3,
             .unionByName(docs.filter(F.col(id_col).isNull())))
     one = (_with_fingerprint(some, shingle_words, text_col)
            .groupBy(F.col(id_col).alias("__own"), "__fp")
-           .agg(F.min(F.struct(*docs.columns)).alias("__row")))
+           .agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns))).alias("__row")))
     one = one.join(shared, (F.col("__fp") == F.col("__kept_fp")) & F.col("__own").eqNullSafe(F.col("__keep")))
     return single.unionByName(one.select("__row.*"))

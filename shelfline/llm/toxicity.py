@@ -216,9 +216,11 @@ def _array(col: str):
 
 def classify(docs: DataFrame, chain: Chain, text_col: str = "text", keep_text: bool = True,
              prefix: str = "p_") -> DataFrame:
-    """``docs`` plus a probability per category (``prefix`` + its name)."""
-    rest = [c for c in docs.columns if keep_text or c != text_col]
+    """``docs`` plus a probability per category (``prefix`` + its name, in place
+    of columns of these names)."""
     new = [prefix + c for c in chain.categories]
+    docs = docs.drop(*new)
+    rest = [c for c in docs.columns if keep_text or c != text_col]
     at = docs.sparkSession.sparkContext.broadcast(chain)
     sent = docs if keep_text else docs.select(*rest, text_col)  # the text goes to the workers once
     place = sent.columns.index(text_col)

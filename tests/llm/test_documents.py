@@ -270,6 +270,22 @@ def test_pipeline(spark, tmp_path):
     assert kept["sentencepiece"].filter("roundtrip and n_differ = 0").count() == mixed.mix_copies.sum()
 
 
+def test_pipeline_clashing_columns(spark, odd_docs, tmp_path):
+    """Columns named like those of a stage, and a map column, pass through."""
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(folder + "/labels.parquet")
+    docs = odd_docs.selectExpr("*", "1 as n_tokens", "array(2) as token_ids", "3 as mix_copies", "4 as mix_size", "5 as score",
+                               "6 as lines_total", "7 as p_toxic", "map('k', doc_id) as tags", "8 as fp", "9 as root")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = cut(stage(spark, docs, folder))
+        if name != "sentencepiece":
+            assert docs.columns == columns, name
+            assert {r.mix_copies for r in docs.select("mix_copies").collect()} == {3}
+    assert docs.columns[-4:] == ["token_ids", "n_tokens", "n_differ", "roundtrip"] and "tags" in docs.columns
+    assert docs.count() > 0
+
+
 def test_pipeline_odd_rows(spark, odd_docs, no_docs, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(folder + "/labels.parquet")

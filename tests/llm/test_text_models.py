@@ -151,6 +151,48 @@ def test_sentencepiece_unigram_parity():
     assert differ.sum() == 0
 
 
+def test_sentencepiece_long_texts_in_segments(monkeypatch):
+    monkeypatch.setattr(sentencepiece, "SEGMENT", 40)
+    codec = sentencepiece.Codec(sentencepiece._model(sentencepiece.MODEL))
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("ab  é▁\n🙂c "), 400)) for _ in range(60)] + [" ", "x" * 300, " ".join(["word"] * 200) + " "]
+    assert max(len(codec.segments(t)) for t in texts) > 5
+    ids, per, differ, same = codec.encode(texts)
+    want = [codec.reference.encode(t) for t in texts]
+    assert per.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert not differ.any() and same.all()
+
+
+def test_sentencepiece_a_wrong_rebuild_shows():
+    from tokenizers import normalizers
+    codec = sentencepiece.Codec(sentencepiece._model(sentencepiece.MODEL))
+    texts = ["the quick brown fox jumps over the lazy dog", "", "another line of text"]
+    assert codec.encode(texts)[2].tolist() == [0, 0, 0]
+    right, normaliser = codec.spec.scores, codec.tokenizer.normalizer
+    codec.spec.scores = right[::-1]  # merges in the wrong order
+    codec.tokenizer = sentencepiece.build(codec.spec)
+    codec.tokenizer.normalizer = normaliser
+    ids, per, differ, _ = codec.encode(texts)
+    assert differ[0] == 1 and differ[1] == 0
+    assert ids.tolist() != [i for t in texts for i in codec.reference.encode(t)]  # the backend's own ids
+    codec = sentencepiece.Codec(sentencepiece._model(sentencepiece.MODEL))
+    codec.tokenizer.normalizer = normalizers.Replace(" ", sentencepiece.MARK)  # and one that forgets the dummy prefix
+    assert codec.encode(texts)[2].tolist() == [1, 0, 1]
+
+
+def test_clashing_columns(spark, odd_docs):
+    """Output columns take the place of columns of their name."""
+    clash = odd_docs.selectExpr("*", "'x' as n_tokens", "1 as token_ids", "2 as score", "3 as lang_pred", "4 as p_toxic")
+    got = sentencepiece.encode(clash)
+    assert got.columns.count("n_tokens") == 1 and got.schema["n_tokens"].dataType.simpleString() == "bigint"
+    assert {"lang", "source", "score"} <= set(got.columns) and got.count() == clash.count()
+    got = langid.predict(clash, langid.learn(clash.select("text", "lang")))
+    assert got.columns.count("score") == got.columns.count("lang_pred") == 1 and got.count() == clash.count()
+    none = toxicity.fit(clash, spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))
+    got = toxicity.classify(clash, none)
+    assert got.columns.count("p_toxic") == 1 and got.schema["p_toxic"].dataType.simpleString() == "double"
+
+
 def test_toxicity_chain(spark, odd_docs, no_docs):
     rng = np.random.default_rng(0)
     words = [f"w{a}{b}" for a in "abcdefgh" for b in "ijklmnop"]
