@@ -5,7 +5,8 @@ product of the int8 tiles (exact in float32 up to 1,040 dimensions, float64
 beyond) gives approximate cosines; each row's quantisation error norm gives a
 bound for every pair.  Pairs whose upper bound reaches the k-th best lower bound
 survive and are recomputed in double precision from the original vectors; a
-heap per query keeps the best.  The tiles' results are merged by heaps again.
+heap per query keeps the best.  Each tile passes on at most k rows a query;
+these are ranked per query, cut to k in every partition before the shuffle.
 Because of the bounds the result is exact (recall 1).
 
 Defined cases: vectors that are null, empty, all zero or hold null or non-finite
@@ -19,11 +20,9 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ship
 from .tiles import against
 
 #: rows of candidates multiplied at once
@@ -55,9 +54,10 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The k nearest rows of one tile for each query."""
-    ok, okq = (matrix != 0).any(axis=1), (queries != 0).any(axis=1)
-    ids, matrix, query_ids, queries = ids[ok], matrix[ok], query_ids[okq], queries[okq]
+    """(place of the query, id, cosine) of the k nearest rows of one tile for
+    each query."""
+    ok, asked = (matrix != 0).any(axis=1), np.flatnonzero((queries != 0).any(axis=1))
+    ids, matrix, query_ids, queries = ids[ok], matrix[ok], query_ids[asked], queries[asked]
     kind = np.float32 if matrix.shape[1] <= 1040 else np.float64
     qc, qs, qn, qe = _quantise(_unit(queries)) if len(queries) else (queries, *[np.zeros(0)] * 3)
     heaps: list[list] = [[] for _ in query_ids]
@@ -79,8 +79,8 @@ def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries:
                 heapq.heappush(heap, (s, -v))
             elif (s, -v) > heap[0]:
                 heapq.heapreplace(heap, (s, -v))
-    flat = [(q, -v, s) for q, h in zip(query_ids.tolist(), heaps) for s, v in h]
-    return (np.array([x[0] for x in flat], np.int64), np.array([x[1] for x in flat], np.int64),
+    flat = [(q, -v, s) for q, h in enumerate(heaps) for s, v in h]
+    return (asked[np.array([x[0] for x in flat], np.int64)], np.array([x[1] for x in flat], np.int64),
             np.array([x[2] for x in flat], np.float64))
 
 
@@ -89,13 +89,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     """(query_id, rank, vec_id, score): each query row's k nearest other rows."""
     found = against(vectors, is_query, lambda i, m, qi, q: search(i, m, qi, q, k),
                     "query_id bigint, vec_id bigint, score double", id_col, vec_col, **tiles)
-    ship(vectors.sparkSession)
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip(-rows.score, rows.vec_id))
-        return pd.DataFrame({"query_id": rows.query_id.iloc[0], "rank": range(1, len(best) + 1),
-                             "vec_id": [v for _, v in best], "score": [-s for s, _ in best]})
-
-    return found.groupBy("query_id").applyInPandas(
-        merge, "query_id bigint, rank int, vec_id bigint, score double").select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))

@@ -13,7 +13,9 @@ read back from the slices, so they are exact integers.
 Defined cases: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows without an id; a query meets candidates of
 its own length only; repeated rows are candidates each, but never for the query
-of their own id; fewer candidates than k give fewer rows; no rows give none.
+of their own id, and of several query rows of one id each is answered; fewer
+candidates than k give fewer rows; no rows give none; components whose scores
+might not fit 64 bits are an error that says so.
 """
 
 from __future__ import annotations
@@ -126,13 +128,22 @@ class Slices:
         return np.packbits(mask, bitorder="little").view(np.uint64)
 
 
+def _whole(x: np.ndarray) -> np.ndarray:
+    """Components rounded down, as integers; their sum of products must fit a long."""
+    x = np.floor(x)
+    if len(x) and np.abs(x).max() * np.sqrt(x.shape[1]) >= 2.0**31:
+        raise ValueError("components are too large for scores in 64 bits: scale the vectors down")
+    return x.astype(np.int64)
+
+
 def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
            k: int, scale: float):
-    """The k best rows of one tile for each query; ``ids`` ascending."""
-    index = Slices(np.floor(matrix * scale).astype(np.int64))
-    asked = np.floor(queries * scale).astype(np.int64)
+    """(place of the query, id, score) of the k best rows of one tile for each
+    query; ``ids`` ascending."""
+    index = Slices(_whole(matrix * scale))
+    asked = _whole(queries * scale)
     out_q, out_v, out_s = [], [], []
-    for qid, q in zip(query_ids.tolist(), asked):
+    for place, (qid, q) in enumerate(zip(query_ids.tolist(), asked)):
         slices, constant = index.score(q)
         allowed = index.every
         for own in range(int(np.searchsorted(ids, qid, "left")), int(np.searchsorted(ids, qid, "right"))):
@@ -140,7 +151,7 @@ def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries:
         rows = index.top(slices, k, allowed)
         for r in rows.tolist():
             score = sum(int(s[r >> 6] >> np.uint64(r & 63) & np.uint64(1)) << p for p, s in enumerate(slices))
-            out_q.append(qid)
+            out_q.append(place)
             out_v.append(int(ids[r]))
             out_s.append(score + constant)
     return np.array(out_q, np.int64), np.array(out_v, np.int64), np.array(out_s, np.int64)
@@ -152,7 +163,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = SCAL
     each query row of ``vectors`` with all other rows."""
     found = against(vectors, is_query, lambda i, m, qi, q: search(i, m, qi, q, k, scale),
                     "query_id bigint, vec_id bigint, score bigint", id_col, vec_col, **tiles)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

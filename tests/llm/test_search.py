@@ -75,3 +75,17 @@ def test_slices_large_and_negative():
     got = [sum(int(s[r >> 6] >> np.uint64(r & 63) & np.uint64(1)) << p for p, s in enumerate(slices)) + constant
            for r in range(130)]
     assert got == (x @ q).tolist()
+
+
+def test_query_rows_of_one_id_are_answered_each(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.2, 0.8])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for got in (topk.top_k(df, F.col("vec_id") == 100, k=1), ann.nearest(df, F.col("vec_id") == 100, k=1)):
+        assert sorted((r.query_id, r["rank"], r.vec_id) for r in got.collect()) == [(100, 1, 1), (100, 1, 2), (100, 1, 2)]
+
+
+def test_components_too_large_for_a_score_are_named(spark):
+    df = spark.createDataFrame([(100, [1e16, 1.0]), (1, [1e30, 2.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large for scores in 64 bits"):
+        topk.top_k(df, F.col("vec_id") == 100).collect()
+    assert [r.vec_id for r in ann.nearest(df, F.col("vec_id") == 100).collect()] == [1]
