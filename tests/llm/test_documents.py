@@ -173,7 +173,7 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</scri
 
 def test_main_text(spark):
     art = "<article><h1>Head &amp; &lt;tail&gt;</h1><p><b>One\n  two<br><p>three &#233;</p><aside>no</aside><form>no<input></form><p>a < b</article>"
-    plain = "<div><p>Unique words of page {i} that stand on it alone and nowhere else</p><p>{rep}</p></div>"
+    plain = "<div><p>Unique words of page {i} that stand{i} on it alone{i} and nowhere else</p><p>{rep}</p></div>"
     rep = "please read our terms of use before you go on with this site"
     rows = [(0, "http://a.x/1", PAGE.format(body=art)), (1, "http://a.x/2", None), (2, None, ""), (0, "http://a.x/1", PAGE.format(body=art))]
     rows += [(10 + i, f"https://b.y/{i}?q", PAGE.format(body=plain.format(i=i, rep=rep))) for i in range(8)]
@@ -185,7 +185,7 @@ def test_main_text(spark):
     assert by[0] == "Head & <tail>\nOne two\nthree é\na < b" and by[1] == by[2] == ""
     assert got.count() == len(rows)
     for i in range(8):
-        assert by[10 + i] == f"Unique words of page {i} that stand on it alone and nowhere else"  # the run is boilerplate
+        assert by[10 + i] == f"Unique words of page {i} that stand{i} on it alone{i} and nowhere else"  # the run is boilerplate
         assert by[30 + i] == f"{rep}\npage {i}"  # articles may share passages
     assert html_text.main_text(pages.limit(0)).count() == 0
 
