@@ -27,6 +27,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -132,11 +134,12 @@ class Codec:
         from tokenizers import normalizers
         self.spec = Spec(data)
         self.tokenizer = build(self.spec)
-        self.tokenizer.normalizer = normalizers.Sequence(self._normaliser(normalizers))
+        self.normaliser = normalizers.Sequence(self._normaliser(normalizers))
         #: the sentencepiece library's own processor, as the model file has it
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.plain = self.spec.escape and self.spec.dummy_prefix and not self.spec.squeeze and not self.spec.charsmap
         #: a text may be cut at single spaces
-        self.cuts = (self.spec.splits and self.spec.dummy_prefix and not self.spec.squeeze and not self.spec.charsmap)
+        self.cuts = self.plain and self.spec.splits
         self.bytes_of = {i: int(p[3:5], 16) for i, (p, t) in enumerate(zip(self.spec.pieces, self.spec.types)) if t == BYTE}
 
     def _normaliser(self, normalizers) -> list:
@@ -154,7 +157,9 @@ class Codec:
 
     def normalise(self, text: str) -> str:
         """The text whose pieces are looked up."""
-        return self.tokenizer.normalizer.normalize_str(text) if text else ""
+        if self.plain:  # only the dummy prefix and the marker
+            return MARK + text.replace(" ", MARK) if text else ""
+        return self.normaliser.normalize_str(text) if text else ""
 
     def segments(self, text: str) -> list[str]:
         """The text, or consecutive parts of it if it is long: each single space
@@ -175,15 +180,40 @@ class Codec:
         differ, round trip per text); null counts as empty."""
         parts = [self.segments(t or "") for t in texts]
         flat = [p for ps in parts for p in ps]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
+        normal = [self.normalise(p) for p in flat]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(normal, add_special_tokens=False)]
         want = self.reference.encode(flat, num_threads=2) if flat else []
         text = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
         size = np.fromiter(map(len, got), np.int64, len(got))
-        ids = np.fromiter((i for g in got for i in g), np.int32, int(size.sum()))
+        ids = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
         some = lambda bad: np.bincount(text, weights=bad, minlength=len(texts)).astype(np.int64) > 0
         differ = some([g != w for g, w in zip(got, want)])
-        lost = some([self.joined(g) != self.normalise(p) for g, p in zip(got, flat)])
-        return ids, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64), differ.astype(np.int64), ~lost
+        return (ids, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64), differ.astype(np.int64),
+                ~some(self._lost(ids, size, normal)))
+
+    def _lost(self, ids: np.ndarray, size: np.ndarray, normal: list[str]) -> np.ndarray:
+        """Per text, whether its joined pieces are not the text."""
+        starts, lengths, pieces = self._piece_bytes
+        want = [t.encode("utf-8", "replace") for t in normal]
+        need = np.fromiter(map(len, want), np.int64, len(want))
+        each = lengths[ids]
+        have = np.bincount(np.repeat(np.arange(len(size)), size), weights=each, minlength=len(size)).astype(np.int64)
+        lost = have != need
+        if lost.any():  # texts of another length aside, so that the others stand byte over byte
+            each = np.where(np.repeat(lost, size), 0, each)
+            want = [b"" if x else w for w, x in zip(want, lost.tolist())]
+        ends = np.cumsum(each)
+        joined = pieces[np.repeat(starts[ids] - ends + each, each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        wrong = np.flatnonzero(joined != np.frombuffer(b"".join(want), np.uint8))
+        lost[np.searchsorted(np.cumsum(np.where(lost, 0, need)), wrong, "right")] = True
+        return lost
+
+    @cached_property
+    def _piece_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and lengths of all pieces in one array of their bytes."""
+        table = self._raw_pieces()
+        lengths = np.array([len(p) for p in table], np.int64)
+        return np.cumsum(lengths) - lengths, lengths, np.frombuffer(b"".join(table), np.uint8)
 
     def decode(self, ids) -> str:
         """Text of a sequence of ids."""
@@ -194,15 +224,12 @@ class Codec:
 
     def joined(self, ids) -> str:
         """Pieces of ids joined, byte pieces as the bytes they stand for."""
-        if self.bytes_of:
-            table = self._raw_pieces()
-            return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
-        return "".join(self.spec.pieces[i] for i in ids if self.spec.types[i] != CONTROL)
+        return b"".join(map(self._raw_pieces().__getitem__, ids)).decode("utf-8", "replace")
 
     def _raw_pieces(self) -> list[bytes]:
         if not hasattr(self, "_table"):
             self._table = [bytes([self.bytes_of[i]]) if i in self.bytes_of else b"" if t == CONTROL
-                         else " ⁇ ".encode() if t == UNKNOWN else p.encode()
+                         else (" ⁇ " if self.bytes_of and t == UNKNOWN else p).encode()
                          for i, (p, t) in enumerate(zip(self.spec.pieces, self.spec.types))]
         return self._table
 

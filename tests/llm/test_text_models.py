@@ -168,16 +168,19 @@ def test_sentencepiece_a_wrong_rebuild_shows():
     codec = sentencepiece.Codec(sentencepiece._model(sentencepiece.MODEL))
     texts = ["the quick brown fox jumps over the lazy dog", "", "another line of text"]
     assert codec.encode(texts)[2].tolist() == [0, 0, 0]
-    right, normaliser = codec.spec.scores, codec.tokenizer.normalizer
-    codec.spec.scores = right[::-1]  # merges in the wrong order
+    codec.spec.scores = codec.spec.scores[::-1]  # merges in the wrong order
     codec.tokenizer = sentencepiece.build(codec.spec)
-    codec.tokenizer.normalizer = normaliser
     ids, per, differ, _ = codec.encode(texts)
     assert differ[0] == 1 and differ[1] == 0
     assert ids.tolist() != [i for t in texts for i in codec.reference.encode(t)]  # the backend's own ids
     codec = sentencepiece.Codec(sentencepiece._model(sentencepiece.MODEL))
-    codec.tokenizer.normalizer = normalizers.Replace(" ", sentencepiece.MARK)  # and one that forgets the dummy prefix
+    assert [codec.normaliser.normalize_str(t) for t in texts if t] == [codec.normalise(t) for t in texts if t]
+    codec.plain, codec.normaliser = False, normalizers.Replace(" ", sentencepiece.MARK)  # and one that forgets the dummy prefix
     assert codec.encode(texts)[2].tolist() == [1, 0, 1]
+    ids = codec.encode(texts[:1])[0]
+    size = np.array([len(ids), len(ids), 0])
+    lost = codec._lost(np.concatenate([ids, ids]), size, [codec.normalise(texts[0]), codec.normalise(texts[0])[:-1] + "?", "x"])
+    assert lost.tolist() == [False, True, True]
 
 
 def test_clashing_columns(spark, odd_docs):
