@@ -187,7 +187,7 @@ def fit(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTES)
 
     def flush(parts, counts, split):
         keys, n = unique_sum(np.concatenate(parts), np.concatenate(counts))
-        return _blocks(split(keys), keys, np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
+        return _blocks(split(keys), keys, n.astype(np.uint64))
 
     def counted(batches, entries, split):
         parts, counts, held = [], [], 0
@@ -252,7 +252,7 @@ def fit(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTES)
         for s, blobs in _held(batches).items():
             keys, n = merge(blobs)
             save(f"{uri}/pair-{s:06d}.npy", keys)
-            save(f"{uri}/pair-count-{s:06d}.npy", n.astype(np.uint32))
+            save(f"{uri}/pair-count-{s:06d}.npy", n.astype(np.uint64))
             v, w = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
             entry = [np.concatenate([v, w])]  # per word: continuation, followers seen 1, 2, 3+ times
             for mask in (None, n == 1, n == 2, n > 2):
