@@ -57,8 +57,8 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legen
 p pre section select summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe template svg object audio video canvas math".split())
-HARD = frozenset("nav footer aside form menu dialog select button head".split())
-ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
+HARD = frozenset("nav footer aside menu dialog select button head".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar".split())
 COMMENTS = frozenset("comment comments commentlist respond replies disqus".split())
 # names of what is boilerplate wherever it stands, and of what may also wrap a page's text
 NAMES = frozenset("""ad ads advert advertisement adverts breadcrumb breadcrumbs consent cookie cookies copyright footer

@@ -231,6 +231,83 @@ def test_main_text_counts_over_a_host_of_many_chunks(spark, parts):
     assert got[1].endswith(two) and all(got[100 + i] == f"{two} copied" for i in range(12))
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<script src=/a/>var x=1;</script><p>Main</p>", ["Main"]),
+    ("<script/>var x=1;</script><p>Main</p>", ["Main"]),
+    ('<div class="sidebar"><article>Teaser</article></div><article>Main</article>', ["Main"]),
+    ('<div class="sidebar"><article>Teaser</article></div><p>Main</p>', ["Main"]),
+    ('<form id="aspnetForm"><article>Main</article><input></form>', ["Main"]),
+    ("<form><p>Your name</p></form><p>Main</p>", ["Main"]),
+    ("<form><p>Your name</p></form>", []),
+    ('<div class="widget"><p>The whole text</p></div>', ["The whole text"]),
+    ('<div class="widget"><article>Main</article></div><p>Skip to content</p>', ["Main"]),
+    ('<div class="widget">Side</div><p>Main</p>', ["Main"]),
+    ("<a href=/x/>Read</a><p>Main</p>", ["Read", "Main"]),
+    ('<div class="main-content-with-ads"><p>Main</p></div>', ["Main"]),
+    *[(f'<article><p>Main</p><div class="{c}">Not this</div></article>', ["Main"])
+      for c in ("cookie-banner", "site-footer", "ad-slot", "comment-list", "post_share", "related-posts", "notice")]])
+def test_blocks_by_the_rules_of_html(page, want):
+    assert [t for t, _ in html_text.blocks(page)] == want
+
+
+def _extracted(pages, run_words=8):
+    """The whole query from its definition: every run of every distinct page counted by hand."""
+    scanned = [(i, host, html_, html_text.blocks(html_)) for i, host, html_ in pages]
+    holders, hosts = {}, {}
+    for _, host, page, found in scanned:
+        hosts.setdefault(host, set()).add(page)
+        words = [w.lower() for t, _ in found for w in t.split(" ")]
+        for k in range(len(words) - run_words + 1):
+            holders.setdefault((host, tuple(words[k:k + run_words])), set()).add(page)
+    out = {}
+    for i, host, _, found in scanned:
+        split = [t.split(" ") for t, _ in found]
+        block = [b for b, ws in enumerate(split) for _ in ws]
+        words = [w.lower() for ws in split for w in ws]
+        need = [3 if place == html_text.FREE else max(20, len(hosts[host]) // 2 + 1) for _, place in found]
+        whole, inside = set(), set()
+        for k in range(len(words) - run_words + 1):
+            n = len(holders[host, tuple(words[k:k + run_words])])
+            for j in range(k, k + run_words):
+                if n >= need[block[j]]:
+                    whole.add(j)
+                    if block[k] == block[k + run_words - 1]:
+                        inside.add(j)
+        kept, at = [], 0
+        for b, ws in enumerate(split):
+            span = range(at, at + len(ws))
+            at += len(ws)
+            if not all(j in whole for j in span):
+                left = [w for w, j in zip(ws, span) if j not in inside]
+                kept += [" ".join(left)] * bool(left)
+        out[i] = "\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("chunk_bytes", [2 << 20, 500])
+def test_main_text_against_brute_force(spark, chunk_bytes):
+    rng = np.random.default_rng(11)
+    notices = [" ".join(rng.choice(list("abcdefgh"), 12)) for _ in range(6)]
+    rows = []
+    for i in range(140):
+        host = ["one.x", "two.y"][i % 3 == 0]
+        own = [" ".join(f"w{x}" for x in rng.integers(0, 400, rng.integers(1, 25))) for _ in range(rng.integers(1, 5))]
+        for k in (0, int(rng.integers(1, 6))):  # alone, or behind words of the page
+            own.insert(int(rng.integers(0, len(own) + 1)), notices[k] if rng.random() < 0.5 else f"own {i} {notices[k]} end{i}")
+        body = "".join(f"<p>{t}</p>" for t in own)
+        body = f"<article>{body}</article>" if i % 2 else body
+        rows.append((i, host, f"<body>{body}</body>"))
+    rows += [(200 + k, "one.x", rows[1][2]) for k in range(30)]
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.main_text(pages, chunk_bytes=chunk_bytes).collect()}
+    want = _extracted(rows)
+    assert got == want
+    plain = {i: "\n".join(t for t, _ in html_text.blocks(p)) for i, _, p in rows}
+    changed = [i for i in plain if plain[i] != got[i]]
+    assert len(changed) > 60  # by the suffix arrays alone
+    assert any(i % 2 for i in changed if i < 200) and any(f"own {i} end{i}" in got[i] for i in changed)
+
+
 def test_covered_against_brute_force():
     rng = np.random.default_rng(0)
     tokens, page, at = [], [], 0

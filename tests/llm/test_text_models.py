@@ -102,6 +102,36 @@ def test_profile_is_the_bundle_of_bound_letters():
     assert np.array_equal(langid._bundle(["Ab, b"], langid.DIMS, langid.ORDER)[0], sum(one.values()))
 
 
+def test_language_id_by_hand(spark):
+    """Letters bound, bundled and compared in plain integers."""
+    texts = [("en", "The cat sat, on the mat!"), ("en", "a dog and the cat"), ("fr", "Le chat est sur l'été"), ("fr", "un chien noir"),
+             ("de", "Der Hund und die Katze"), (None, "the chat"), ("de", None), ("en", "12 + 3"), ("fr", "x")]
+    letter = lambda c: langid.vectors(np.array([c], np.uint64), order=1)[0].astype(int)
+
+    def profile(text):
+        seq = [0]
+        for ch in (text or "").lower():
+            c = ord(ch) if ch.isalpha() else 0
+            seq += [c] if c or seq[-1] else []
+        if not any(seq):
+            return np.zeros(langid.DIMS, int)
+        seq += [0] if seq[-1] else []
+        seq += [0] * (3 - len(seq))
+        return sum(np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c) for a, b, c in zip(seq, seq[1:], seq[2:]))
+    docs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id int, lang string, text string")
+    base = {k: sum(profile(t) for lang, t in texts if lang == k) for k in ("de", "en", "fr")}
+    learned = langid.learn(docs)
+    assert {k: v.tolist() for k, v in learned.items()} == {k: v.tolist() for k, v in base.items()}
+    for r in langid.predict(docs.select("doc_id", "text"), learned).collect():
+        p = profile(texts[r.doc_id][1])
+        if not p.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cos = {k: float(p @ v) / (np.linalg.norm(p) * np.linalg.norm(v)) for k, v in base.items()}
+        best = max(sorted(cos), key=cos.get)
+        assert r.lang_pred == best and abs(r.score - max(cos[best], 0)) < 1e-6
+
+
 def test_sentencepiece(spark, odd_docs, no_docs):
     docs = odd_docs.select("doc_id", "text")
     extra = spark.createDataFrame([(90, "  a  b   "), (91, "x▁y z▁"), (92, "日本 \U0001f642\tq\n\n r"), (93, " " * 7),
@@ -196,6 +226,47 @@ def test_clashing_columns(spark, odd_docs):
     assert got.columns.count("p_toxic") == 1 and got.schema["p_toxic"].dataType.simpleString() == "double"
 
 
+def test_toxicity_chain_against_a_plain_one(spark):
+    """The same links, fitted one by one on a plain table with out-of-fold probabilities."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(160):
+        bad, junk = rng.random() < 0.4, rng.random() < 0.3
+        words = [*rng.choice(["apple", "pear", "plum", "fig", "grapes"], 3), *["nastyword"] * int(bad or rng.random() < 0.1), *["zzz"] * int(junk)]
+        rows.append((i, " ".join(words), int(not junk), int(bad and not junk or rng.random() < 0.05)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
+    chain = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "quality", "toxic"), folds=2, iterations=20, max_features=6)
+    size = len(chain.known)
+
+    def seen(text):  # features of a text by their definition: words and their first 4, 5 and 6 bytes
+        out = set()
+        for w in set(text.split()):
+            for h in [toxicity.features(pa.array([w]))[1]]:
+                out |= set(h.tolist())
+        return [float(k in out) for k in chain.known.tolist()]
+    table = spark.createDataFrame([(i, seen(t), float(q), float(x)) for i, t, q, x in rows], "id bigint, f array<double>, y0 double, y1 double")
+    table = table.withColumn("fold", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(2))).cache()
+    regression = lambda y: LogisticRegression(featuresCol="x", labelCol=y, regParam=5e-5, elasticNetParam=1.0,
+                                              standardization=False, maxIter=20)
+    wide = lambda df, p: df.withColumn("x", array_to_vector(F.concat("f", F.array(p, F.lit(0.0)))))
+    first = wide(table, F.lit(0.0))
+    parts = [regression("y0").fit(first.filter(F.col("fold") != k)).transform(first.filter(F.col("fold") == k))
+             .select("id", "f", "y0", "y1", vector_to_array("probability")[1].alias("p")) for k in range(2)]
+    second = wide(parts[0].unionByName(parts[1]), F.col("p"))
+    one, two = regression("y0").fit(first), regression("y1").fit(second)
+    for (intercept, w), plain in zip(chain.links, (one, two)):
+        assert abs(intercept - plain.intercept) < 0.05 and np.allclose(w, plain.coefficients.toArray(), atol=0.05)
+    assert abs(chain.links[1][1][size]) > 0.01  # the second link uses the first's probability
+    for r in toxicity.classify(docs.select("doc_id", "text"), chain).collect():
+        x, p = np.array([*seen(r.text), 0.0, 0.0]), []
+        for k, (intercept, w) in enumerate(chain.links):
+            p.append(1 / (1 + np.exp(-(intercept + x @ w))))
+            x[size + k] = p[-1]
+        assert np.allclose([r.p_quality, r.p_toxic], p)
+
+
 def test_toxicity_chain(spark, odd_docs, no_docs):
     rng = np.random.default_rng(0)
     words = [f"w{a}{b}" for a in "abcdefgh" for b in "ijklmnop"]
