@@ -34,6 +34,13 @@ def build_session(master: str = "local[8]", app: str = "shelfline",
     return spark
 
 
+def prepare(spark: SparkSession) -> None:
+    """What the models need of a session that the caller brings: partitioning-
+    aware unions off (see ``build_session``)."""
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") != "false":
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only if unset."""
     sc = spark.sparkContext

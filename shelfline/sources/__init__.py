@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import prepare
 from . import driver, schemas
 
 
@@ -31,6 +32,7 @@ class Sources:
 def from_driver_tables(spark: SparkSession, sf_dir: str,
                        base_lines: DataFrame | None = None) -> Sources:
     """``base_lines``: an already landed ``driver.lines`` table to share."""
+    prepare(spark)
     t = {n: driver.read(spark, sf_dir, n) for n in driver.DRIVER_TABLES}
     lines = base_lines if base_lines is not None else driver.lines(t["lineitem"], t["orders"])
     return Sources(
@@ -110,6 +112,7 @@ def landed(spark: SparkSession, sf_dir: str) -> LandedSources:
 
 def from_parquet(spark: SparkSession, root: str) -> Sources:
     """Retail-shaped parquet tables under ``root/<name>`` with declared schemas."""
+    prepare(spark)
     def rd(name):
         return spark.read.schema(schemas.SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
     return Sources(
