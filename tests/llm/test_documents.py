@@ -104,7 +104,8 @@ def test_registered_queries_against_sql(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
     for name, sql in queries.ORACLES.items():
-        key = ["query_id", "rank"] if "top_k" in name else ["doc_id"]
+        key = (["query_id", "rank"] if "top_k" in name else
+               ["anchor_id", "positive_id", "rank"] if "negatives" in name else ["doc_id"])
         _same(queries.QUERIES[name](spark, sf).toPandas(), _duck(sql, documents=docs, embeddings=vectors), key)
 
 
