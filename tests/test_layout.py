@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline import sources
+from shelfline.operators import inventory
 from shelfline.plans import core, marts, slices
 from shelfline.plans.warehouse import Warehouse
 from shelfline.session import land
@@ -156,3 +157,16 @@ def test_demand_panel_does_not_shuffle_by_product_and_week(spark):
             n, s = want.get((c, week), (0, Decimal(0)))
             want[c, week] = n + 1, s + Decimal(k + p)
     assert {k: v for k, v in got.items() if v[0]} == want
+
+
+def test_movements_are_summed_where_they_are_stored(spark, raw, tmp_path, monkeypatch):
+    w = Warehouse(sources.from_driver_tables(spark, raw), materialize_facts=False)
+    dated = slices.DatedSources.build(spark, w.stg_orders, w.stg_order_items, w.stg_inventory_items, w.s.product_versions, f"{tmp_path}/dated")
+    written = []
+    monkeypatch.setattr(slices, "_write_dated", lambda df, *a, f=slices._write_dated: written.append(df) or f(df, *a))
+    got = dated.movements
+    by = [x for x in _exchanges(written[0]) if "move_date" in x]
+    assert len(by) == 1 and "rangepartitioning" in by[0]
+    want = inventory.movements(core.inventory_units(w.stg_inventory_items))
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and not want.isEmpty()
