@@ -2,6 +2,7 @@
 contracts reject drift (SNK10)."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -121,6 +122,31 @@ def test_checks_scan_each_table_once_and_match_the_failing_rows(spark, tmp_path)
     assert {r.n_failed for r in none.collect()} == {0} and none.count() == len(checks)
 
 
+def test_a_key_that_should_not_repeat_is_counted_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """No combine in the scan, a task for so many rows, and the same failures whatever the bound."""
+    monkeypatch.setattr(quality, "ROWS_PER_TASK", 1000, raising=False)
+    ids = spark.range(20_000).selectExpr(
+        "IF(id % 50 = 0, NULL, IF(id < 300, id DIV 3, id)) AS id", "IF(id % 70 = 1, NULL, id % 9) AS ref",
+        "CASE id % 11 WHEN 0 THEN NULL WHEN 1 THEN 'Z' ELSE 'A' END AS cls", "DOUBLE(id) / 100 AS pct")
+    tables = {"t": ids, "bare": ids.select("id", "cls"), "p": spark.range(7).selectExpr("id AS pid", "id % 2 AS half")}
+    checks = [Check("u", "t", "unique", ("id",)), Check("nn", "t", "not_null", ("id",)),
+              Check("acc", "t", "accepted_values", ("cls",), values=("A",)), Check("btw", "t", "between", ("pct",), min_value=1, max_value=150),
+              Check("rel", "t", "relationships", ("ref",), parent="p", parent_column="pid"),
+              Check("combo", "bare", "unique_combination", ("id", "cls")), Check("rule", "p", "expression", expression="half = 1")]
+    want = {c.name: quality.failing_rows(c, tables).count() for c in checks}
+    assert min(want.values()) > 0
+    result = quality.run_checks(checks, tables)
+    assert {r.check_name: r.n_failed for r in result.collect()} == want
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", plan)]
+    assert sorted(dealt) == [1, 20, 20]  # t and bare by rows, the small parent in one task
+    below = [plan.splitlines()[i + 1:i + 3] for i, line in enumerate(plan.splitlines()) if "RepartitionByExpression" in line]
+    assert not any("Aggregate" in line for lines in below for line in lines)
+    for bound in (1, 100_000):  # the bound only numbers the tasks
+        got = quality.run_checks(checks, tables, lambda name, bound=bound: bound).collect()
+        assert {r.check_name: r.n_failed for r in got} == want
+
+
 def test_newest_comes_from_the_footers(spark, tmp_path):
     from shelfline import sources
     late = dt.datetime(2001, 8, 1, 7, 30, 15, 123456)
