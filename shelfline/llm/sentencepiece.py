@@ -182,38 +182,29 @@ class Codec:
         flat = [p for ps in parts for p in ps]
         normal = [self.normalise(p) for p in flat]
         got = [e.ids for e in self.tokenizer.encode_batch_fast(normal, add_special_tokens=False)]
-        want = self.reference.encode(flat, num_threads=2) if flat else []
-        text = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
         size = np.fromiter(map(len, got), np.int64, len(got))
         ids = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
+        del got  # a Python int per token
+        want = self.reference.encode(flat, num_threads=2, out_type="numpy") if flat else []
+        text = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+        ends = np.cumsum(size).tolist()
         some = lambda bad: np.bincount(text, weights=bad, minlength=len(texts)).astype(np.int64) > 0
-        differ = some([g != w for g, w in zip(got, want)])
+        differ = some([not np.array_equal(ids[s:e], w) for s, e, w in zip([0, *ends], ends, want)])
         return (ids, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64), differ.astype(np.int64),
                 ~some(self._lost(ids, size, normal)))
 
     def _lost(self, ids: np.ndarray, size: np.ndarray, normal: list[str]) -> np.ndarray:
         """Per text, whether its joined pieces are not the text."""
-        starts, lengths, pieces = self._piece_bytes
-        want = [t.encode("utf-8", "replace") for t in normal]
-        need = np.fromiter(map(len, want), np.int64, len(want))
-        each = lengths[ids]
-        have = np.bincount(np.repeat(np.arange(len(size)), size), weights=each, minlength=len(size)).astype(np.int64)
-        lost = have != need
-        if lost.any():  # texts of another length aside, so that the others stand byte over byte
-            each = np.where(np.repeat(lost, size), 0, each)
-            want = [b"" if x else w for w, x in zip(want, lost.tolist())]
-        ends = np.cumsum(each)
-        joined = pieces[np.repeat(starts[ids] - ends + each, each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        wrong = np.flatnonzero(joined != np.frombuffer(b"".join(want), np.uint8))
-        lost[np.searchsorted(np.cumsum(np.where(lost, 0, need)), wrong, "right")] = True
-        return lost
+        joined = self._piece_bytes.take(pa.array(ids, pa.int32()))
+        _, offsets, data = joined.buffers()
+        at = np.frombuffer(offsets, np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        ends = at[np.concatenate([[0], np.cumsum(size)]).astype(np.int64)].tolist()
+        data = data.to_pybytes() if data else b""
+        return np.array([data[s:e] != t.encode("utf-8", "replace") for s, e, t in zip(ends, ends[1:], normal)], bool)
 
     @cached_property
-    def _piece_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and lengths of all pieces in one array of their bytes."""
-        table = self._raw_pieces()
-        lengths = np.array([len(p) for p in table], np.int64)
-        return np.cumsum(lengths) - lengths, lengths, np.frombuffer(b"".join(table), np.uint8)
+    def _piece_bytes(self) -> pa.LargeBinaryArray:
+        return pa.array(self._raw_pieces(), pa.large_binary())
 
     def decode(self, ids) -> str:
         """Text of a sequence of ids."""
